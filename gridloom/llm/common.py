@@ -29,17 +29,20 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names it on a cluster; only where it is unset (tests, one machine)
-    is a folder made here.
+    Only where it is unset (tests, one machine) is a folder made here.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage in the shared folder, so that a lost executor costs no more than its running tasks."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

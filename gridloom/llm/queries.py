@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm.common import read_table
+from gridloom.llm.common import read_table, shared_folder
 
 
 def tokenizer_file(name: str) -> str:
@@ -16,18 +17,38 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.secrets import scan
+
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.exact_dedup import mark_duplicates
 
     return mark_duplicates(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.packing import pack_documents
+
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.piece_bpe import encode_texts
 
     return encode_texts(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.archives import archive_pages
+
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    merged = archive_pages(read_table(spark, sf_dir, "pages"), folder)
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.sharding import shard_documents
 
@@ -38,8 +59,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_secret_scan,
             op4_exact_dedup,
+            op5_best_fit_packing,
             op8_piece_encoding,
+            op9_warc_index,
             op10_feistel_shards,
         )
     }
@@ -56,5 +80,19 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_SHA1_PARTS = ", ".join(f"to_base(('0x' || substr(sha1(payload), {1 + 5 * i}, 5))::BIGINT, 32, 4)" for i in range(8))
+
+WARC_SQL = f"""
+WITH captures AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS response_id FROM captures)
+SELECT page_id,
+       strlen(payload)::BIGINT AS payload_bytes,
+       translate(upper(concat({_SHA1_PARTS})), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
+FROM grouped
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL}
