@@ -35,6 +35,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.fingerprints import fingerprint_pairs
+
+    return fingerprint_pairs(read_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.language import identify
+
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.piece_bpe import encode_texts
 
@@ -62,6 +74,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_secret_scan,
             op4_exact_dedup,
             op5_best_fit_packing,
+            op6_fingerprints,
+            op7_language_id,
             op8_piece_encoding,
             op9_warc_index,
             op10_feistel_shards,
