@@ -2,8 +2,9 @@
 
 Every shingle is hashed once: the top bits name a bin, the bin keeps its least value. An empty bin takes the
 value of another, found by hashing (bin, attempt) until a full bin is met, so that all bins are
-uniform and independent of the order of bins. A fingerprint packs the low bits of all bins as hex; the share of
-equal bins, corrected for chance agreement of so few bits, estimates the likeness of two texts.
+uniform and independent of the order of bins. Values are then hashed with their bin, so that bins which hold
+one value agree with another text's by chance one by one, not all together. A fingerprint packs the low bits of all
+bins as hex; the share of equal bins, corrected for that chance, estimates the likeness of two texts.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ class Fingerprinter:
     def __init__(self, words: int = WORDS, bin_bits: int = BIN_BITS, low_bits: int = LOW_BITS):
         self.shingler, self.bin_bits, self.low_bits = Shingler(words), bin_bits, low_bits
         self.bins = 1 << bin_bits
+        self.own = mixed(np.arange(1, self.bins + 1, dtype=np.uint64))
         self.probes: list[np.ndarray] = []
 
     def _probes(self, turn: int) -> np.ndarray:
@@ -42,23 +44,23 @@ class Fingerprinter:
         hashes.sort()
         where = (hashes >> np.uint64(64 - self.bin_bits)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
-        low = np.zeros(self.bins, np.uint8)
-        low[where[first]] = (hashes[first] & np.uint64((1 << self.low_bits) - 1)).astype(np.uint8)
+        value = np.zeros(self.bins, np.uint64)
+        value[where[first]] = hashes[first]
         full = np.zeros(self.bins, bool)
         full[where[first]] = True
         empty, turn = np.flatnonzero(~full), 0
-        source = low.copy()
+        source = value.copy()
         while len(empty):
             tried = self._probes(turn)[empty]
             hit = full[tried]
             found = hit.any(axis=1)
-            low[empty[found]] = source[tried[found, hit[found].argmax(axis=1)]]
+            value[empty[found]] = source[tried[found, hit[found].argmax(axis=1)]]
             empty, turn = empty[~found], turn + 1
             if turn == 64 and len(empty):  # very few full bins: the nearest by distance of hashed places
                 order = mixed(empty.astype(np.uint64)[:, None] * np.uint64(1_000_003) ^ np.flatnonzero(full).astype(np.uint64) << np.uint64(32))
-                low[empty] = source[np.flatnonzero(full)[order.argmin(axis=1)]]
+                value[empty] = source[np.flatnonzero(full)[order.argmin(axis=1)]]
                 break
-        return low
+        return (mixed(value + self.own) & np.uint64((1 << self.low_bits) - 1)).astype(np.uint8)
 
     def pack(self, low: np.ndarray | None) -> str:
         if low is None:
