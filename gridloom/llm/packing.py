@@ -79,14 +79,14 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
     import pyarrow as pa
 
     def cut(batches):
-        import re
+        import os
         import zlib
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_file)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        border = re.compile("[ \n]+")
         end = end_id.to_bytes(4, "little")
         kept: dict[str, bytes] = {"": b""}
         old: dict[str, bytes] = {}
@@ -108,7 +108,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
             out: list[list] = [[], [], [], [], []]
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, text in zip(ids, texts, strict=True):
-                words = border.split(text)
+                words = text.replace("\n", " ").split(" ")
                 found = list(map(kept.get, words))
                 if None in found:
                     learn({w for w, x in zip(words, found, strict=True) if x is None})

@@ -23,6 +23,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read_table(spark, sf_dir, "documents"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.near_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.exact_dedup import mark_duplicates
 
@@ -72,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_secret_scan,
+            op3_minhash_near_dedup,
             op4_exact_dedup,
             op5_best_fit_packing,
             op6_fingerprints,
