@@ -23,7 +23,7 @@ def normalize(records: DataFrame) -> DataFrame:
     low = lambda c: F.lower(F.coalesce(c, F.lit("")))
     fields: dict[str, Column] = {f: E.trimmed(given[f]) for f in X.ENDPOINT_FIELDS}
     fields |= {f: E.trimmed(low(F.col(f))) for f in ("source_type", "confidence", "status")}
-    fields |= {"domain": E.trimmed(F.col("_parsed.domain")), "port": F.col("_parsed.port"), "scheme": E.trimmed(low(F.col("_parsed.scheme")))}
+    fields |= {"domain": E.trimmed(F.coalesce("_parsed.domain", F.lit(""))), "port": F.col("_parsed.port"), "scheme": E.trimmed(low(F.col("_parsed.scheme")))}
     clean = E.once(parsed.withColumns(fields), "_ip", E.is_ip_literal(F.col("domain")))
     return E.once(clean, "errors", _errors()).drop("_parsed", "_given_port", "_given_domain", "_ip")
 

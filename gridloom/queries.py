@@ -36,7 +36,7 @@ def _shown(errors: str = "errors") -> F.Column:
 @query
 def parse_endpoint(spark, sf_dir):
     rows = derive(spark, sf_dir, "raw_endpoint")
-    return rows.select("ord", E.parse_endpoint(F.col("domain"), F.col("port"), F.col("scheme")).alias("p")).select("ord", "p.*")
+    return rows.select("ord", E.parse_endpoint(F.col("domain"), F.col("port"), F.col("scheme")).alias("p")).select("ord", "p.domain", F.col("p.port").cast("string").alias("port"), "p.scheme", "p.error")
 
 
 @query
@@ -62,12 +62,12 @@ def duplicate_keys(spark, sf_dir):
 
 @query
 def library(spark, sf_dir):
-    return validate.library(dedupe.unique_first(validate.good(_normalized(spark, sf_dir))))
+    return validate.library(dedupe.unique_first(validate.good(_normalized(spark, sf_dir)), "exact"))
 
 
 @query
 def watchlist(spark, sf_dir):
-    return validate.watchlist(dedupe.unique_first(validate.good(_normalized(spark, sf_dir)))).select(*X.ENDPOINT_FIELDS)
+    return validate.watchlist(dedupe.unique_first(validate.good(_normalized(spark, sf_dir)), "exact")).select(*X.ENDPOINT_FIELDS)
 
 
 @query
@@ -295,7 +295,7 @@ def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def directory_split(spark, sf_dir):
-    return _listed(spark, sf_dir).select("ord", "coin_slug", "kind", "host", F.col("url_port").alias("port"))
+    return _listed(spark, sf_dir).select("ord", "coin_slug", "kind", "host", F.col("url_port").cast("string").alias("port"))
 
 
 @query
@@ -359,7 +359,7 @@ LABELS = (("priority_sources", "trusted"), ("official_site_crawl", "trusted"), (
 def prepare_records(spark, sf_dir):
     rows = derive(spark, sf_dir, "raw_endpoint")
     tagged = promote.tagged([(label, kind, rows.where(F.col("ord") % 3 == i)) for i, (label, kind) in enumerate(LABELS)])
-    return promote.prepare(tagged).select("src_label", "ord", *X.ENDPOINT_FIELDS, _shown())
+    return promote.prepare(tagged).select("src_label", "ord", *X.ENDPOINT_FIELDS, _shown()).withColumn("port", F.col("port").cast("string"))
 
 
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

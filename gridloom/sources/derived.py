@@ -79,7 +79,7 @@ WITH p AS (
   SELECT page_id, page_id AS n, coalesce(html, '') AS given,
          regexp_replace(regexp_replace(coalesce(url, ''), '^[a-z]+://', ''), '[/?#].*$', '') AS host FROM {pages}
 )
-SELECT page_id, host AS site, 'https://' || host || '/' AS page_url,
+SELECT page_id, regexp_replace(host, '^www[.]', '') AS site, 'https://' || host || '/' AS page_url,
   given || '<p>Use stratum+ssl://eu-btc.' || host || ':' || CAST(3000 + n % 40 AS {string}) || ', ltc-asia.' || host || ' : ' ||
   CAST(10000 + n % 9 AS {string}) || ' or 192.0.2.' || CAST(n % 200 AS {string}) || ':4444 and stratum+tcp://kas.other.example:' ||
   CASE WHEN n % 5 = 0 THEN '0' ELSE '5555' END || '&nbsp;&amp; unrelated.example:443. addnode=192.0.2.' ||
