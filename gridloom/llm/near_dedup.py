@@ -5,8 +5,9 @@
 2. Classes that share a band key meet in a bucket. A bucket links its members to its smallest, a star and never all
    pairs. Links that the signatures put clearly below the threshold are dropped, the others are
    confirmed on the full sets, and the confirmed ones give first components.
-3. Buckets whose members are still in several components may hide links between them: members of different
-   components are compared there by signature, inside the join, and what remains is confirmed as before.
+3. Buckets whose members are still in several components may hide links between them. Buckets that share
+   members make a cluster, which is cut into blocks of bounded size; a task holds two blocks, compares members of
+   different components by signature and then on their full sets, and returns only the links that join components.
 4. Components of all confirmed links are the result.
 
 With 40 bands of 5 minima, two sets with a similarity of 0.8 share no band once in 8 million pairs; a
@@ -29,6 +30,9 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS, LOW_BITS, SIGNED = 40, 5, 4, 192
 MARGIN = 0.15
 
+#: Of one block of a cluster, on average: shingles and members. A task holds two.
+BLOCK_SHINGLES, BLOCK_MEMBERS = 400_000, 800
+
 LEAST_ID = -(1 << 63)
 
 _rng = np.random.default_rng(20_240_101)
@@ -160,7 +164,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     filled = sets.where(F.col("n_shingles") > 0)
     classes = shared_checkpoint(
         filled.groupBy("set_a", "set_b").agg(
-            F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
         )
     )
     banded = classes.select("rep", F.explode("bands").alias("key"))
@@ -173,7 +177,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     touched = shared.select("rep").distinct()
     texts = shared_checkpoint(plain.join(touched, plain["doc_id"] == touched["rep"], "left_semi").dropDuplicates(["doc_id"]))
     first = shared_checkpoint(confirmed(links, texts, words, percent))
-    found = first.union(_hidden(shared, first, signed, texts, words, percent))
+    hidden = _hidden(shared, first, classes.select("rep", "size", "signature"), texts, words, percent)
+    found = first.union(shared_checkpoint(hidden))
     components = connected_components(found)
 
     named = classes.select("set_a", "set_b", "rep").join(components, F.col("rep") == F.col("node"), "left")
@@ -198,19 +203,85 @@ def _likely(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").where(estimated("sign_a", "sign_b") >= percent / 100 - MARGIN).select("a", "b")
 
 
-def _hidden(shared: DataFrame, first: DataFrame, signed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links between members of a bucket that ``first`` leaves in different components."""
+def _hidden(shared: DataFrame, first: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between members of a bucket that ``first`` leaves in different components; enough of them to join these."""
     components = connected_components(first)
-    placed = shared.select("key", "rep").join(components, F.col("rep") == F.col("node"), "left")
-    placed = shared_checkpoint(placed.select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    placed = shared.join(components, F.col("rep") == F.col("node"), "left")
+    placed = shared_checkpoint(placed.select("key", "hub", "rep", F.coalesce("component", "rep").alias("component")))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    open_ = placed.join(several.select("key"), "key").join(signed, "rep")
-    one = open_.select("key", F.col("rep").alias("a"), F.col("component").alias("in_a"), F.col("signature").alias("sign_a"))
-    other = open_.select("key", F.col("rep").alias("b"), F.col("component").alias("in_b"), F.col("signature").alias("sign_b"))
-    likely = (F.col("a") > F.col("b")) & (F.col("in_a") != F.col("in_b")) & (estimated("sign_a", "sign_b") >= percent / 100 - MARGIN)
-    pairs = one.join(other, "key").where(likely).select("a", "b").distinct()
-    pairs = pairs.join(first, ["a", "b"], "left_anti")
-    return confirmed(pairs, texts, words, percent)
+    open_ = shared_checkpoint(placed.join(several.select("key"), "key").select("hub", "rep", "component").distinct())
+    clusters = connected_components(open_.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
+    members = open_.select("rep", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), F.col("rep") == F.col("node"))
+    members = shared_checkpoint(members.join(classes, "rep").select("rep", "component", "cluster", "size", "signature"))
+    blocks = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS)).cast("int").alias("blocks")
+    )
+    # A member goes to each pair of blocks that holds its own; which of the blocks it is in hangs on its id alone.
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")
+    dealt = (
+        members.join(blocks, "cluster").select("cluster", "rep", "component", "signature", block, other)
+        .select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+        .select("cluster", "low", "high", "block", "rep", "component", "signature", "text")
+    )
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(_joining_links(words, percent), "a long, b long")
+
+
+def _joining_links(words: int, percent: int):
+    """A function of two blocks' members: links between different components, none that joins what is joined already."""
+
+    def links(key, table):
+        import pyarrow as pa
+
+        low, high = key[1].as_py(), key[2].as_py()
+        reps, components, block = (table.column(c).to_pylist() for c in ("rep", "component", "block"))
+        names = {c: i for i, c in enumerate(dict.fromkeys(components))}
+        group = np.array([names[c] for c in components])
+        root = list(range(len(names)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        shingler = Shingler(words)
+        sets = [np.unique(shingler.shingles(t)) for t in table.column("text").to_pylist()]
+        sizes = [len(x) for x in sets]
+        seen, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        place = np.cumsum(times > 1) - 1  # only shingles of several members can be common
+        bits, at = [], 0
+        for n in sizes:
+            own = where[at : at + n]
+            at += n
+            row = np.zeros(int(place[-1]) + 8, np.uint8)
+            row[place[own[times[own] > 1]]] = 1
+            bits.append(int.from_bytes(np.packbits(row).tobytes()))
+        signature = np.array(table.column("signature").to_pylist(), np.int64).astype(np.uint64)
+        least = percent / 100 - MARGIN
+        fields = np.uint64(int("1" * (64 // LOW_BITS), 16))
+        chance = 1 / (1 << LOW_BITS)
+        mine = np.array(block)
+        found: list[tuple[int, int]] = []
+        for i in range(len(reps)):
+            rest = np.arange(i + 1, len(reps))
+            rest = rest[(group[rest] != group[i]) & ((low == high) | (mine[rest] != mine[i]))]
+            if not len(rest):
+                continue
+            x = signature[rest] ^ signature[i]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            equal = 1 - np.bitwise_count(x & fields).sum(axis=1) / SIGNED
+            for j in rest[(equal - chance) / (1 - chance) >= least].tolist():
+                if (a := find(group[i])) != (b := find(group[j])):
+                    common = (bits[i] & bits[j]).bit_count()
+                    if common and 100 * common >= percent * (sizes[i] + sizes[j] - common):
+                        root[a] = b
+                        found.append((reps[i], reps[j]))
+        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
+
+    return links
 
 
 def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
