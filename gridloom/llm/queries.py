@@ -23,6 +23,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.near_dedup import near_duplicates
 
@@ -78,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_secret_scan,
+            op2_suffix_dedup,
             op3_minhash_near_dedup,
             op4_exact_dedup,
             op5_best_fit_packing,
