@@ -12,6 +12,7 @@ partitions, and look up their sequence and offset by their number.
 from __future__ import annotations
 
 import bisect
+import struct
 from collections import deque
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import bounded_batches, number_rows, shared_checkpoint, text_of
 
 #: Words whose ids a task keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 500_000
 
 
 def plan_rounds(counts: dict[int, int], capacity: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -69,6 +70,73 @@ def plan_rounds(counts: dict[int, int], capacity: int) -> Iterator[tuple[int, in
                 put(size, first + full, n - full, front=True)
 
 
+class WordIds:
+    """Ids of words between white space, as little-endian 32-bit bytes.
+
+    Where the tokenizer lower-cases and cuts words into runs of letters and runs of punctuation, a word that is letters and
+    then punctuation is its two parts: the letters go straight to the tokenizer's BPE model, the few endings there are
+    through the whole tokenizer. Any other word goes through the whole tokenizer.
+    """
+
+    # The steps of such a tokenizer, and the endings that no rule of its pattern joins with letters.
+    NORMALIZER = ("NFC", "Replace", "Lowercase")
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    ENDINGS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+    def __init__(self, tokenizer_file: str):
+        import json
+
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(tokenizer_file)
+        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        steps = json.loads(self.whole.to_str())
+        cut = (steps["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.split = (
+            tuple(x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])) == self.NORMALIZER
+            and [x.get("type") for x in cut] == ["Split", "ByteLevel"]
+            and cut[0]["pattern"].get("Regex") == self.PATTERN
+            and not cut[1]["add_prefix_space"]
+        )
+        self.model, self.bytes_of = self.whole.model, {}
+        self.parts: dict[str, bytes] = {}
+
+    def _packed(self, ids) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _letters(self, word: str) -> bytes:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        if not word.isascii():  # the characters that stand for its bytes
+            for c in word:
+                if c not in self.bytes_of:
+                    self.bytes_of[c] = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0]
+            word = "".join([self.bytes_of[c] for c in word])
+        return self._packed([t.id for t in self.model.tokenize(word)])
+
+    def _part(self, part: str, find) -> bytes:
+        if (found := self.parts.get(part)) is None:
+            if len(self.parts) > KEPT_WORDS:
+                self.parts.clear()
+            found = self.parts[part] = find(part)
+        return found
+
+    def _through(self, word: str) -> bytes:
+        return self._packed(self.whole.encode(word, add_special_tokens=False).ids)
+
+    def of(self, word: str) -> bytes:
+        import unicodedata
+
+        core = word.rstrip(self.ENDINGS)
+        if not (self.split and core.isalpha() and "Σ" not in core and (core.isascii() or unicodedata.is_normalized("NFC", core))):
+            return self._through(word)
+        low = core.lower()
+        if not low.isalpha():
+            return self._through(word)
+        ending = word[len(core) :]
+        return self._part(low, self._letters) + (self._part(ending, self._through) if ending else b"")
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Pieces of at most ``capacity`` ids: doc_id, piece, start, length, ids_crc32.
 
@@ -83,10 +151,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         import zlib
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        ids_of = WordIds(tokenizer_file)
         end = end_id.to_bytes(4, "little")
         kept: dict[str, bytes] = {"": b""}
         old: dict[str, bytes] = {}
@@ -95,14 +160,8 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
             nonlocal kept, old
             if len(kept) > KEPT_WORDS:
                 kept, old = {"": b""}, kept
-            new = []
             for w in words:
-                if w in old:
-                    kept[w] = old[w]
-                else:
-                    new.append(w)
-            for w, ids in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                kept[w] = b"".join([i.to_bytes(4, "little") for i in ids.ids])
+                kept[w] = old[w] if w in old else ids_of.of(w)
 
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
