@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import bounded_batches, shuffle_partitions, text_of
 
 LENGTH, GRAM = 100, 24
+#: Windows that are ruled out together, by the bytes they share.
+STEP = 12
 #: Symbols of one shard.
 SHARD_SYMBOLS = 1 << 20
 #: Bytes of a document that are looked at together; places are kept in 24 bits.
@@ -53,8 +55,8 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def anchors(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(hash, first window, last window) of each anchor, slice by slice; the windows that an anchor owns start in a row."""
+def anchors(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(hash, place, first window, last window) of each anchor, slice by slice; the windows that an anchor owns start in a row."""
     for at in range(0, max(1, len(text) - length + 1), SLICE):
         part = np.frombuffer(text, np.uint8, min(len(text) - at, SLICE + length - 1), at)
         if len(part) < length:
@@ -68,7 +70,7 @@ def anchors(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.
         least = np.minimum(least[:n], least[span - width : span - width + n])
         place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        yield hashes[place[first]].astype(np.int64), first + at, np.r_[first[1:] - 1, n - 1] + at
+        yield hashes[place[first]].astype(np.int64), place[first] + at, first + at, np.r_[first[1:] - 1, n - 1] + at
 
 
 def suffix_order(text: np.ndarray, strings: int) -> np.ndarray:
@@ -169,7 +171,7 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
 
     def seen(batches):
         for batch in batches:
-            held = [(i, h) for i, t in enumerate(batch.column(1).to_pylist()) for h, _, _ in anchors(t.encode(), length)]
+            held = [(i, h) for i, t in enumerate(batch.column(1).to_pylist()) for h, _, _, _ in anchors(t.encode(), length)]
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             if not held:
                 continue
@@ -201,6 +203,37 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(counted, "doc_id long, anchor long")
 
 
+def _likely_parts(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[int, int, bytes]]:
+    """(number, bytes skipped, part) of the parts of ``pieces`` (anchor, its place, text) with windows that may repeat, in order.
+
+    Windows that begin within STEP bytes of each other share all but STEP of their bytes. Where this core, at its
+    distance from the anchor, is in one piece only, none of its windows is in another. Runs of likely windows are
+    told once each.
+    """
+    times: dict[tuple[int, int, int], int] = {}
+    cores: list[list[tuple[tuple[int, int, int], int, int]]] = []
+    for anchor, place, piece in pieces:
+        own, last = [], len(piece) - length
+        # Steps are counted from the anchor, so that equal windows fall into equal steps.
+        for step in range((place - last) // STEP, place // STEP + 1):
+            lo, hi = place - step * STEP - STEP + 1, place - step * STEP  # windows of this step
+            key = (anchor, step, hash(piece[hi : lo + length]))
+            times[key] = times.get(key, 0) + 1
+            own.append((key, max(lo, 0), min(hi, last)))
+        cores.append(own)
+    for i, own in enumerate(cores):
+        begin = end = None
+        for key, lo, hi in reversed(own):  # from the first window on
+            if times[key] == 1:
+                continue
+            if begin is not None and lo > end + 1:
+                yield i, begin, pieces[i][2][begin : end + length]
+                begin = None
+            begin, end = lo if begin is None else begin, hi
+        if begin is not None and begin <= end:
+            yield i, begin, pieces[i][2][begin : end + length]
+
+
 def _ranges(doc, start, end):
     import pyarrow as pa
 
@@ -220,21 +253,21 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
             out: list[tuple] = []
             for doc_id, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors")), strict=True):
                 data, wanted = text.encode(), np.array(wanted, np.int64)
-                for anchor, first, last in anchors(data, length):
+                for anchor, place, first, last in anchors(data, length):
                     held = np.flatnonzero(np.isin(anchor, wanted))
-                    for a, lo, hi in zip(anchor[held].tolist(), first[held].tolist(), last[held].tolist(), strict=True):
-                        key, mine = (a, hi - lo, data[lo : hi + length]), (doc_id, lo, hi)
+                    for a, p, lo, hi in zip(*(x[held].tolist() for x in (anchor, place, first, last)), strict=True):
+                        key, mine = (a, p - lo, data[lo : hi + length]), (doc_id, lo, hi)
                         other = best.get(key)
                         if other is None or mine < other:
                             best[key] = mine
                         if other is not None:  # one of the two repeats the other throughout
                             late = max(mine, other)
-                            out.append((late[0], None, late[0], late[1], late[2]))
-            out += [(key[0], key[2], *where) for key, where in best.items()]
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+                            out.append((late[0], 0, None, *late))
+            out += [(*key, *where) for key, where in best.items()]
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "piece", "doc_id", "first", "last"]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "at", "piece", "doc_id", "first", "last"]
             )
 
     def matched(batches):
@@ -245,23 +278,23 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
         doc, first, last = (plain_rows.column(c).to_numpy() for c in ("doc_id", "first", "last"))
         yield _ranges(doc, first, last + length)
         table = table.filter(pa.compute.is_valid(table.column("piece")))
-        anchor, piece, doc, first, last = (table.column(c).to_pylist() for c in ("anchor", "piece", "doc_id", "first", "last"))
+        anchor, place, piece, doc, first, last = (table.column(c).to_pylist() for c in ("anchor", "at", "piece", "doc_id", "first", "last"))
         order = sorted(range(len(anchor)), key=lambda i: (doc[i], first[i]))
-        kept: dict[tuple[int, bytes], int] = {}
+        kept: dict[tuple[int, int, bytes], int] = {}
         whole: list[int] = []
         for i in order:  # the first of equal pieces stays
-            if kept.setdefault((anchor[i], piece[i]), i) != i:
+            if kept.setdefault((anchor[i], place[i], piece[i]), i) != i:
                 whole.append(i)
         yield _ranges([doc[i] for i in whole], [first[i] for i in whole], [last[i] + length for i in whole])
-        times: dict[int, int] = {}
-        for a, _ in kept:
-            times[a] = times.get(a, 0) + 1
-        # In the order of the corpus; only anchors with differing pieces are searched. One that repeats in its own piece has a piece for each place.
-        left = [i for (a, _), i in kept.items() if times[a] > 1]
-        if not left:
+        # In the order of the corpus, the parts of pieces whose windows may repeat; the others need no search.
+        parts = list(_likely_parts([(anchor[i], place[i], piece[i]) for i in kept.values()], length))
+        if not parts:
             return
-        at, offset = repeated_windows([piece[i] for i in left], np.arange(len(left)), length)
-        doc, first = np.array([doc[i] for i in left], np.int64), np.array([first[i] for i in left], np.int64)
+        left = list(kept.values())
+        rows = [left[k] for k, _, _ in parts]
+        at, offset = repeated_windows([x for _, _, x in parts], np.arange(len(parts)), length)
+        doc = np.array([doc[i] for i in rows], np.int64)
+        first = np.array([first[i] + skip for i, (_, skip, _) in zip(rows, parts, strict=True)], np.int64)
         order = np.lexsort((offset, at))
         at, offset = at[order], offset[order]
         new = np.r_[True, (at[1:] != at[:-1]) | (offset[1:] != offset[:-1] + 1)] if len(at) else np.zeros(0, bool)
@@ -269,7 +302,7 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
         end = np.r_[begin[1:] - 1, len(at) - 1] if len(at) else begin
         yield _ranges(doc[at[begin]], first[at[begin]] + offset[begin], first[at[end]] + offset[end] + length)
 
-    pieces = asked.join(plain, "doc_id").select("doc_id", "text", "anchors").mapInArrow(cut, "anchor long, piece binary, doc_id long, first long, last long")
+    pieces = asked.join(plain, "doc_id").select("doc_id", "text", "anchors").mapInArrow(cut, "anchor long, at long, piece binary, doc_id long, first long, last long")
     return pieces.repartition(n, "anchor").mapInArrow(matched, "doc_id long, start long, end long")
 
 
