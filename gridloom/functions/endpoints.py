@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions import fixed as X
 
@@ -72,7 +73,7 @@ def join_source_urls(c: Column) -> Column:
     return F.array_join(c, "; ")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _is_ipv6(hosts: pd.Series) -> pd.Series:
     import ipaddress
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+LINK = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
-@F.pandas_udf("string")
+
+@F.pandas_udf(T.StringType())
 def _decoded(bodies: pd.Series, charsets: pd.Series) -> pd.Series:
     def decode(body: bytes | None, charset: str) -> str | None:
         try:
@@ -30,7 +33,7 @@ def decode_code_file(content: Column, encoding: Column) -> Column:
     return F.when(encoding == "base64", F.make_valid_utf8(F.unbase64(content).cast("string"))).otherwise(content)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescaped(texts: pd.Series) -> pd.Series:
     import html
 
@@ -55,7 +58,7 @@ def html_to_text_unescaped(markup: Column) -> Column:
     return F.trim(F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), r"(?U)\s+", " "))
 
 
-@F.pandas_udf("array<struct<pos:int,url:string,text:string>>")
+@F.pandas_udf(T.ArrayType(LINK))
 def extract_links(markup: pd.Series, base: pd.Series) -> pd.Series:
     """Anchors with an href, in order: joined URL and text with collapsed space. An anchor never closed is dropped."""
     from html.parser import HTMLParser

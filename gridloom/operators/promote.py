@@ -89,8 +89,8 @@ def promote(seeds: DataFrame, discovered: DataFrame) -> DataFrame:
     """
     row = F.struct(*X.ENDPOINT_FIELDS, E.split_source_urls(F.col("source_url")).alias("urls"), E.is_ip_literal(F.col("domain")).alias("is_ip"))
     last = seeds.select(*E.record_key(), "ord", row.alias("row")).groupBy(*validate.KEY).agg(F.max_by("row", "ord").alias("row"))
-    first = last.select(*validate.KEY, F.lit(0).alias("src_ord"), F.lit(0).cast("long").alias("ord"), "row")
-    rest = discovered.select(*E.record_key(), "src_ord", F.col("ord").cast("long").alias("ord"), row.alias("row"))
+    first = last.select(*validate.KEY, F.lit(0).alias("src_ord"), F.lit(None).cast(discovered.schema["ord"].dataType).alias("ord"), "row")
+    rest = discovered.select(*E.record_key(), "src_ord", "ord", row.alias("row"))
     groups = first.unionByName(rest).groupBy(*validate.KEY).agg(F.sort_array(F.collect_list(F.struct("src_ord", "ord", "row"))).alias("steps"))
     folded = F.aggregate(F.slice("steps", 2, F.greatest(F.size("steps"), F.lit(1))), F.col("steps")[0]["row"], lambda a, s: _merged(a, s["row"]))
     seed = F.when(F.col("steps")[0]["src_ord"] == 0, F.col("steps")[0]["row"])
