@@ -75,40 +75,48 @@ def anchors(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.
 
 def suffix_order(text: np.ndarray, strings: int) -> np.ndarray:
     """Suffix order of a shard: ``text`` holds ``strings`` strings of symbols over 0, each closed by a 0 of its own."""
-    ends = text == 0
+    ends, n = text == 0, len(text)
     rank = np.where(ends, np.cumsum(ends) - 1, strings + text.astype(np.int64))
-    step, n = 1, len(text)
+    width = int(rank.max()) + 2
+    step = 3 if width < 1 << 20 else 1
+    key = rank
+    for k in range(1, step):  # the first symbols together
+        key = key * width
+        key[:-k] += rank[k:] + 1
     while True:
-        second = np.zeros(n, np.int64)
-        second[:-step] = rank[step:] + 1
-        key = rank * (n + strings + 300) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.empty(n, np.int64)
         fresh[order] = np.cumsum(np.r_[0, key[order[1:]] != key[order[:-1]]])
-        if fresh[order[-1]] == n - 1 or step >= n // 2 + 1:
+        if fresh[order[-1]] == n - 1 or step >= n:
             return order
-        rank, step = fresh, step * 2
+        key = fresh * (n + 1)
+        key[:-step] += fresh[step:] + 1
+        step *= 2
 
 
 def merged_intervals(shards: list[tuple[np.ndarray, int]], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(place of each suffix in the shards' joined text, interval) in merged order; suffixes of an interval share ``depth`` symbols.
 
-    ``shards`` are (text, strings) as ``suffix_order`` takes them, with symbols under 256.
+    ``shards`` are (text, strings) as ``suffix_order`` takes them, all of one unsigned type of at most 16 bits, which sorts by digits.
     """
     orders = [suffix_order(t, k) for t, k in shards]
     starts = np.cumsum([0, *(len(t) for t, _ in shards)])
-    transforms = np.concatenate([t[o - 1] for (t, _), o in zip(shards, orders, strict=True)]).astype(np.uint8)  # a first symbol is preceded by an end
+    transforms = np.concatenate([t[o - 1] for (t, _), o in zip(shards, orders, strict=True)])  # a first symbol is preceded by an end
     shard = np.repeat(np.arange(len(shards), dtype=np.uint16), np.diff(starts))
     if len(shards) <= 256:
         shard = shard.astype(np.uint8)
     strings = sum(k for _, k in shards)
     closing = np.repeat(np.arange(len(shards), dtype=shard.dtype), [k for _, k in shards])
     interleave, interval = shard.copy(), np.zeros(len(shard), np.int32)
-    symbol = np.empty(len(shard), np.uint8)
+    symbol = np.empty(len(shard), transforms.dtype)
     edge = np.ones(len(shard), bool)
     for _ in range(depth):
         # Each shard's transform is read in its own order, wherever the interleave has put its rows.
-        symbol[np.argsort(interleave, kind="stable")] = transforms
+        if len(shards) > 8:
+            symbol[np.argsort(interleave, kind="stable")] = transforms
+        else:
+            for k, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
+                symbol[interleave == k] = transforms[a:b]
         order = np.argsort(symbol, kind="stable")
         sorted_symbol, sorted_interval = symbol[order], interval[order]
         np.not_equal(sorted_symbol[1:], sorted_symbol[:-1], out=edge[1:])
@@ -131,27 +139,23 @@ def repeated_windows(pieces: list[bytes], first_of: np.ndarray, length: int = LE
     Of equal windows the one with the least (rank of piece, offset) is the first; ``first_of`` gives the rank, and pieces of
     one document rank by their start, so that this is the order of the corpus.
     """
-    alphabet = np.unique(np.frombuffer(b"".join(pieces), np.uint8))
-    if len(alphabet) > 255:
-        raise ValueError("text in UTF-8 has fewer byte values")
-    code = np.zeros(256, np.uint8)
-    code[alphabet] = np.arange(1, len(alphabet) + 1)
-    shards, held, size = [], [], 0
-    for piece in [*pieces, None]:
-        if held and (piece is None or size + len(piece) >= SHARD_SYMBOLS):
-            coded = code[np.frombuffer(b"\0".join(held) + b"\0", np.uint8)]
-            coded[np.cumsum([len(x) + 1 for x in held]) - 1] = 0
-            shards.append((coded, len(held)))
-            held, size = [], 0
-        if piece is not None:
-            held.append(piece)
-            size += len(piece) + 1
-    place, interval = merged_intervals(shards, length)
-    sizes = np.array([len(x) for x in pieces], np.int64)
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    piece = np.searchsorted(starts, place, "right") - 1
-    offset = place - starts[piece]
-    window = offset + length <= sizes[piece]
+    # Two bytes make a symbol where the length is even: a piece is one string of symbols from each of its first two bytes.
+    wide = 2 if length % 2 == 0 else 1
+    strings = [p[k:] + b"\0" * (-len(p[k:]) % wide) for p in pieces for k in range(wide)]
+    counts = np.array([len(x) // wide for x in strings], np.int64)
+    seen, symbols = np.unique(np.frombuffer(b"".join(strings), f">u{wide}"), return_inverse=True)
+    if len(seen) >= 1 << 16:
+        raise ValueError("text in UTF-8 has fewer pairs of bytes")
+    ends = np.cumsum(counts + 1) - 1
+    coded = np.zeros(int(ends[-1]) + 1, np.uint16)
+    coded[np.arange(len(symbols)) + np.repeat(np.arange(len(strings)), counts)] = symbols + 1
+    cuts = np.unique(np.searchsorted(ends, np.arange(SHARD_SYMBOLS, len(coded), SHARD_SYMBOLS)) + 1)
+    cuts = [0, *cuts[cuts < len(strings)].tolist(), len(strings)]
+    shards = [(coded[(ends[a - 1] + 1 if a else 0) : ends[b - 1] + 1], b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+    place, interval = merged_intervals(shards, length // wide)
+    string = np.searchsorted(ends, place)
+    piece, offset = string // wide, string % wide + wide * (place - (ends[string] - counts[string]))
+    window = offset + length <= np.array([len(x) for x in pieces], np.int64)[piece]
     piece, offset, interval = piece[window], offset[window], interval[window]
     order = np.lexsort((offset, first_of[piece], interval))
     piece, offset, interval = piece[order], offset[order], interval[order]
