@@ -31,7 +31,7 @@ BANDS, ROWS, LOW_BITS, SIGNED = 40, 5, 4, 192
 MARGIN = 0.15
 
 #: Of one block of a cluster, on average: shingles and members. A task holds two.
-BLOCK_SHINGLES, BLOCK_MEMBERS = 400_000, 800
+BLOCK_SHINGLES, BLOCK_MEMBERS = 250_000, 500
 
 LEAST_ID = -(1 << 63)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Words whose hash a task keeps, in each of two generations.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
