@@ -75,7 +75,8 @@ class WordIds:
 
     Where the tokenizer lower-cases and cuts words into runs of letters and runs of punctuation, a word that is letters and
     then punctuation is its two parts: the letters go straight to the tokenizer's BPE model, the few endings there are
-    through the whole tokenizer. Any other word goes through the whole tokenizer.
+    through the whole tokenizer. Any other word goes through the whole tokenizer. The string of a special token in a text
+    is that token, as by the library's default.
     """
 
     # The steps of such a tokenizer, and the endings that no rule of its pattern joins with letters.
@@ -89,7 +90,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(tokenizer_file)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         steps = json.loads(self.whole.to_str())
         cut = (steps["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.split = (

@@ -315,6 +315,25 @@ def test_word_ids_equal_the_tokenizer(words_file):
         assert b"".join(ids.of(w) for w in text.replace("\n", " ").split(" ")) == whole
 
 
+def test_special_tokens_in_a_text_are_as_the_library_gives_them(spark, words_file):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from gridloom.llm.packing import WordIds, token_pieces
+
+    ids, fresh, rng = WordIds(words_file), Tokenizer.from_file(words_file), random.Random(14)
+    as_bytes = lambda text: np.array(fresh.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert fresh.encode("hello <|endoftext|> world", add_special_tokens=False).ids == [3306, 49407, 1002]
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "hello", "don't", " ", "\n", "\t", "é", "\u0301", "!", "|>", "中"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|startoftext|>b\n<|endoftext|>!"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(2000)]
+    for text in texts:
+        assert b"".join(ids.of(w) for w in text.replace("\n", " ").split(" ")) == as_bytes(text)
+    frame = spark.createDataFrame(list(enumerate(texts[:50])), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in token_pieces(frame, words_file).collect()}
+    assert got == {i: (len(b := as_bytes(t) + bytes(4)) // 4, zlib.crc32(b)) for i, t in enumerate(texts[:50])}
+
+
 def test_fingerprints(spark, docs, empty):
     from gridloom.llm.fingerprints import Fingerprinter, edited_text, fingerprint_pairs
 
