@@ -13,6 +13,9 @@ the same document). Finding these strings takes four steps, and matches never cr
    i symbols with one stable pass over the symbols that precede, and splits the intervals of suffixes that share i
    symbols. After ``length`` rounds an interval of more than one suffix is a repeated string. Suffixes are
    not sorted again across shards.
+   An anchor that occurs more than HOT times would make one large group. Its windows are not searched but dealt one by one, by
+   a 128-bit hash of their bytes: windows that repeat within a chunk are settled there, so a window that a third of all
+   documents share costs one row a chunk, and those that differ in every document spread over all tasks.
 4. Repeated windows come back to their documents as byte ranges, and what they cover is cut out.
 """
 
@@ -24,11 +27,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, shuffle_partitions, text_of
+from gridloom.llm.common import bounded_batches, shared_checkpoint, shuffle_partitions, text_of
 
 LENGTH, GRAM = 100, 24
 #: Windows that are ruled out together, by the bytes they share.
 STEP = 12
+#: An anchor that occurs more often has its windows dealt one by one, so many of them at a time.
+HOT, HOT_WINDOWS = 2000, 1 << 18
 #: Symbols of one shard.
 SHARD_SYMBOLS = 1 << 20
 #: Bytes of a document that are looked at together; places are kept in 24 bits.
@@ -164,14 +169,14 @@ def repeated_windows(pieces: list[bytes], first_of: np.ndarray, length: int = LE
 
 
 def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
-    """(doc_id, anchor) of the anchors that occur more than once in the corpus.
+    """(doc_id, anchor) of the anchors that occur more than once in the corpus, and (null, anchor) of those that occur more than HOT times.
 
     What a batch sees more than once is settled there: its documents are told at once, and one row speaks for all of them in the
     count. So an anchor of a passage that a third of all documents share costs one row a batch.
     """
     import pyarrow as pa
 
-    n = shuffle_partitions(plain.sparkSession)
+    n, hot = shuffle_partitions(plain.sparkSession), HOT
 
     def seen(batches):
         for batch in batches:
@@ -187,7 +192,7 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
             count = np.diff(np.r_[np.flatnonzero(new), len(anchor)])
             several = np.repeat(count > 1, count)
             told = several & (new | np.r_[True, doc[1:] != doc[:-1]])
-            out = (np.r_[anchor[told], anchor[new]], np.r_[doc[told], doc[new]], np.r_[np.zeros(told.sum(), np.int32), np.minimum(count, 2).astype(np.int32)])
+            out = (np.r_[anchor[told], anchor[new]], np.r_[doc[told], doc[new]], np.r_[np.zeros(told.sum(), np.int32), count.astype(np.int32)])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["anchor", "doc_id", "times"])
 
     def counted(batches):
@@ -197,10 +202,15 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
         anchor, doc, times = (table.column(c).to_numpy() for c in ("anchor", "doc_id", "times"))
         yield pa.RecordBatch.from_arrays([pa.array(doc[times == 0]), pa.array(anchor[times == 0])], names=["doc_id", "anchor"])
         anchor, doc, times = (x[times > 0] for x in (anchor, doc, times))
-        _, where = np.unique(anchor, return_inverse=True)
+        if not len(anchor):
+            return
+        distinct, where = np.unique(anchor, return_inverse=True)
+        count = np.bincount(where, times)
         # A row that stands for several has told its documents already; telling one again does no harm.
-        told = np.bincount(where, times)[where] > 1 if len(where) else np.zeros(0, bool)
+        told = count[where] > 1
         yield pa.RecordBatch.from_arrays([pa.array(doc[told]), pa.array(anchor[told])], names=["doc_id", "anchor"])
+        often = distinct[count > hot]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), pa.array(often)], names=["doc_id", "anchor"])
 
     rows = plain.mapInArrow(seen, "anchor long, doc_id long, times int")
     dealt = rows.repartition(n, F.when(F.col("times") == 0, F.col("doc_id")).otherwise(F.col("anchor")))
@@ -238,6 +248,44 @@ def _likely_parts(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator
             yield i, begin, pieces[i][2][begin : end + length]
 
 
+def _again(key: tuple[np.ndarray, ...], doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which rows have the ``key`` of a row with a smaller (doc, start)."""
+    order = np.lexsort((start, doc, *key))
+    same = np.ones(max(0, len(doc) - 1), bool)
+    for part in key:
+        part = part[order]
+        same &= part[1:] == part[:-1]
+    again = np.zeros(len(doc), bool)
+    again[order[1:]] = same
+    return again
+
+
+def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last row of each run of windows that start in a row; rows are in order."""
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)] if len(doc) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    return begin, np.r_[begin[1:] - 1, len(doc) - 1] if len(doc) else begin
+
+
+def _dealt_windows(pieces: list[tuple[int, int, bytes]], length: int):
+    """Rows of windows of ``pieces`` (doc_id, first window, text, in order): runs that repeat an earlier window of ``pieces``, then the hashes of the others."""
+    import pyarrow as pa
+    from hashlib import blake2b
+
+    counts = np.array([len(x) - length + 1 for _, _, x in pieces], np.int64)
+    hashed = b"".join([blake2b(x[i : i + length], digest_size=16).digest() for _, _, x in pieces for i in range(len(x) - length + 1)])
+    high, low = np.frombuffer(hashed, np.int64).reshape(-1, 2).T
+    doc = np.repeat(np.array([d for d, _, _ in pieces], np.int64), counts)
+    start = np.repeat(np.array([f for _, f, _ in pieces], np.int64) - np.cumsum(counts) + counts, counts) + np.arange(len(doc))
+    again = _again((high, low), doc, start)
+    names = ["anchor", "at", "piece", "doc_id", "first", "last"]
+    begin, end = _runs(doc[again], start[again])
+    late, first, last = doc[again][begin], start[again][begin], start[again][end]
+    yield pa.RecordBatch.from_arrays([pa.array(late), pa.array(np.zeros_like(late)), pa.nulls(len(late), pa.binary()), *map(pa.array, (late, first, last))], names=names)
+    high, low, doc, start = (x[~again] for x in (high, low, doc, start))
+    yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), pa.array([b""] * len(doc), pa.binary()), *map(pa.array, (doc, start, start))], names=names)
+
+
 def _ranges(doc, start, end):
     import pyarrow as pa
 
@@ -249,7 +297,10 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
     import pyarrow as pa
 
     n = shuffle_partitions(plain.sparkSession)
-    asked = _repeated_anchors(plain, length).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    repeated = shared_checkpoint(_repeated_anchors(plain, length))
+    # An anchor for every HOT occurrences at most; 8 bytes each.
+    hot = np.sort(np.array([r["anchor"] for r in repeated.where(F.col("doc_id").isNull()).select("anchor").collect()], np.int64))
+    asked = repeated.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
     def cut(batches):
         for batch in batches:
@@ -267,12 +318,22 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
                         if other is not None:  # one of the two repeats the other throughout
                             late = max(mine, other)
                             out.append((late[0], 0, None, *late))
-            out += [(*key, *where) for key, where in best.items()]
+            often = set(hot[np.isin(hot, np.array([a for a, _, _ in best], np.int64))].tolist())
+            out += [(*key, *where) for key, where in best.items() if key[0] not in often]
             columns = list(zip(*out, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "at", "piece", "doc_id", "first", "last"]
             )
+            chunk, windows = [], 0
+            for (doc_id, first, last), text in sorted((where, key[2]) for key, where in best.items() if key[0] in often):
+                chunk.append((doc_id, first, text))
+                windows += last - first + 1
+                if windows >= HOT_WINDOWS:
+                    yield from _dealt_windows(chunk, length)
+                    chunk, windows = [], 0
+            if chunk:
+                yield from _dealt_windows(chunk, length)
 
     def matched(batches):
         table = pa.Table.from_batches(b) if (b := list(batches)) else None
@@ -282,6 +343,11 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
         doc, first, last = (plain_rows.column(c).to_numpy() for c in ("doc_id", "first", "last"))
         yield _ranges(doc, first, last + length)
         table = table.filter(pa.compute.is_valid(table.column("piece")))
+        single = pa.compute.equal(pa.compute.binary_length(table.column("piece")), 0)
+        high, low, doc, first = (table.filter(single).column(c).to_numpy() for c in ("anchor", "at", "doc_id", "first"))
+        again = _again((high, low), doc, first)
+        yield _ranges(doc[again], first[again], first[again] + length)
+        table = table.filter(pa.compute.invert(single))
         anchor, place, piece, doc, first, last = (table.column(c).to_pylist() for c in ("anchor", "at", "piece", "doc_id", "first", "last"))
         order = sorted(range(len(anchor)), key=lambda i: (doc[i], first[i]))
         kept: dict[tuple[int, int, bytes], int] = {}
@@ -301,9 +367,7 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
         first = np.array([first[i] + skip for i, (_, skip, _) in zip(rows, parts, strict=True)], np.int64)
         order = np.lexsort((offset, at))
         at, offset = at[order], offset[order]
-        new = np.r_[True, (at[1:] != at[:-1]) | (offset[1:] != offset[:-1] + 1)] if len(at) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        end = np.r_[begin[1:] - 1, len(at) - 1] if len(at) else begin
+        begin, end = _runs(at, offset)
         yield _ranges(doc[at[begin]], first[at[begin]] + offset[begin], first[at[end]] + offset[end] + length)
 
     pieces = asked.join(plain, "doc_id").select("doc_id", "text", "anchors").mapInArrow(cut, "anchor long, at long, piece binary, doc_id long, first long, last long")

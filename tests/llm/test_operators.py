@@ -124,6 +124,26 @@ def test_suffix_dedup(spark, docs, empty):
     assert remove_repeats(docs).count() == len(TEXTS)
 
 
+def test_windows_of_a_hot_anchor_spread_over_tasks(spark, monkeypatch):
+    from gridloom.llm import suffix_dedup as S
+
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, frames = word(260), []
+    texts = [(i, word(rng.randint(90, 130)) + passage + word(rng.randint(90, 130)) + (word(60) if i % 3 else "é" + passage[5:180])) for i in range(240)]
+    texts += [(500 + i, texts[i][1]) for i in range(5)] + [(600, "z" * 900)]
+    monkeypatch.setattr(S, "HOT", 20)
+    frame = type(spark.range(1))
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (frames.append(self) if "piece" in self.columns else None, repartition(self, *a))[1])
+    docs = repartition(spark.createDataFrame(texts, "doc_id long, text string"), 5)
+    got = S.remove_repeats(docs).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute_repeats(texts, 100)
+    # Of what is dealt for the search, no key has more than a few rows a task, though 240 documents share the passage.
+    [dealt] = frames
+    assert max(r["count"] for r in dealt.where("piece is not null").groupBy("anchor").count().collect()) <= 20
+
+
 def test_merged_intervals_equal_sorted_suffixes():
     import numpy as np
 
