@@ -12,8 +12,8 @@ from gridloom.functions import text as TX
 from gridloom.operators import dedupe, extract, records, validate
 from gridloom.sources import files
 
-#: A page without one of these has no hit, and is not searched further.
-CHEAP = r"(?U)\d\s*:\s*\d|[a-zA-Z0-9-]\s*:\s*\d{2}|stratum\+"
+#: A page without one of these has no hit, and is not searched further; the flags are those of the patterns of hits.
+CHEAP = rf"{X.FLAGS}\d\s*:\s*\d|[a-z0-9-]\s*:\s*\d{{2}}|stratum\+"
 
 
 def page_texts(pages: DataFrame) -> DataFrame:

@@ -29,6 +29,15 @@ def test_crawl_job(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/nodes.parquet")).count() == 1
 
 
+def test_prefilter_keeps_every_page_with_a_hit(spark):
+    texts = ["STRATUM+TCP://pool.example:5", "Stratum+Ssl://eu.pool.example : 7", "at btc.POOL.EXAMPLE:3333", "nothing"]
+    rows = [("pool.example", "P", i, f"https://pool.example/{i}", "text/plain", bytearray(t.encode())) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, PAGES)
+    assert {r["page_ord"] for r in crawl.page_texts(frame).collect()} == {0, 1, 2}
+    found = {(r["domain"].lower(), r["port"]) for r in crawl.crawl(frame, "2026-04-17")[0].collect()}
+    assert found == {("pool.example", 5), ("eu.pool.example", 7), ("btc.pool.example", 3333)}
+
+
 def test_library_and_directory_jobs(spark, tmp_path):
     crawl.crawl(pages(spark), "2026-04-17")[0].drop("errors").write.parquet(str(tmp_path / "seeds"))
     library.main(spark, str(tmp_path / "seeds"), str(tmp_path / "lib"), f"crawl:trusted:{tmp_path}/seeds")
