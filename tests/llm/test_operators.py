@@ -144,6 +144,28 @@ def test_windows_of_a_hot_anchor_spread_over_tasks(spark, monkeypatch):
     assert max(r["count"] for r in dealt.where("piece is not null").groupBy("anchor").count().collect()) <= 20
 
 
+def test_repeated_windows_over_several_shards(monkeypatch):
+    import numpy as np
+
+    from gridloom.llm import suffix_dedup as S
+
+    rng, shards, merged = random.Random(13), [], S.merged_intervals
+    monkeypatch.setattr(S, "merged_intervals", lambda parts, depth: (shards.append(len(parts)), merged(parts, depth))[1])
+    for length in (9, 10):
+        for symbols in (16, 60, 1 << 20):
+            monkeypatch.setattr(S, "SHARD_SYMBOLS", symbols)
+            pieces = ["".join(rng.choice("ab") for _ in range(rng.randint(length, 30))).encode() for _ in range(25)]
+            seen, want = set(), set()
+            for i, piece in enumerate(pieces):
+                for s in range(len(piece) - length + 1):
+                    if piece[s : s + length] in seen:
+                        want.add((i, s))
+                    seen.add(piece[s : s + length])
+            at, offset = S.repeated_windows(pieces, np.arange(len(pieces)), length)
+            assert set(zip(at.tolist(), offset.tolist(), strict=True)) == want
+    assert min(shards) == 1 and max(shards) > 8
+
+
 def test_merged_intervals_equal_sorted_suffixes():
     import numpy as np
 
