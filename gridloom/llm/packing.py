@@ -1,11 +1,11 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed capacity, in bulk-synchronous rounds.
+"""Best-fit packing of tokenised documents into sequences of a fixed capacity, in rounds that the driver plans.
 
 Documents are range-sorted by length and numbered. Documents of one length are alike to a packing,
 and so are gaps of one size, so the rounds work on runs: a run of documents is (length, ranks), a run of
 gaps is (size, sequences). A round takes the longest run of documents left, sweeps it to its
 successor, the smallest gap that holds it, gives the gaps out by rank (rank r of the run goes to gap
 r), updates the gaps and repeats. There are at most ``capacity`` lengths and ``capacity`` gap sizes
-whatever the corpus, so the runs fit in one place; the documents themselves never leave their
+whatever the corpus, so the driver plans all rounds from the histogram of lengths, without Spark; the documents themselves never leave their
 partitions, and look up their sequence and offset by their number.
 """
 
