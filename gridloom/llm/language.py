@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import bounded_batches, text_of
 
-#: Labelled rows that profiles are learned from, per language, and languages, those with most rows first.
-FIT_ROWS, MAX_LANGUAGES = 500, 200
+#: Labelled rows that profiles are learned from, per language.
+FIT_ROWS = 500
 #: N-grams in a language's profile, and in a document's.
 PROFILE_SIZE = 400
 UNKNOWN = "und"
@@ -69,14 +69,14 @@ def held_out_row(doc_id: Column) -> Column:
 def learn_profiles(docs: DataFrame, rows_per_language: int = FIT_ROWS, size: int = PROFILE_SIZE) -> dict[str, list[int]]:
     """N-grams of each language, most frequent first, from rows of ``docs`` (doc_id, text, lang) with a lang.
 
-    At most ``rows_per_language`` rows of each of at most MAX_LANGUAGES languages are used, those whose doc_id
-    hashes lowest; so what comes to the driver is bound by parameters alone.
+    At most ``rows_per_language`` rows of each language are used, those whose doc_id hashes lowest; so what comes to
+    the driver is bound by the parameters and the number of languages.
     """
     import pyarrow as pa
 
     bounded_batches(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", text_of().alias("text"))
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     known = {r["lang"]: r["n"] for r in counts.collect()}
     if not known:
         return {}

@@ -422,6 +422,15 @@ def test_language(spark, docs, empty):
     assert L.keep_known_languages(empty).count() == 0
 
 
+def test_every_labelled_language_is_learned(spark):
+    from gridloom.llm.language import learn_profiles
+
+    rows = [(i, chr(0x4E00 + i) * 5, f"l{i:03}") for i in range(230)]
+    profiles = learn_profiles(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(profiles) == {lang for _, _, lang in rows}
+    assert all(ord(text[0]) in profiles[lang] for _, text, lang in rows)
+
+
 def test_language_held_out_accuracy(spark):
     from gridloom.llm.language import identify
 
