@@ -1,14 +1,15 @@
 """Removal of repeated byte strings by merged Burrows-Wheeler transforms.
 
 A byte goes if some string of ``length`` bytes that covers it also starts earlier (a smaller doc_id, or an earlier start in
-the same document). Finding these strings takes four steps, and matches never cross documents:
+the same document). Finding these strings takes four steps, and matches never cross documents. A row is known by its id and
+the hash of its text (``doc``, ``mark``), so that rows without an id, or two texts under one id, are never taken for each other:
 
 1. Every window of ``length`` bytes has an anchor, the leftmost of its k-grams with the least hash. Equal windows have equal
    anchors at equal places, so only windows whose anchor occurs more than once in the corpus can repeat.
 2. Those windows are dealt by their anchor. The windows that one occurrence of an anchor owns start in a row, so they travel
    as one piece of text; pieces that are equal byte for byte need no search, the first of them is kept and the others
    are repeats throughout.
-3. In a partition the differing pieces of an anchor are cut into shards. Each shard gets its own suffix order and
+3. A task reads its pieces in the order of their anchors and holds a bounded run of whole anchors at a time, whose differing pieces are cut into shards. Each shard gets its own suffix order and
    Burrows-Wheeler transform; the transforms are merged by interleave refinement: round i orders the interleave by the first
    i symbols with one stable pass over the symbols that precede, and splits the intervals of suffixes that share i
    symbols. After ``length`` rounds an interval of more than one suffix is a repeated string. Suffixes are
@@ -34,8 +35,8 @@ LENGTH, GRAM = 100, 24
 STEP = 12
 #: An anchor that occurs more often has its windows dealt one by one, so many of them at a time.
 HOT, HOT_WINDOWS = 2000, 1 << 18
-#: Symbols of one shard.
-SHARD_SYMBOLS = 1 << 20
+#: Symbols of one shard, and bytes of pieces that a task holds at a time (more only where one anchor has more).
+SHARD_SYMBOLS, HELD_BYTES = 1 << 16, 32 << 20
 #: Bytes of a document that are looked at together; places are kept in 24 bits.
 SLICE = 1 << 23
 
@@ -169,7 +170,7 @@ def repeated_windows(pieces: list[bytes], first_of: np.ndarray, length: int = LE
 
 
 def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
-    """(doc_id, anchor) of the anchors that occur more than once in the corpus, and (null, anchor) of those that occur more than HOT times.
+    """(doc, anchor) of the anchors that occur more than once in the corpus, and (null, anchor) of those that occur more than HOT times.
 
     What a batch sees more than once is settled there: its documents are told at once, and one row speaks for all of them in the
     count. So an anchor of a passage that a third of all documents share costs one row a batch.
@@ -180,8 +181,8 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
 
     def seen(batches):
         for batch in batches:
-            held = [(i, h) for i, t in enumerate(batch.column(1).to_pylist()) for h, _, _, _ in anchors(t.encode(), length)]
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            held = [(i, h) for i, t in enumerate(batch.column("text").to_pylist()) for h, _, _, _ in anchors(t.encode(), length)]
+            ids = batch.column("doc").to_numpy(zero_copy_only=False)
             if not held:
                 continue
             anchor = np.concatenate([h for _, h in held])
@@ -193,14 +194,14 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
             several = np.repeat(count > 1, count)
             told = several & (new | np.r_[True, doc[1:] != doc[:-1]])
             out = (np.r_[anchor[told], anchor[new]], np.r_[doc[told], doc[new]], np.r_[np.zeros(told.sum(), np.int32), count.astype(np.int32)])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["anchor", "doc_id", "times"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["anchor", "doc", "times"])
 
     def counted(batches):
         table = pa.Table.from_batches(b) if (b := list(batches)) else None
         if table is None:
             return
-        anchor, doc, times = (table.column(c).to_numpy() for c in ("anchor", "doc_id", "times"))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[times == 0]), pa.array(anchor[times == 0])], names=["doc_id", "anchor"])
+        anchor, doc, times = (table.column(c).to_numpy() for c in ("anchor", "doc", "times"))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[times == 0]), pa.array(anchor[times == 0])], names=["doc", "anchor"])
         anchor, doc, times = (x[times > 0] for x in (anchor, doc, times))
         if not len(anchor):
             return
@@ -208,13 +209,13 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
         count = np.bincount(where, times)
         # A row that stands for several has told its documents already; telling one again does no harm.
         told = count[where] > 1
-        yield pa.RecordBatch.from_arrays([pa.array(doc[told]), pa.array(anchor[told])], names=["doc_id", "anchor"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[told]), pa.array(anchor[told])], names=["doc", "anchor"])
         often = distinct[count > hot]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), pa.array(often)], names=["doc_id", "anchor"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), pa.array(often)], names=["doc", "anchor"])
 
-    rows = plain.mapInArrow(seen, "anchor long, doc_id long, times int")
-    dealt = rows.repartition(n, F.when(F.col("times") == 0, F.col("doc_id")).otherwise(F.col("anchor")))
-    return dealt.mapInArrow(counted, "doc_id long, anchor long")
+    rows = plain.mapInArrow(seen, "anchor long, doc long, times int")
+    dealt = rows.repartition(n, F.when(F.col("times") == 0, F.col("doc")).otherwise(F.col("anchor")))
+    return dealt.mapInArrow(counted, "doc long, anchor long")
 
 
 def _likely_parts(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[int, int, bytes]]:
@@ -248,87 +249,183 @@ def _likely_parts(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator
             yield i, begin, pieces[i][2][begin : end + length]
 
 
-def _again(key: tuple[np.ndarray, ...], doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which rows have the ``key`` of a row with a smaller (doc, start)."""
-    order = np.lexsort((start, doc, *key))
+def _again(key: tuple[np.ndarray, ...], doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which rows have the ``key`` of a row with a smaller (document, start); rows of one place are told once."""
+    order = np.lexsort((start, mark, doc, mark >= 0, *key))
     same = np.ones(max(0, len(doc) - 1), bool)
     for part in key:
         part = part[order]
         same &= part[1:] == part[:-1]
+    here = np.ones(len(same), bool)
+    for part in (doc, mark, start):
+        part = part[order]
+        here &= part[1:] == part[:-1]
+    # A row that is read twice is no repeat of itself, but both are repeats of what comes before them.
+    first = np.r_[True, ~same] if len(doc) else np.zeros(0, bool)
+    group = np.cumsum(first) - 1
+    head = np.flatnonzero(first)[group] if len(doc) else group
+    run = np.flatnonzero(np.r_[True, ~(same & here)]) if len(doc) else head
     again = np.zeros(len(doc), bool)
-    again[order[1:]] = same
+    if len(doc):
+        begin = run[np.searchsorted(run, np.arange(len(doc)), "right") - 1]
+        again[order] = begin != head
     return again
 
 
-def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _runs(doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last row of each run of windows that start in a row; rows are in order."""
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)] if len(doc) else np.zeros(0, bool)
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (start[1:] != start[:-1] + 1)] if len(doc) else np.zeros(0, bool)
     begin = np.flatnonzero(new)
     return begin, np.r_[begin[1:] - 1, len(doc) - 1] if len(doc) else begin
 
 
-def _dealt_windows(pieces: list[tuple[int, int, bytes]], length: int):
-    """Rows of windows of ``pieces`` (doc_id, first window, text, in order): runs that repeat an earlier window of ``pieces``, then the hashes of the others."""
+#: What travels to the search: pieces of text (``last`` unused), windows dealt one by one (an empty piece), and runs of windows known to repeat (a null one).
+PIECES = ("anchor", "at", "piece", "doc", "mark", "first", "last")
+PIECES_SCHEMA = "anchor long, at long, piece binary, doc long, mark long, first long, last long"
+RANGES = ("doc", "mark", "start", "end")
+RANGES_SCHEMA = "doc long, mark long, start long, end long"
+
+
+def _piece_rows(anchor, at, piece, doc, mark, first, last):
     import pyarrow as pa
+
+    long = lambda x: pa.array(x, pa.int64())
+    return pa.RecordBatch.from_arrays([long(anchor), long(at), pa.array(piece, pa.binary()), *map(long, (doc, mark, first, last))], names=list(PIECES))
+
+
+def _known(doc, mark, first, last):
+    """Rows of runs of windows that are known to repeat; dealt by their document."""
+    return _piece_rows(doc, np.zeros_like(first), [None] * len(first), doc, mark, first, last)
+
+
+def _dealt_windows(pieces: list[tuple[int, int, int, bytes]], length: int):
+    """Rows of windows of ``pieces`` (doc, mark, first window, text; in order): runs that repeat an earlier window of ``pieces``, then the hashes of the others."""
     from hashlib import blake2b
 
-    counts = np.array([len(x) - length + 1 for _, _, x in pieces], np.int64)
-    hashed = b"".join([blake2b(x[i : i + length], digest_size=16).digest() for _, _, x in pieces for i in range(len(x) - length + 1)])
+    counts = np.array([len(x) - length + 1 for *_, x in pieces], np.int64)
+    hashed = b"".join([blake2b(x[i : i + length], digest_size=16).digest() for *_, x in pieces for i in range(len(x) - length + 1)])
     high, low = np.frombuffer(hashed, np.int64).reshape(-1, 2).T
-    doc = np.repeat(np.array([d for d, _, _ in pieces], np.int64), counts)
-    start = np.repeat(np.array([f for _, f, _ in pieces], np.int64) - np.cumsum(counts) + counts, counts) + np.arange(len(doc))
-    again = _again((high, low), doc, start)
-    names = ["anchor", "at", "piece", "doc_id", "first", "last"]
-    begin, end = _runs(doc[again], start[again])
-    late, first, last = doc[again][begin], start[again][begin], start[again][end]
-    yield pa.RecordBatch.from_arrays([pa.array(late), pa.array(np.zeros_like(late)), pa.nulls(len(late), pa.binary()), *map(pa.array, (late, first, last))], names=names)
-    high, low, doc, start = (x[~again] for x in (high, low, doc, start))
-    yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), pa.array([b""] * len(doc), pa.binary()), *map(pa.array, (doc, start, start))], names=names)
-
-
-def _ranges(doc, start, end):
+    doc, mark, first = (np.repeat(np.array([p[k] for p in pieces], np.int64), counts) for k in range(3))
+    start = first - np.repeat(np.cumsum(counts) - counts, counts) + np.arange(len(doc))
+    again = _again((high, low), doc, mark, start)
+    begin, end = _runs(doc[again], mark[again], start[again])
+    yield _known(doc[again][begin], mark[again][begin], start[again][begin], start[again][end])
+    high, low, doc, mark, start = (x[~again] for x in (high, low, doc, mark, start))
+    yield _piece_rows(high, low, [b""] * len(doc), doc, mark, start, np.zeros_like(start))
+
+
+def _ranges(doc, mark, start, end):
     import pyarrow as pa
 
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, start, end)], names=["doc_id", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, mark, start, end)], names=list(RANGES))
 
 
-def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, start, end) of byte ranges covered by windows that occur earlier too; ranges may overlap."""
+def _whole_anchors(batches) -> Iterator:
+    """Tables of about HELD_BYTES from batches in the order of anchors; no anchor lies in two of them."""
     import pyarrow as pa
 
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.nbytes
+        if size < HELD_BYTES:
+            continue
+        table = pa.Table.from_batches(held)
+        anchor = table.column("anchor").to_numpy()
+        cut = int(np.searchsorted(anchor, anchor[-1]))
+        if cut:
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+            size = sum(b.nbytes for b in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _matched(table, length: int) -> Iterator:
+    """Ranges of windows that occur earlier too, from the rows of whole anchors."""
+    import pyarrow.compute as pc
+
+    known = table.filter(pc.is_null(table.column("piece")))
+    doc, mark, first, last = (known.column(c).to_numpy() for c in ("doc", "mark", "first", "last"))
+    yield _ranges(doc, mark, first, last + length)
+    table = table.filter(pc.is_valid(table.column("piece")))
+    single = pc.equal(pc.binary_length(table.column("piece")), 0)
+    high, low, doc, mark, first = (table.filter(single).column(c).to_numpy() for c in ("anchor", "at", "doc", "mark", "first"))
+    again = _again((high, low), doc, mark, first)
+    yield _ranges(doc[again], mark[again], first[again], first[again] + length)
+    table = table.filter(pc.invert(single))
+    doc, mark, first = (table.column(c).to_numpy() for c in ("doc", "mark", "first"))
+    anchor, place, piece = (table.column(c).to_pylist() for c in ("anchor", "at", "piece"))
+    order = np.lexsort((first, mark, doc, mark >= 0)).tolist()
+    kept: dict[tuple[int, int, bytes], int] = {}
+    whole: list[int] = []
+    for i in order:  # the first of equal pieces stays; a row that is read twice is no repeat of itself
+        other = kept.setdefault((anchor[i], place[i], piece[i]), i)
+        if other != i and (doc[i], mark[i], first[i]) != (doc[other], mark[other], first[other]):
+            whole.append(i)
+    size = np.array([len(piece[i]) for i in whole], np.int64)
+    yield _ranges(doc[whole], mark[whole], first[whole], first[whole] + size)
+    # In the order of the corpus, the parts of pieces whose windows may repeat; the others need no search.
+    left = list(kept.values())
+    parts = list(_likely_parts([(anchor[i], place[i], piece[i]) for i in left], length))
+    if not parts:
+        return
+    rows = np.array([left[k] for k, _, _ in parts])
+    at, offset = repeated_windows([x for _, _, x in parts], np.arange(len(parts)), length)
+    doc, mark, first = doc[rows], mark[rows], first[rows] + np.array([skip for _, skip, _ in parts], np.int64)
+    order = np.lexsort((offset, at))
+    at, offset = at[order], offset[order]
+    begin, end = _runs(at, at, offset)
+    yield _ranges(doc[at[begin]], mark[at[begin]], first[at[begin]] + offset[begin], first[at[end]] + offset[end] + length)
+
+
+def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc, mark, start, end) of byte ranges covered by windows that occur earlier too; ranges may overlap.
+
+    ``plain`` has doc, mark and text. Rows are in the order (mark >= 0, doc, mark).
+    """
     n = shuffle_partitions(plain.sparkSession)
     repeated = shared_checkpoint(_repeated_anchors(plain, length))
     # An anchor for every HOT occurrences at most; 8 bytes each.
-    hot = np.sort(np.array([r["anchor"] for r in repeated.where(F.col("doc_id").isNull()).select("anchor").collect()], np.int64))
-    asked = repeated.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    hot = np.sort(np.array([r["anchor"] for r in repeated.where(F.col("doc").isNull()).select("anchor").collect()], np.int64))
+    asked = repeated.where(F.col("doc").isNotNull()).groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
 
     def cut(batches):
         for batch in batches:
-            best: dict[tuple[int, int, bytes], tuple[int, int, int]] = {}
-            out: list[tuple] = []
-            for doc_id, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors")), strict=True):
-                data, wanted = text.encode(), np.array(wanted, np.int64)
+            best: dict[tuple[int, int, bytes], tuple] = {}
+            late: dict[tuple[bool, int, int], list[tuple[int, int]]] = {}
+            for doc, mark, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "anchors")), strict=True):
+                data, wanted, who = text.encode(), np.array(wanted, np.int64), (mark >= 0, doc, mark)
                 for anchor, place, first, last in anchors(data, length):
                     held = np.flatnonzero(np.isin(anchor, wanted))
                     for a, p, lo, hi in zip(*(x[held].tolist() for x in (anchor, place, first, last)), strict=True):
-                        key, mine = (a, p - lo, data[lo : hi + length]), (doc_id, lo, hi)
+                        key, mine = (a, p - lo, data[lo : hi + length]), (who, lo, hi)
                         other = best.get(key)
                         if other is None or mine < other:
                             best[key] = mine
-                        if other is not None:  # one of the two repeats the other throughout
-                            late = max(mine, other)
-                            out.append((late[0], 0, None, *late))
+                        if other is not None and mine != other:  # one of the two repeats the other throughout
+                            again = max(mine, other)
+                            late.setdefault(again[0], []).append(again[1:])
+            runs = []
+            for (_, doc, mark), found in late.items():
+                found.sort()
+                begin, end = found[0]
+                for lo, hi in found:
+                    if lo > end + 1:
+                        runs.append((doc, mark, begin, end))
+                        begin = lo
+                    end = max(end, hi) if lo <= end + 1 else hi
+                runs.append((doc, mark, begin, end))
+            yield _known(*np.array(runs, np.int64).reshape(-1, 4).T)
             often = set(hot[np.isin(hot, np.array([a for a, _, _ in best], np.int64))].tolist())
-            out += [(*key, *where) for key, where in best.items() if key[0] not in often]
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "at", "piece", "doc_id", "first", "last"]
-            )
+            out = [(*key, doc, mark, lo, 0) for key, ((_, doc, mark), lo, _) in best.items() if key[0] not in often]
+            yield _piece_rows(*(list(zip(*out, strict=True)) or [()] * len(PIECES)))
             chunk, windows = [], 0
-            for (doc_id, first, last), text in sorted((where, key[2]) for key, where in best.items() if key[0] in often):
-                chunk.append((doc_id, first, text))
-                windows += last - first + 1
+            for ((_, doc, mark), lo, hi), text in sorted((where, key[2]) for key, where in best.items() if key[0] in often):
+                chunk.append((doc, mark, lo, text))
+                windows += hi - lo + 1
                 if windows >= HOT_WINDOWS:
                     yield from _dealt_windows(chunk, length)
                     chunk, windows = [], 0
@@ -336,64 +433,37 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield from _dealt_windows(chunk, length)
 
     def matched(batches):
-        table = pa.Table.from_batches(b) if (b := list(batches)) else None
-        if table is None or not table.num_rows:
-            return
-        plain_rows = table.filter(pa.compute.is_null(table.column("piece")))
-        doc, first, last = (plain_rows.column(c).to_numpy() for c in ("doc_id", "first", "last"))
-        yield _ranges(doc, first, last + length)
-        table = table.filter(pa.compute.is_valid(table.column("piece")))
-        single = pa.compute.equal(pa.compute.binary_length(table.column("piece")), 0)
-        high, low, doc, first = (table.filter(single).column(c).to_numpy() for c in ("anchor", "at", "doc_id", "first"))
-        again = _again((high, low), doc, first)
-        yield _ranges(doc[again], first[again], first[again] + length)
-        table = table.filter(pa.compute.invert(single))
-        anchor, place, piece, doc, first, last = (table.column(c).to_pylist() for c in ("anchor", "at", "piece", "doc_id", "first", "last"))
-        order = sorted(range(len(anchor)), key=lambda i: (doc[i], first[i]))
-        kept: dict[tuple[int, int, bytes], int] = {}
-        whole: list[int] = []
-        for i in order:  # the first of equal pieces stays
-            if kept.setdefault((anchor[i], place[i], piece[i]), i) != i:
-                whole.append(i)
-        yield _ranges([doc[i] for i in whole], [first[i] for i in whole], [last[i] + length for i in whole])
-        # In the order of the corpus, the parts of pieces whose windows may repeat; the others need no search.
-        parts = list(_likely_parts([(anchor[i], place[i], piece[i]) for i in kept.values()], length))
-        if not parts:
-            return
-        left = list(kept.values())
-        rows = [left[k] for k, _, _ in parts]
-        at, offset = repeated_windows([x for _, _, x in parts], np.arange(len(parts)), length)
-        doc = np.array([doc[i] for i in rows], np.int64)
-        first = np.array([first[i] + skip for i, (_, skip, _) in zip(rows, parts, strict=True)], np.int64)
-        order = np.lexsort((offset, at))
-        at, offset = at[order], offset[order]
-        begin, end = _runs(at, offset)
-        yield _ranges(doc[at[begin]], first[at[begin]] + offset[begin], first[at[end]] + offset[end] + length)
+        for table in _whole_anchors(batches):
+            yield from _matched(table, length)
 
-    pieces = asked.join(plain, "doc_id").select("doc_id", "text", "anchors").mapInArrow(cut, "anchor long, at long, piece binary, doc_id long, first long, last long")
-    return pieces.repartition(n, "anchor").mapInArrow(matched, "doc_id long, start long, end long")
+    pieces = asked.join(plain, "doc").select("doc", "mark", "text", "anchors").mapInArrow(cut, PIECES_SCHEMA)
+    return pieces.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(matched, RANGES_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """Cut repeated strings out of every text: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary).
 
     Null text counts as empty; a text of fewer than ``length`` bytes loses nothing. Of equal texts the one with the smallest
-    doc_id stays whole. Repeated rows of one doc_id and text share its ranges; a null doc_id counts as the smallest of all
-    and comes back as null. An empty table gives an empty table; other columns are not looked at.
+    doc_id stays whole. Rows without an id come before all others, and they, like several texts under one id, are documents of
+    their own in the order of their texts' hashes: a string of one goes only where another one keeps it. Rows that repeat
+    both id and text are one document: neither is a repeat of the other. An empty table gives an empty table; other
+    columns are not looked at.
     """
     import pyarrow as pa
 
-    least = -(1 << 63)
-    bounded_batches(docs.sparkSession)
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("doc_id"), text_of().alias("text"))
-    ranges = repeated_ranges(plain, length).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    lowest = -(1 << 63)
+    least, most = F.lit(lowest), F.lit(~lowest)
+    text, known = text_of(), F.col("doc_id").isNotNull()
+    mark = F.when(known, F.xxhash64(text).bitwiseAND(most)).otherwise(F.xxhash64(text).bitwiseOR(least))
+    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text)).alias("doc"), mark.alias("mark"), text.alias("text"))
+    ranges = repeated_ranges(plain, length).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
 
     def removed(batches):
         import hashlib
 
         for batch in batches:
             rows = []
-            for doc_id, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "ranges")), strict=True):
+            for doc, mark, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "ranges")), strict=True):
                 data, parts, at, gone, spans = text.encode(), [], 0, 0, 0
                 for start, end in sorted((r["start"], r["end"]) for r in found or ()):
                     if start > at or not spans:
@@ -401,11 +471,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
                         spans, at = spans + 1, start
                     gone, at = gone + max(0, end - at), max(at, end)
                 kept = b"".join([*parts, data[at:]])
-                row = (None if doc_id == least else doc_id, len(data), gone, spans, hashlib.sha256(kept).hexdigest())
+                row = (doc if mark >= 0 else None, len(data), gone, spans, hashlib.sha256(kept).hexdigest())
                 rows.append((*row, kept) if with_text else row)
             kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * len(kinds), kinds, strict=True)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return plain.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(removed, schema)
+    with small_batches(docs.sparkSession):
+        return plain.join(ranges, ["doc", "mark"], "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)
