@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 #: The columns of ``documents``; pipeline stages hand on exactly these.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-#: Rows in one Arrow batch of whole texts, and its bytes where Spark can hold to them.
+#: Rows and bytes that a task looks at together (more bytes only where one row has more).
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
@@ -23,21 +24,28 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: memory in Python follows the batch, not the partition."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def bounded(batches: Iterator) -> Iterator:
+    """Arrow batches cut into parts of bounded size: memory in Python follows the part, whatever batches the session makes."""
+    for batch in batches:
+        rows = max(1, min(BATCH_ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests, one machine) is a folder made here.
+    Only on one machine (a local master, as in tests) is a folder made here where it is unset.
     """
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def shared_checkpoint(df: DataFrame) -> DataFrame:

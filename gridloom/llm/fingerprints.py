@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, shuffle_partitions, text_of
+from gridloom.llm.common import bounded, shuffle_partitions, text_of
 from gridloom.llm.shingles import Shingler, mixed
 
 WORDS, BIN_BITS, LOW_BITS = 5, 9, 4
@@ -96,7 +96,6 @@ def fingerprint_pairs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     import pyarrow as pa
 
     spark = docs.sparkSession
-    bounded_batches(spark)
     n = shuffle_partitions(spark)
     least = -(1 << 63)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
@@ -140,7 +139,7 @@ def fingerprint_pairs(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
         printer = Fingerprinter(words)
         held = None  # (range, doc_id, text, bins) of the row whose next one is awaited
-        for batch in batches:
+        for batch in bounded(batches):
             out = []
             for span, is_guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 bins = printer.bins_of(text)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, text_of
+from gridloom.llm.common import bounded, text_of
 
 #: Labelled rows that profiles are learned from, per language.
 FIT_ROWS = 500
@@ -74,7 +74,6 @@ def learn_profiles(docs: DataFrame, rows_per_language: int = FIT_ROWS, size: int
     """
     import pyarrow as pa
 
-    bounded_batches(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", text_of().alias("text"))
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     known = {r["lang"]: r["n"] for r in counts.collect()}
@@ -98,7 +97,7 @@ def learn_profiles(docs: DataFrame, rows_per_language: int = FIT_ROWS, size: int
     def count(batches):
         import numpy as np
 
-        for batch in batches:
+        for batch in bounded(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 grams, n = ngrams(text)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])

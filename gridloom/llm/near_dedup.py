@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, shared_checkpoint, text_of
+from gridloom.llm.common import bounded, shared_checkpoint, text_of
 from gridloom.llm.components import connected_components
 from gridloom.llm.shingles import Shingler, mixed
 
@@ -84,7 +84,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
 
     def sketched(batches):
         shingler = Shingler(words)
-        for batch in batches:
+        for batch in bounded(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for group in _groups(texts, 1 << 17):
                 sets = [np.unique(shingler.shingles(t)) for t in group[1]]
@@ -107,7 +107,6 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"])
 
     schema = "doc_id long, n_shingles long, set_a long, set_b long, signature array<long>, bands array<long>"
-    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(sketched, schema)
 
 
@@ -131,7 +130,7 @@ def confirmed(links: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
         shingler = Shingler(words)
         last: tuple = (None, None)
-        for batch in batches:
+        for batch in bounded(batches):
             a, b, one, other = (c.to_pylist() for c in batch.columns)
             keep = []
             for i in range(len(a)):

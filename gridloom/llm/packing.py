@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, number_rows, shared_checkpoint, text_of
+from gridloom.llm.common import bounded, number_rows, shared_checkpoint, text_of
 
 #: Words whose ids a task keeps.
 KEPT_WORDS = 500_000
@@ -163,7 +163,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
             for w in words:
                 kept[w] = old[w] if w in old else ids_of.of(w)
 
-        for batch in batches:
+        for batch in bounded(batches):
             out: list[list] = [[], [], [], [], []]
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, text in zip(ids, texts, strict=True):
@@ -181,7 +181,6 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
 
-    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -203,7 +202,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     fields = [(c, t) for c, t in numbered.dtypes if c != "_number"]
 
     def place(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             number = batch.column(batch.schema.get_field_index("_number")).to_numpy()
             first, sequence, each, offset, length = runs[np.searchsorted(runs[:, 0], number, "right") - 1].T
             rank = number - first

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, text_of
+from gridloom.llm.common import bounded, text_of
 
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -299,7 +299,7 @@ def encode_texts(docs: DataFrame, model_file: str, with_ids: bool = False) -> Da
 
         model = PieceModel(model_file)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for batch in batches:
+        for batch in bounded(batches):
             texts = batch.column(1).to_pylist()
             ids, counts, hashes, decoded = [], [], [], []
             # Texts of about a million characters at a time.
@@ -317,6 +317,5 @@ def encode_texts(docs: DataFrame, model_file: str, with_ids: bool = False) -> Da
                 names=[n for n, _ in fields],
             )
 
-    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(encode, schema)

@@ -15,7 +15,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import DOCUMENT_COLUMNS, bounded_batches, text_of
+from gridloom.llm.common import DOCUMENT_COLUMNS, bounded, text_of
 
 # The strong patterns, in the order in which kinds sort at one start.
 ASSIGN = re.compile(
@@ -113,7 +113,7 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     def found(batches):
         import hashlib
 
-        for batch in batches:
+        for batch in bounded(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 strong, weak = find_secrets(text, scope)
@@ -124,7 +124,6 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
             arrays = [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"])
 
-    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long"
     return rows.mapInArrow(found, schema)
@@ -140,7 +139,7 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[SECRET]") -> DataF
     columns = [F.col(c).cast("long" if c in ("doc_id", "n_chars") else "string").alias(c) for c in DOCUMENT_COLUMNS]
 
     def cleaned(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             texts, sizes = batch.column(1).to_pylist(), batch.column(4).to_pylist()
             for i, text in enumerate(texts):
                 if not text or not (spans := sorted(x for part in find_secrets(text, scope) for x in part)):
@@ -155,5 +154,4 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[SECRET]") -> DataF
             arrays = [batch.column(0), pa.array(texts, pa.string()), batch.column(2), batch.column(3), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=list(DOCUMENT_COLUMNS))
 
-    bounded_batches(docs.sparkSession)
     return docs.select(*columns).mapInArrow(cleaned, "doc_id long, text string, lang string, source string, n_chars long")

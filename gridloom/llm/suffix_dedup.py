@@ -9,14 +9,15 @@ the hash of its text (``doc``, ``mark``), so that rows without an id, or two tex
 2. Those windows are dealt by their anchor. The windows that one occurrence of an anchor owns start in a row, so they travel
    as one piece of text; pieces that are equal byte for byte need no search, the first of them is kept and the others
    are repeats throughout.
-3. A task reads its pieces in the order of their anchors and holds a bounded run of whole anchors at a time, whose differing pieces are cut into shards. Each shard gets its own suffix order and
-   Burrows-Wheeler transform; the transforms are merged by interleave refinement: round i orders the interleave by the first
-   i symbols with one stable pass over the symbols that precede, and splits the intervals of suffixes that share i
-   symbols. After ``length`` rounds an interval of more than one suffix is a repeated string. Suffixes are
-   not sorted again across shards.
+3. A task reads its pieces in the order of their anchors and holds a bounded run of whole anchors at a time, whose
+   differing pieces are cut into shards. Each shard gets its own suffix order and Burrows-Wheeler transform; the
+   transforms are merged by interleave refinement: round i orders the interleave by the first i symbols with one stable
+   pass over the symbols that precede, and splits the intervals of suffixes that share i symbols. After ``length``
+   rounds an interval of more than one suffix is a repeated string. Suffixes are not sorted again across shards.
    An anchor that occurs more than HOT times would make one large group. Its windows are not searched but dealt one by one, by
    a 128-bit hash of their bytes: windows that repeat within a chunk are settled there, so a window that a third of all
-   documents share costs one row a chunk, and those that differ in every document spread over all tasks.
+   documents share costs one row a chunk, and those that differ in every document spread over all tasks. A bitmap of
+   fixed size tells hot anchors; one that it names by chance is treated like them, with the same result.
 4. Repeated windows come back to their documents as byte ranges, and what they cover is cut out.
 """
 
@@ -28,17 +29,21 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded_batches, shared_checkpoint, shuffle_partitions, text_of
+from gridloom.llm.common import bounded, shared_checkpoint, shuffle_partitions, text_of
 
 LENGTH, GRAM = 100, 24
 #: Windows that are ruled out together, by the bytes they share.
 STEP = 12
 #: An anchor that occurs more often has its windows dealt one by one, so many of them at a time.
 HOT, HOT_WINDOWS = 2000, 1 << 18
+#: Bits of the map that tells hot anchors.
+HOT_BITS = 1 << 23
 #: Symbols of one shard, and bytes of pieces that a task holds at a time (more only where one anchor has more).
-SHARD_SYMBOLS, HELD_BYTES = 1 << 16, 32 << 20
+SHARD_SYMBOLS, HELD_BYTES = 1 << 14, 32 << 20
+#: Pieces and their bytes that are compared before they are dealt.
+CUT_PIECES, CUT_BYTES = 200_000, 32 << 20
 #: Bytes of a document that are looked at together; places are kept in 24 bits.
-SLICE = 1 << 23
+SLICE = 1 << 20
 
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -139,12 +144,8 @@ def merged_intervals(shards: list[tuple[np.ndarray, int]], depth: int) -> tuple[
     return place, interval
 
 
-def repeated_windows(pieces: list[bytes], first_of: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(piece, offset) of the windows of ``pieces`` that an earlier one equals; ``first_of`` orders pieces by their first window.
-
-    Of equal windows the one with the least (rank of piece, offset) is the first; ``first_of`` gives the rank, and pieces of
-    one document rank by their start, so that this is the order of the corpus.
-    """
+def repeated_windows(pieces: list[bytes], doc: np.ndarray, mark: np.ndarray, first: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, offset) of the windows of ``pieces`` that an earlier one equals; a piece starts at ``first`` in its document."""
     # Two bytes make a symbol where the length is even: a piece is one string of symbols from each of its first two bytes.
     wide = 2 if length % 2 == 0 else 1
     strings = [p[k:] + b"\0" * (-len(p[k:]) % wide) for p in pieces for k in range(wide)]
@@ -163,9 +164,7 @@ def repeated_windows(pieces: list[bytes], first_of: np.ndarray, length: int = LE
     piece, offset = string // wide, string % wide + wide * (place - (ends[string] - counts[string]))
     window = offset + length <= np.array([len(x) for x in pieces], np.int64)[piece]
     piece, offset, interval = piece[window], offset[window], interval[window]
-    order = np.lexsort((offset, first_of[piece], interval))
-    piece, offset, interval = piece[order], offset[order], interval[order]
-    again = np.r_[False, interval[1:] == interval[:-1]] if len(interval) else np.zeros(0, bool)
+    again = _again((interval,), doc[piece], mark[piece], first[piece] + offset)
     return piece[again], offset[again]
 
 
@@ -180,18 +179,22 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
     n, hot = shuffle_partitions(plain.sparkSession), HOT
 
     def seen(batches):
-        for batch in batches:
-            held = [(i, h) for i, t in enumerate(batch.column("text").to_pylist()) for h, _, _, _ in anchors(t.encode(), length)]
-            ids = batch.column("doc").to_numpy(zero_copy_only=False)
-            if not held:
+        for batch in bounded(batches):
+            docs, found, times = [], [], []
+            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for h, _, _, _ in anchors(text.encode(), length):
+                    own, count = np.unique(h, return_counts=True)
+                    docs.append(np.full(len(own), doc))
+                    found.append(own)
+                    times.append(count)
+            if not found:
                 continue
-            anchor = np.concatenate([h for _, h in held])
-            doc = np.repeat(ids[[i for i, _ in held]], [len(h) for _, h in held])
+            anchor, doc, count = np.concatenate(found), np.concatenate(docs), np.concatenate(times)
             order = np.lexsort((doc, anchor))
             anchor, doc = anchor[order], doc[order]
             new = np.r_[True, anchor[1:] != anchor[:-1]]
-            count = np.diff(np.r_[np.flatnonzero(new), len(anchor)])
-            several = np.repeat(count > 1, count)
+            count = np.add.reduceat(count[order], np.flatnonzero(new))
+            several = (count > 1)[np.cumsum(new) - 1]
             told = several & (new | np.r_[True, doc[1:] != doc[:-1]])
             out = (np.r_[anchor[told], anchor[new]], np.r_[doc[told], doc[new]], np.r_[np.zeros(told.sum(), np.int32), count.astype(np.int32)])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["anchor", "doc", "times"])
@@ -218,6 +221,21 @@ def _repeated_anchors(plain: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(counted, "doc long, anchor long")
 
 
+def _hot_bits(repeated: DataFrame) -> np.ndarray:
+    """The map of hot anchors: a bit each, of HOT_BITS; what comes to the driver is at most that many bits."""
+    slot = F.pmod(F.col("anchor"), F.lit(HOT_BITS))
+    words = repeated.where(F.col("doc").isNull()).groupBy(F.shiftright(slot, 6).alias("word"))
+    found = words.agg(F.expr("bit_or(shiftleft(1L, cast(pmod(anchor, 64) AS int))) AS bits")).collect()
+    bits = np.zeros(HOT_BITS // 64, np.int64)
+    bits[[r["word"] for r in found]] = [r["bits"] for r in found]
+    return bits.view(np.uint64)
+
+
+def _is_hot(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    slot = anchor & np.int64(HOT_BITS - 1)
+    return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 def _likely_parts(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[int, int, bytes]]:
     """(number, bytes skipped, part) of the parts of ``pieces`` (anchor, its place, text) with windows that may repeat, in order.
 
@@ -250,33 +268,41 @@ def _likely_parts(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator
 
 
 def _again(key: tuple[np.ndarray, ...], doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which rows have the ``key`` of a row with a smaller (document, start); rows of one place are told once."""
-    order = np.lexsort((start, mark, doc, mark >= 0, *key))
-    same = np.ones(max(0, len(doc) - 1), bool)
-    for part in key:
-        part = part[order]
-        same &= part[1:] == part[:-1]
-    here = np.ones(len(same), bool)
-    for part in (doc, mark, start):
-        part = part[order]
-        here &= part[1:] == part[:-1]
-    # A row that is read twice is no repeat of itself, but both are repeats of what comes before them.
-    first = np.r_[True, ~same] if len(doc) else np.zeros(0, bool)
-    group = np.cumsum(first) - 1
-    head = np.flatnonzero(first)[group] if len(doc) else group
-    run = np.flatnonzero(np.r_[True, ~(same & here)]) if len(doc) else head
+    """Which rows have the ``key`` of an earlier row: one with a smaller id (no id is smaller than any), or with an earlier start in the same text.
+
+    Rows of one place, as of a document that is read twice, are no repeats of one another.
+    """
+    if not len(doc):
+        return np.zeros(0, bool)
+    known = mark >= 0
+    ids = np.where(known, doc, 0)
+    order = np.lexsort((start, mark, doc, ids, known, *key))
+
+    def edges(parts, before=False):
+        new = np.zeros(len(order), bool)
+        new[0] = True
+        for part in parts:
+            part = part[order]
+            new[1:] |= part[1:] != part[:-1]
+        return new | before
+
+    group = edges(key)
+    one_id = edges((ids, known), group)
+    row = edges((doc, mark), one_id)
+    place = edges((start,), row)
+    later = lambda inner, outer: np.cumsum(inner) - np.cumsum(inner)[np.flatnonzero(outer)][np.cumsum(outer) - 1] > 0
     again = np.zeros(len(doc), bool)
-    if len(doc):
-        begin = run[np.searchsorted(run, np.arange(len(doc)), "right") - 1]
-        again[order] = begin != head
+    again[order] = later(one_id, group) | later(place, row)
     return again
 
 
-def _runs(doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last row of each run of windows that start in a row; rows are in order."""
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (start[1:] != start[:-1] + 1)] if len(doc) else np.zeros(0, bool)
-    begin = np.flatnonzero(new)
-    return begin, np.r_[begin[1:] - 1, len(doc) - 1] if len(doc) else begin
+def _runs(doc: np.ndarray, mark: np.ndarray, first: np.ndarray, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last row of each run of windows, or of stretches of windows, that start in a row; rows are in order."""
+    if not len(doc):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    last = first if last is None else last
+    begin = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (first[1:] != last[:-1] + 1)])
+    return begin, np.r_[begin[1:] - 1, len(doc) - 1]
 
 
 #: What travels to the search: pieces of text (``last`` unused), windows dealt one by one (an empty piece), and runs of windows known to repeat (a null one).
@@ -358,23 +384,26 @@ def _matched(table, length: int) -> Iterator:
     table = table.filter(pc.invert(single))
     doc, mark, first = (table.column(c).to_numpy() for c in ("doc", "mark", "first"))
     anchor, place, piece = (table.column(c).to_pylist() for c in ("anchor", "at", "piece"))
-    order = np.lexsort((first, mark, doc, mark >= 0)).tolist()
-    kept: dict[tuple[int, int, bytes], int] = {}
-    whole: list[int] = []
-    for i in order:  # the first of equal pieces stays; a row that is read twice is no repeat of itself
-        other = kept.setdefault((anchor[i], place[i], piece[i]), i)
-        if other != i and (doc[i], mark[i], first[i]) != (doc[other], mark[other], first[other]):
-            whole.append(i)
-    size = np.array([len(piece[i]) for i in whole], np.int64)
-    yield _ranges(doc[whole], mark[whole], first[whole], first[whole] + size)
-    # In the order of the corpus, the parts of pieces whose windows may repeat; the others need no search.
-    left = list(kept.values())
+    names: dict[tuple[int, int, bytes], int] = {}
+    name = np.array([names.setdefault(key, len(names)) for key in zip(anchor, place, piece, strict=True)], np.int64)
+    again = _again((name,), doc, mark, first)
+    yield _ranges(doc[again], mark[again], first[again], first[again] + np.array([len(piece[i]) for i in np.flatnonzero(again).tolist()], np.int64))
+    # The parts of the other pieces whose windows may repeat; the rest needs no search. A text that is read twice counts once.
+    order = np.lexsort((first, mark, doc))
+    order = order[~again[order]]
+    if len(order):
+        new = np.zeros(len(order), bool)
+        new[0] = True
+        for column in (doc, mark, first):
+            new[1:] |= column[order][1:] != column[order][:-1]
+        order = order[new]
+    left = order.tolist()
     parts = list(_likely_parts([(anchor[i], place[i], piece[i]) for i in left], length))
     if not parts:
         return
     rows = np.array([left[k] for k, _, _ in parts])
-    at, offset = repeated_windows([x for _, _, x in parts], np.arange(len(parts)), length)
     doc, mark, first = doc[rows], mark[rows], first[rows] + np.array([skip for _, skip, _ in parts], np.int64)
+    at, offset = repeated_windows([x for _, _, x in parts], doc, mark, first, length)
     order = np.lexsort((offset, at))
     at, offset = at[order], offset[order]
     begin, end = _runs(at, at, offset)
@@ -382,55 +411,49 @@ def _matched(table, length: int) -> Iterator:
 
 
 def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, mark, start, end) of byte ranges covered by windows that occur earlier too; ranges may overlap.
-
-    ``plain`` has doc, mark and text. Rows are in the order (mark >= 0, doc, mark).
-    """
+    """(doc, mark, start, end) of byte ranges covered by windows that occur earlier too; ranges may overlap. ``plain`` has doc, mark and text."""
     n = shuffle_partitions(plain.sparkSession)
     repeated = shared_checkpoint(_repeated_anchors(plain, length))
-    # An anchor for every HOT occurrences at most; 8 bytes each.
-    hot = np.sort(np.array([r["anchor"] for r in repeated.where(F.col("doc").isNull()).select("anchor").collect()], np.int64))
+    hot = _hot_bits(repeated)
     asked = repeated.where(F.col("doc").isNotNull()).groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
 
+    def dealt(held):
+        """Rows of ``held`` (anchor, its place, text, doc, mark, first and last window): what is known to repeat, then what is to be searched."""
+        anchor, place, piece, doc, mark, first, last = zip(*held, strict=True)
+        names: dict[tuple[int, int, bytes], int] = {}
+        name = np.array([names.setdefault(key, len(names)) for key in zip(anchor, place, piece, strict=True)], np.int64)
+        anchor, doc, mark, first, last = (np.array(x, np.int64) for x in (anchor, doc, mark, first, last))
+        again = _again((name,), doc, mark, first)
+        order = np.flatnonzero(again)
+        order = order[np.lexsort((first[order], mark[order], doc[order]))]
+        begin, end = _runs(doc[order], mark[order], first[order], last[order])
+        yield _known(doc[order][begin], mark[order][begin], first[order][begin], last[order][end])
+        often = _is_hot(hot, anchor)
+        rest = np.flatnonzero(~again & ~often)
+        text = lambda chosen: [piece[i] for i in chosen.tolist()]
+        yield _piece_rows(anchor[rest], np.array(place, np.int64)[rest], text(rest), doc[rest], mark[rest], first[rest], np.zeros_like(first[rest]))
+        order = np.flatnonzero(~again & often)
+        order = order[np.lexsort((first[order], mark[order], doc[order]))]
+        windows = np.cumsum(last[order] - first[order] + 1)
+        for chunk in np.split(order, np.searchsorted(windows, np.arange(HOT_WINDOWS, windows[-1] if len(windows) else 0, HOT_WINDOWS))):
+            if len(chunk):
+                yield from _dealt_windows(list(zip(doc[chunk].tolist(), mark[chunk].tolist(), first[chunk].tolist(), text(chunk), strict=True)), length)
+
     def cut(batches):
-        for batch in batches:
-            best: dict[tuple[int, int, bytes], tuple] = {}
-            late: dict[tuple[bool, int, int], list[tuple[int, int]]] = {}
+        held, size = [], 0
+        for batch in bounded(batches):
             for doc, mark, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "anchors")), strict=True):
-                data, wanted, who = text.encode(), np.array(wanted, np.int64), (mark >= 0, doc, mark)
+                data, wanted = text.encode(), np.array(wanted, np.int64)
                 for anchor, place, first, last in anchors(data, length):
-                    held = np.flatnonzero(np.isin(anchor, wanted))
-                    for a, p, lo, hi in zip(*(x[held].tolist() for x in (anchor, place, first, last)), strict=True):
-                        key, mine = (a, p - lo, data[lo : hi + length]), (who, lo, hi)
-                        other = best.get(key)
-                        if other is None or mine < other:
-                            best[key] = mine
-                        if other is not None and mine != other:  # one of the two repeats the other throughout
-                            again = max(mine, other)
-                            late.setdefault(again[0], []).append(again[1:])
-            runs = []
-            for (_, doc, mark), found in late.items():
-                found.sort()
-                begin, end = found[0]
-                for lo, hi in found:
-                    if lo > end + 1:
-                        runs.append((doc, mark, begin, end))
-                        begin = lo
-                    end = max(end, hi) if lo <= end + 1 else hi
-                runs.append((doc, mark, begin, end))
-            yield _known(*np.array(runs, np.int64).reshape(-1, 4).T)
-            often = set(hot[np.isin(hot, np.array([a for a, _, _ in best], np.int64))].tolist())
-            out = [(*key, doc, mark, lo, 0) for key, ((_, doc, mark), lo, _) in best.items() if key[0] not in often]
-            yield _piece_rows(*(list(zip(*out, strict=True)) or [()] * len(PIECES)))
-            chunk, windows = [], 0
-            for ((_, doc, mark), lo, hi), text in sorted((where, key[2]) for key, where in best.items() if key[0] in often):
-                chunk.append((doc, mark, lo, text))
-                windows += hi - lo + 1
-                if windows >= HOT_WINDOWS:
-                    yield from _dealt_windows(chunk, length)
-                    chunk, windows = [], 0
-            if chunk:
-                yield from _dealt_windows(chunk, length)
+                    own = np.flatnonzero(np.isin(anchor, wanted))
+                    for a, p, lo, hi in zip(*(x[own].tolist() for x in (anchor, place, first, last)), strict=True):
+                        held.append((a, p - lo, data[lo : hi + length], doc, mark, lo, hi))
+                        size += hi - lo + length
+                        if len(held) >= CUT_PIECES or size >= CUT_BYTES:
+                            yield from dealt(held)
+                            held, size = [], 0
+        if held:
+            yield from dealt(held)
 
     def matched(batches):
         for table in _whole_anchors(batches):
@@ -444,10 +467,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     """Cut repeated strings out of every text: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary).
 
     Null text counts as empty; a text of fewer than ``length`` bytes loses nothing. Of equal texts the one with the smallest
-    doc_id stays whole. Rows without an id come before all others, and they, like several texts under one id, are documents of
-    their own in the order of their texts' hashes: a string of one goes only where another one keeps it. Rows that repeat
-    both id and text are one document: neither is a repeat of the other. An empty table gives an empty table; other
-    columns are not looked at.
+    doc_id stays whole. Every row is a document of its own. A row without an id comes before all rows with one; rows that
+    share an id, or have none, come neither before nor after one another, so that none loses what only the others
+    hold: repeated rows stay whole, or lose alike what a smaller id holds. An empty table gives an empty table;
+    other columns are not looked at.
     """
     import pyarrow as pa
 
@@ -461,7 +484,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     def removed(batches):
         import hashlib
 
-        for batch in batches:
+        for batch in bounded(batches):
             rows = []
             for doc, mark, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "ranges")), strict=True):
                 data, parts, at, gone, spans = text.encode(), [], 0, 0, 0
@@ -478,5 +501,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * len(kinds), kinds, strict=True)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    with small_batches(docs.sparkSession):
-        return plain.join(ranges, ["doc", "mark"], "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)
+    return plain.join(ranges, ["doc", "mark"], "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)

@@ -93,20 +93,32 @@ def test_redact(docs):
 
 
 def brute_repeats(texts, length):
-    seen, out = set(), {}
-    for i, text in sorted(texts):
-        data, runs = (text or "").encode(), []
+    """Per row: bytes, bytes removed, spans, hash of what stays; a window goes if a row with a smaller id (none is the smallest) or an earlier start has it."""
+    least, rank = {}, lambda i: (i is not None, i or 0)
+    for i, text in texts:
+        data = (text or "").encode()
         for s in range(len(data) - length + 1):
-            if data[s : s + length] in seen:
+            w = data[s : s + length]
+            least[w] = min(least.get(w, rank(i)), rank(i))
+    out = []
+    for i, text in texts:
+        data, runs, seen = (text or "").encode(), [], set()
+        for s in range(len(data) - length + 1):
+            w = data[s : s + length]
+            if least[w] < rank(i) or w in seen:
                 if runs and runs[-1][1] >= s:
                     runs[-1][1] = s + length
                 else:
                     runs.append([s, s + length])
-            seen.add(data[s : s + length])
+            seen.add(w)
         edges = [0, *(x for r in runs for x in r), len(data)]
         kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-        out[i] = (len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest())
-    return out
+        out.append((i, len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def removed(rows):
+    return sorted(map(tuple, rows), key=str)
 
 
 def test_suffix_dedup(spark, docs, empty):
@@ -117,11 +129,31 @@ def test_suffix_dedup(spark, docs, empty):
     text = lambda n: " ".join(rng.choice(words) for _ in range(n))
     shared = [text(60) for _ in range(4)]
     texts = [(100 + i, f"{text(rng.randint(0, 40))} {rng.choice(shared)[rng.randint(0, 20):]} {text(30)} é{rng.choice(shared)}") for i in range(40)]
-    texts += [(i, t) for i, t in TEXTS if i != 11] + [(300, "z" * 1000), (301, "z" * 99), (302, "xy" * 200)]
+    texts += [*TEXTS, (300, "z" * 1000), (301, "z" * 99), (302, "xy" * 200)]
     got = remove_repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()
-    assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute_repeats(texts, 100)
+    assert removed(got) == brute_repeats(texts, 100)
     assert remove_repeats(empty).count() == 0
-    assert remove_repeats(docs).count() == len(TEXTS)
+    assert removed(remove_repeats(docs).collect()) == brute_repeats(TEXTS, 100)
+
+
+@pytest.mark.parametrize("hot", [2, 2000])
+def test_suffix_dedup_of_repeated_rows_and_missing_ids(spark, monkeypatch, hot):
+    from gridloom.llm import suffix_dedup as S
+
+    monkeypatch.setattr(S, "HOT", hot)
+    rng = random.Random(21)
+    part = lambda n=200: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    a, b, c, d, e = (part() for _ in range(5))
+    cases = [
+        [(7, a + b), (7, a + b)],  # one row twice: neither is earlier
+        [(None, a + " " + a), (None, b + c)],  # rows without an id have nothing to do with one another
+        [(None, a + d), (None, a + e), (1, b + a)],  # nor are they earlier than one another, but earlier than all others
+        [(5, a + b), (5, c + a), (5, a + b), (6, d + a + b), (6, d + a + b), (4, b + e)],
+        [(2, a + b + a), (2, a + b + a), (2, b + d), (None, e), (None, e), (3, e + d)],
+    ]
+    for k, texts in enumerate([*cases, [row for case in cases for row in case]]):
+        got = S.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(1 + k % 3)).collect()
+        assert removed(got) == brute_repeats(texts, 100), k
 
 
 def test_windows_of_a_hot_anchor_spread_over_tasks(spark, monkeypatch):
@@ -138,7 +170,7 @@ def test_windows_of_a_hot_anchor_spread_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(frame, "repartition", lambda self, *a: (frames.append(self) if "piece" in self.columns else None, repartition(self, *a))[1])
     docs = repartition(spark.createDataFrame(texts, "doc_id long, text string"), 5)
     got = S.remove_repeats(docs).collect()
-    assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute_repeats(texts, 100)
+    assert removed(got) == brute_repeats(texts, 100)
     # Of what is dealt for the search, no key has more than a few rows a task, though 240 documents share the passage.
     [dealt] = frames
     assert max(r["count"] for r in dealt.where("piece is not null").groupBy("anchor").count().collect()) <= 20
@@ -161,7 +193,8 @@ def test_repeated_windows_over_several_shards(monkeypatch):
                     if piece[s : s + length] in seen:
                         want.add((i, s))
                     seen.add(piece[s : s + length])
-            at, offset = S.repeated_windows(pieces, np.arange(len(pieces)), length)
+            order = np.arange(len(pieces))
+            at, offset = S.repeated_windows(pieces, order, np.zeros_like(order), np.zeros_like(order), length)
             assert set(zip(at.tolist(), offset.tolist(), strict=True)) == want
     assert min(shards) == 1 and max(shards) > 8
 
