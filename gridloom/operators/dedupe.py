@@ -1,7 +1,8 @@
 """Keyed deduplication that keeps where a record was seen.
 
-Both forms first reduce each (key, URL) to one row, which merges repeats before the shuffle and spreads a hot key over
-its URLs; only distinct URLs of a key then meet.
+First of all each (key, URL) is reduced to one row, which merges repeats before the shuffle and spreads a hot key over
+its URLs; only distinct URLs of a key then meet, and all of them are in its result. Where the first record of a URL
+is not enough, since records before the winner do not count, the winners are joined without shuffling the hottest keys.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import fixed as X
 from gridloom.functions.endpoints import record_key
+from gridloom.operators.skew import spread_join
 
 SEPARATOR = "; "
 
@@ -24,25 +26,32 @@ def _appended(start: Column, later: Column, field: str, substring: bool) -> Colu
     return F.array_join(F.array_distinct(F.concat(F.array(start), F.transform(later, lambda x: x[field]))), SEPARATOR)
 
 
-def _unique(records: DataFrame, keys: list[Column], fields: tuple[str, ...], url: str, rank: Column, substring: bool) -> DataFrame:
-    """One row per key: the first record of the highest rank, with the URLs of later records appended."""
-    names = [f"_k{i}" for i in range(len(keys))]
-    keyed = records.select("ord", rank.alias("_rank"), *fields, *[k.alias(n) for k, n in zip(keys, names, strict=True)])
-    best = F.min_by(F.struct("ord", *fields), F.struct((-F.col("_rank")).alias("r"), "ord"))
-    winners = keyed.groupBy(*names).agg(best.alias("_best"))
-    # A URL counts from its first record after the winner, whose rank is the highest of all.
-    later = (
-        keyed.select(*names, "ord", url)
-        .join(winners.select(*names, F.col("_best.ord").alias("_from")), names)
-        .where(F.col("ord") > F.col("_from"))
-        .groupBy(*names, url)
-        .agg(F.min("ord").alias("ord"))
-        .groupBy(*names)
-        .agg(F.sort_array(F.collect_list(F.struct("ord", url))).alias("_later"))
+def _unique(records: DataFrame, keys: list[Column], fields: tuple[str, ...], url: str, rank: Column | None, substring: bool) -> DataFrame:
+    """One row per key: the first record, or the first of the highest ``rank``, with the URLs of later records appended."""
+    keyed = records.select("ord", (F.lit(0) if rank is None else -rank).alias("_low"), *fields, F.struct(*keys).alias("_key"))
+    row, place = F.struct("ord", *fields), F.struct("_low", "ord")
+    firsts = keyed.groupBy("_key", url).agg(
+        F.min_by(row, place).alias("_best"), F.min(place).alias("_place"), F.min("ord").alias("_ord"), F.count(F.lit(1)).alias("_rows")
     )
-    joined = winners.join(later, names, "left")
-    urls = F.when(F.col("_later").isNull(), F.col(f"_best.{url}")).otherwise(_appended(F.col(f"_best.{url}"), F.col("_later"), url, substring))
-    return joined.select(F.col("_best.ord").alias("ord"), *[(urls if f == url else F.col(f"_best.{f}")).alias(f) for f in fields])
+    if rank is None:
+        gathered = F.sort_array(F.collect_list(F.struct(F.col("_ord").alias("ord"), F.col(url).alias("url")))).alias("_urls")
+        found = firsts.groupBy("_key").agg(F.min_by("_best", "_place").alias("_best"), gathered)
+        found = found.withColumn("_later", F.slice("_urls", 2, F.size("_urls")))
+    else:
+        # A URL counts from its first record after the winner, whose rank is the highest of all.
+        winners = firsts.groupBy("_key").agg(F.min_by("_best", "_place").alias("_best"), F.sum("_rows").alias("_times"))
+        starts = winners.select("_key", F.col("_best.ord").alias("_from"), "_times")
+        later = (
+            spread_join(keyed.select("_key", "ord", F.col(url).alias("_url")), starts, ["_key"], "_times")
+            .where(F.col("ord") > F.col("_from"))
+            .groupBy("_key", "_url")
+            .agg(F.min("ord").alias("ord"))
+            .groupBy("_key")
+            .agg(F.sort_array(F.collect_list(F.struct("ord", F.col("_url").alias("url")))).alias("_later"))
+        )
+        found = winners.join(later, "_key", "left")
+    urls = F.when(F.coalesce(F.size("_later"), F.lit(0)) < 1, F.col(f"_best.{url}")).otherwise(_appended(F.col(f"_best.{url}"), F.col("_later"), "url", substring))
+    return found.select(F.col("_best.ord").alias("ord"), *[(urls if f == url else F.col(f"_best.{f}")).alias(f) for f in fields])
 
 
 def unique_ranked(records: DataFrame, url_match: str = "substring") -> DataFrame:
@@ -57,7 +66,7 @@ def unique_ranked(records: DataFrame, url_match: str = "substring") -> DataFrame
 
 def unique_first(records: DataFrame, url_match: str = "substring") -> DataFrame:
     """One record per endpoint: the first, with the URLs of later ones appended."""
-    return _unique(records, record_key(), X.ENDPOINT_FIELDS, "source_url", F.lit(0), url_match == "substring")
+    return _unique(records, record_key(), X.ENDPOINT_FIELDS, "source_url", None, url_match == "substring")
 
 
 def unique_sites(sites: DataFrame, url_match: str = "substring") -> DataFrame:
@@ -65,7 +74,7 @@ def unique_sites(sites: DataFrame, url_match: str = "substring") -> DataFrame:
     from gridloom.functions.endpoints import is_non_site_domain
 
     kept = sites.where((F.col("website_domain") != "") & ~is_non_site_domain(F.col("website_domain")))
-    return _unique(kept, [F.col("website_domain")], X.SITE_FIELDS, "profile_url", F.lit(0), url_match == "substring")
+    return _unique(kept, [F.col("website_domain")], X.SITE_FIELDS, "profile_url", None, url_match == "substring")
 
 
 def merge_existing(existing: DataFrame, new: DataFrame, url_match: str = "substring") -> DataFrame:
@@ -77,20 +86,16 @@ def merge_existing(existing: DataFrame, new: DataFrame, url_match: str = "substr
 def unique_nodes(nodes: DataFrame) -> DataFrame:
     """One row per (host, port, type), the first; later URLs are appended, and only with them may last_seen grow."""
     keys = ["node_host", "port", "node_type"]
-    winners = nodes.groupBy(*keys).agg(F.min_by(F.struct("ord", *X.NODE_FIELDS), "ord").alias("_best"))
     # Of records with one URL only the first can append it, so repeats go before the fold.
-    firsts = nodes.groupBy(*keys, "source_url").agg(F.min_by(F.struct("ord", "last_seen"), "ord").alias("_first"))
-    steps = firsts.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_first.ord").alias("ord"), "source_url", F.col("_first.last_seen").alias("seen")))).alias("_steps")
-    )
-    start = F.struct(F.col("_best.source_url").alias("urls"), F.col("_best.last_seen").alias("seen"))
+    firsts = nodes.groupBy(*keys, "source_url").agg(F.min_by(F.struct("ord", *X.NODE_FIELDS), "ord").alias("_first"))
+    step = F.struct(F.col("_first.ord").alias("ord"), "source_url", F.col("_first.last_seen").alias("seen"))
+    done = firsts.groupBy(*keys).agg(F.min_by("_first", "_first.ord").alias("_best"), F.sort_array(F.collect_list(step)).alias("_steps"))
     folded = F.aggregate(
         "_steps",
-        start,
+        F.struct(F.col("_best.source_url").alias("urls"), F.col("_best.last_seen").alias("seen")),
         lambda a, x: F.when(F.contains(a["urls"], x["source_url"]), a).otherwise(
             F.struct(F.concat(a["urls"], F.lit(SEPARATOR), x["source_url"]).alias("urls"), F.greatest(a["seen"], x["seen"]).alias("seen"))
         ),
     )
-    done = winners.join(steps, keys).withColumn("_folded", folded)
     changed = {"source_url": F.col("_folded.urls"), "last_seen": F.col("_folded.seen")}
-    return done.select(*[changed.get(f, F.col(f"_best.{f}")).alias(f) for f in X.NODE_FIELDS])
+    return done.withColumn("_folded", folded).select(*[changed.get(f, F.col(f"_best.{f}")).alias(f) for f in X.NODE_FIELDS])
