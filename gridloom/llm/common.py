@@ -24,6 +24,22 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def row_key() -> dict[str, Column]:
+    """What tells a row from all others that differ from it, whatever its id: ``_doc`` and ``_mark``.
+
+    ``_mark`` is a hash of the text, negative where the row has no id; ``_doc`` is the id, or another hash of the text.
+    """
+    lowest = -(1 << 63)
+    text, known = text_of(), F.col("doc_id").isNotNull()
+    mark = F.when(known, F.xxhash64(text).bitwiseAND(F.lit(~lowest))).otherwise(F.xxhash64(text).bitwiseOR(F.lit(lowest)))
+    return {"_doc": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text)), "_mark": mark}
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """(doc, mark, text) of the rows of ``docs``; null text is read as the empty one."""
+    return docs.select(*[c.alias(name[1:]) for name, c in row_key().items()], text_of().alias("text"))
+
+
 def bounded(batches: Iterator) -> Iterator:
     """Arrow batches cut into parts of bounded size: memory in Python follows the part, whatever batches the session makes."""
     for batch in batches:

@@ -6,32 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import shared_checkpoint
+from gridloom.operators.skew import spread_join
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes of ``edges`` (a, b: long); a component is named by its smallest node.
 
-    A round joins edges with one row per node, so a node with a third of all edges is split by the skew
-    join; each round is checkpointed, and the rounds end when one leaves the edges as they were.
+    A round joins edges with one row per node; edges of the nodes that have most of them stay where they are, so a node
+    with a third of all edges makes no large task. Each round is checkpointed; the rounds end when every node
+    points at the root of a star.
     """
     a, b = F.col("a"), F.col("b")
     held = shared_checkpoint(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
-    seen = _digest(held)
-    while seen[0]:
+    while not _are_stars(held):
         # Large star: the larger neighbours of a node move to the least of its neighbours and itself.
         both = held.union(held.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        held = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        held = shared_checkpoint(spread_join(both.where(b > a), least, ["a"], "n").select(b.alias("a"), F.col("m").alias("b")).distinct())
         # Small star: the smaller neighbours of a node, and the node, move to the least of them.
-        least = held.groupBy("a").agg(F.min("b").alias("m"))
-        moved = held.join(least, "a").where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
+        least = held.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        moved = spread_join(held, least, ["a"], "n").where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
         held = shared_checkpoint(moved.union(least.select("a", F.col("m").alias("b"))).distinct())
-        if (now := _digest(held)) == seen:
-            break
-        seen = now
-    roots = held.select(b.alias("node"), b.alias("component"))
-    return held.select(a.alias("node"), b.alias("component")).union(roots).distinct()
+    roots = held.select(b.alias("node"), b.alias("component")).distinct()
+    return held.select(a.alias("node"), b.alias("component")).union(roots)
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node has two edges to smaller ones and none that has one is itself pointed at."""
+    several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    inner = edges.select(F.col("b").alias("a")).distinct().join(edges.select("a"), "a", "left_semi")
+    return several.union(inner).isEmpty()

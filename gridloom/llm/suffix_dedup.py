@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded, shared_checkpoint, shuffle_partitions, text_of
+from gridloom.llm.common import bounded, row_keys, shared_checkpoint, shuffle_partitions
 
 LENGTH, GRAM = 100, 24
 #: Windows that are ruled out together, by the bytes they share.
@@ -474,11 +474,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     """
     import pyarrow as pa
 
-    lowest = -(1 << 63)
-    least, most = F.lit(lowest), F.lit(~lowest)
-    text, known = text_of(), F.col("doc_id").isNotNull()
-    mark = F.when(known, F.xxhash64(text).bitwiseAND(most)).otherwise(F.xxhash64(text).bitwiseOR(least))
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text)).alias("doc"), mark.alias("mark"), text.alias("text"))
+    plain = row_keys(docs)
     ranges = repeated_ranges(plain, length).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
 
     def removed(batches):

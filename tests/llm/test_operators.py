@@ -227,27 +227,30 @@ def test_merged_intervals_equal_sorted_suffixes():
 
 
 def brute_components(texts, words, percent):
+    """(id, shingles, component id, kept) of each row; rows are linked by their texts alone."""
     def shingles(text):
         w = (text or "").encode().lower().split()
         n = min(words, len(w))
         return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
 
-    sets = {i: shingles(t) for i, t in texts}
-    root = {i: i for i in sets}
+    sets = [shingles(t) for _, t in texts]
+    root = list(range(len(texts)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    ids = sorted(sets)
-    for n, a in enumerate(ids):
-        for b in ids[:n]:
+    for a in range(len(texts)):
+        for b in range(a):
             both = len(sets[a] & sets[b])
             if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
-                x, y = sorted((find(a), find(b)))
-                root[y] = x
-    return {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
+                root[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(texts):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(((i, len(sets[k]), c := least.get(find(k)), i == c) for k, (i, _) in enumerate(texts)), key=str)
 
 
 @pytest.mark.parametrize("words", [2, 5])
@@ -263,14 +266,28 @@ def test_near_duplicates(spark, docs, empty, words):
             own[rng.randrange(len(own))] = f"e{rng.randint(0, 30)}"
         texts.append((1000 + i, " ".join(own)))
     got = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(4), words, 80).collect()
-    assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute_components(texts, words, 80)
+    assert removed(got) == brute_components(texts, words, 80)
     if words == 2:
-        want = brute_components([x for x in TEXTS if x[0] != 11] + [(11, "one")], words, 80)
-        rows = near_duplicates(docs, words, 80).collect()
-        assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want and len(rows) == len(TEXTS)
+        assert removed(near_duplicates(docs, words, 80).collect()) == brute_components(TEXTS, words, 80)
         assert near_duplicates(empty, words).count() == 0
 
 
+def test_near_duplicates_of_repeated_rows_and_missing_ids(spark):
+    from gridloom.llm.near_dedup import keep_one_of_each, near_duplicates
+
+    rng = random.Random(31)
+    bases = [[f"w{rng.randint(0, 999)}" for _ in range(60)] for _ in range(4)]
+    near = lambda k: " ".join([*bases[k][:-1], f"x{rng.randint(0, 99)}"])
+    texts = [(None, near(0)), (None, near(1)), (6, near(0)), (5, near(1)), (5, near(0)), (5, near(2)), (8, near(2)), (8, near(2)), (None, near(3)), (None, near(3))]
+    texts += [(9, "same words here"), (9, "same words here"), (None, None), (None, ""), (4, None)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    for margin in (0.15, None):
+        assert removed(near_duplicates(frame, 2, 80, margin).collect()) == brute_components(texts, 2, 80)
+    kept = [tuple(r) for r in keep_one_of_each(frame, 2, 80).collect()]
+    ids = sorted((i for i, t in kept if t), key=str)
+    assert ids == [5, 5, 5, 9, 9, None] and len([t for _, t in kept if not t]) == 3
+
+
 def test_hidden_links_are_found_in_blocks(monkeypatch):
     import numpy as np
     import pyarrow as pa
@@ -281,11 +298,35 @@ def test_hidden_links_are_found_in_blocks(monkeypatch):
     texts = ["a b c d e f g h i j k l", "a b c d e f g h i j k z", "q r s t u v w x y z 1 2"]
     sets = [np.unique(Shingler(2).shingles(t)) for t in texts]
     signs = N.signatures(N.minima(np.concatenate(sets), np.cumsum([0, *map(len, sets)])[:-1])).tolist()
-    table = pa.table({"rep": [1, 2, 3], "component": [1, 2, 3], "block": [0, 0, 0], "signature": signs, "text": texts})
+    table = pa.table({"node": [1, 2, 3], "component": [1, 2, 3], "block": [0, 0, 0], "signature": signs, "text": texts})
     key = tuple(map(pa.scalar, (1, 0, 0)))
-    assert N._joining_links(2, 80)(key, table).to_pylist() == [{"a": 1, "b": 2}]
-    joined = table.set_column(1, "component", pa.array([1, 1, 3]))
-    assert N._joining_links(2, 80)(key, joined).num_rows == 0
+    for margin in (0.15, None):
+        assert N._joining_links(2, 80, margin)(key, table).to_pylist() == [{"a": 1, "b": 2}]
+        joined = table.set_column(1, "component", pa.array([1, 1, 3]))
+        assert N._joining_links(2, 80, margin)(key, joined).num_rows == 0
+    zeros = pa.array([0, 0, 0], pa.int32())
+    members = pa.table({"key": [7, 7, 7], "low": zeros, "high": zeros, "block": zeros, "node": [1, 2, 3], "component": [1, 2, 3], "size": [len(x) for x in sets], "signature": signs})
+    [found] = N._with_partner(80, 0.15)(iter(members.to_batches()))
+    assert found.to_pydict()["node"] == [1, 2]
+
+
+def test_hidden_links_of_large_buckets(spark, monkeypatch):
+    from gridloom.llm import near_dedup as N
+
+    for name, value in (("SIGNED_MEMBERS", 4), ("BLOCK_MEMBERS", 3), ("HUB_LINKS", 5)):
+        monkeypatch.setattr(N, name, value)
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(90):  # all share a template; a few are close to one another but not to the rest
+        own = list(base)
+        for k in range(i % 9 * 4, i % 9 * 4 + 12):
+            own[k] = f"v{i % 9}-{k}"
+        own[rng.randrange(100)] = f"u{i}"
+        texts.append((i, " ".join(own)))
+    for margin in (0.15, None):
+        got = N.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(4), 2, 80, margin).collect()
+        assert removed(got) == brute_components(texts, 2, 80)
 
 
 def test_components(spark):
