@@ -1,73 +1,97 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed capacity, in rounds that the driver plans.
-
-Documents are range-sorted by length and numbered. Documents of one length are alike to a packing,
-and so are gaps of one size, so the rounds work on runs: a run of documents is (length, ranks), a run of
-gaps is (size, sequences). A round takes the longest run of documents left, sweeps it to its
-successor, the smallest gap that holds it, gives the gaps out by rank (rank r of the run goes to gap
-r), updates the gaps and repeats. There are at most ``capacity`` lengths and ``capacity`` gap sizes
-whatever the corpus, so the driver plans all rounds from the histogram of lengths, without Spark; the documents themselves never leave their
-partitions, and look up their sequence and offset by their number.
+"""Best-fit packing of tokenised documents into sequences of a fixed capacity, in bulk-synchronous rounds.
+
+Documents and gaps are rows of tables. A round puts both in one order, the largest first and gaps before documents of
+their size, and cuts it into ranges. Each task sweeps a range: a document takes its successor, the smallest gap that
+holds it, and what is left of the gap goes back into the order. Documents that found no gap in their range take those
+left in higher ranges: of all that want them, which document gets which gap follows from ranks alone, counted per range as
+in matching brackets, so no gap is given twice. Gaps are updated, and the next round begins with the
+documents that are left. When nothing fits any more, new sequences are opened for the documents left.
+
+Larger documents go first: those over half the capacity open a sequence each, then the others down to a quarter are placed,
+then the rest. Ids and lengths travel, never texts; the driver sees a few numbers per range.
 """
 
 from __future__ import annotations
 
-import bisect
+import heapq
 import struct
-from collections import deque
-from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded, number_rows, shared_checkpoint, text_of
+from gridloom.llm.common import bounded, shared_checkpoint, text_of
 
 #: Words whose ids a task keeps.
 KEPT_WORDS = 500_000
-
-
-def plan_rounds(counts: dict[int, int], capacity: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """Runs of placed documents: (first number, sequence of the first, documents per sequence, offset, length).
-
-    Numbers count documents from the longest to the shortest. ``counts`` gives the number of documents of
-    each length from 1 to ``capacity``.
+#: Documents and gaps that a task sweeps, on average.
+RANGE_ROWS = 100_000
+#: Documents longer than capacity / level are placed before shorter ones.
+LEVELS = (2, 4)
+
+SWEPT = "part int, kind int, id long, size long, slot long, sequence long, offset long"
+GAP, DOCUMENT, PLACED = 0, 1, 2
+
+
+class Sweep:
+    """Best fit over rows that come the largest first, gaps before documents of their size."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.open: list[tuple[int, int]] = []  # (size, sequence), the smallest last; each holds the next document
+        self.rest: list[tuple[int, int]] = []  # (-size, sequence) of what is left of gaps, too small so far
+        self.last = 0
+
+    def _until(self, size: int) -> None:
+        self.last = size
+        while self.rest and -self.rest[0][0] >= size:
+            left, sequence = heapq.heappop(self.rest)
+            self.open.append((-left, sequence))
+
+    def gap(self, size: int, sequence: int) -> None:
+        self._until(size)
+        self.open.append((size, sequence))
+
+    def document(self, size: int) -> tuple[int, int] | None:
+        """(sequence, offset) of a document, or None where no gap holds it."""
+        self._until(size)
+        if not self.open:
+            return None
+        gap, sequence = self.open.pop()
+        if gap - size >= size:
+            self.open.append((gap - size, sequence))
+        elif gap > size:
+            heapq.heappush(self.rest, (size - gap, sequence))
+        return sequence, self.capacity - gap
+
+    def left(self) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """Gaps left, the largest first: those that hold any later document, and smaller ones."""
+        self._until(self.last)
+        return self.open, [(-size, sequence) for size, sequence in sorted(self.rest)]
+
+
+def brackets(ranges: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Which left documents take which left gaps of higher ranges, by rank.
+
+    ``ranges`` has (range, documents left, largest of them, gaps left, smallest of them) in order. A run of documents
+    of ``part`` with slots from ``first`` to before ``end`` takes gaps of range ``other`` from slot ``top`` downwards, ``each``
+    documents a gap: returns (part, first, end, other, top, each).
     """
-    gaps: dict[int, deque[tuple[int, int]]] = {}
-    sizes: list[int] = []  # of gaps, ascending
-    opened = number = 0
-
-    def put(size: int, first: int, n: int, front: bool = False) -> None:
-        if size <= 0 or n <= 0:
-            return
-        if size not in gaps:
-            gaps[size] = deque()
-            bisect.insort(sizes, size)
-        (gaps[size].appendleft if front else gaps[size].append)((first, n))
-
-    for length in sorted(counts, reverse=True):
-        left = counts[length]
-        while left:
-            at = bisect.bisect_left(sizes, length)
-            if at == len(sizes):
-                fresh = -(-left // (capacity // length))
-                put(capacity, opened, fresh)
-                opened += fresh
-                at = bisect.bisect_left(sizes, length)
-            size = sizes[at]
-            first, n = gaps[size].popleft()
-            if not gaps[size]:
-                del gaps[size], sizes[at]
-            each = size // length
-            full = min(n, left // each)
-            if full:
-                yield number, first, each, capacity - size, length
-                put(size - each * length, first, full)
-                number, left = number + full * each, left - full * each
-            if full < n:
-                if left and left < each:
-                    yield number, first + full, left, capacity - size, length
-                    put(size - left * length, first + full, 1)
-                    number, left, full = number + left, 0, full + 1
-                put(size, first + full, n - full, front=True)
+    runs, stack = [], []
+    for part, documents, longest, gaps, smallest in ranges:
+        slot = 0
+        while slot < documents and stack:
+            other, top, size = stack.pop()
+            each = size // longest
+            used = min(top + 1, -(-(documents - slot) // each))
+            end = min(documents, slot + used * each)
+            runs.append((part, slot, end, other, top, each))
+            slot = end
+            if used <= top:
+                stack.append((other, top - used, size))
+        if gaps:
+            stack.append((part, gaps - 1, smallest))
+    return runs
 
 
 class WordIds:
@@ -185,33 +209,109 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
-    """``pieces`` (any columns, with ``length`` from 1 to ``capacity``) with sequence_id and offset.
+def _sweep(rows: DataFrame, capacity: int, n_rows: int) -> DataFrame:
+    """Documents and gaps (kind, id, size) after a sweep of each range: placed documents, and what is left with its slot in its range.
 
-    Sequences are gapless from offset 0 and numbered from 0. Ties of length go by the columns of
-    ``pieces``, so the result does not depend on the order of rows.
+    Slots count documents left, and gaps that hold any document of a later range; other gaps have none.
     """
-    import numpy as np
     import pyarrow as pa
+    from pyspark import TaskContext
+
+    def swept(batches):
+        part, sweep, waiting = TaskContext.get().partitionId(), Sweep(capacity), 0
+
+        def table(found):
+            columns = list(zip(*found, strict=True)) or [()] * 6
+            kinds = [pa.int32()] + [pa.int64()] * 5
+            arrays = [pa.array([part] * len(found), pa.int32()), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
+            return pa.RecordBatch.from_arrays(arrays, names=["part", "kind", "id", "size", "slot", "sequence", "offset"])
+
+        for batch in batches:
+            found = []
+            for kind, i, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind == GAP:
+                    sweep.gap(size, i)
+                elif place := sweep.document(size):
+                    found.append((PLACED, i, size, None, *place))
+                else:
+                    found.append((DOCUMENT, i, size, waiting, None, None))
+                    waiting += 1
+            yield table(found)
+        whole, small = sweep.left()
+        left = [(GAP, i, size, slot, None, None) for slot, (size, i) in enumerate(whole)] + [(GAP, i, size, None, None, None) for size, i in small]
+        for at in range(0, len(left), 10_000):
+            yield table(left[at : at + 10_000])
+
+    # Rows of one size are spread over ranges by a hash of their id.
+    mixed = rows.select("kind", "id", "size", (-F.col("size")).alias("_low"), F.xxhash64("id").alias("_mix"))
+    ranges = mixed.repartitionByRange(max(1, -(-n_rows // RANGE_ROWS)), "_low", "_mix")
+    return ranges.sortWithinPartitions("_low", "kind", "_mix").select("kind", "id", "size").mapInArrow(swept, SWEPT)
+
+
+def _round(rows: DataFrame, capacity: int, n_rows: int) -> tuple[list[DataFrame], DataFrame, int, int]:
+    """(placed documents, documents and gaps left, documents placed, documents left) of one round over ``rows`` (kind, id, size)."""
+    spark, c = rows.sparkSession, F.col
+    swept = shared_checkpoint(_sweep(rows, capacity, n_rows))
+    waiting, able = c("kind") == DOCUMENT, (c("kind") == GAP) & c("slot").isNotNull()
+    # A few numbers per range come to the driver.
+    counts = swept.groupBy("part").agg(
+        F.count_if(waiting).alias("documents"), F.max(F.when(waiting, c("size"))).alias("longest"), F.count_if(able).alias("gaps"),
+        F.min(F.when(able, c("size"))).alias("smallest"), F.count_if(c("kind") == PLACED).alias("placed"),
+    ).collect()
+    placed, left = sum(r["placed"] for r in counts), sum(r["documents"] for r in counts)
+    done = [swept.where(c("kind") == PLACED).select("id", "sequence", "offset")]
+    runs = brackets([(r["part"], r["documents"], r["longest"], r["gaps"], r["smallest"]) for r in sorted(counts, key=lambda r: r["part"])])
+    rest = swept.where(c("kind") != PLACED)
+    if not runs:
+        return done, rest.select("kind", "id", "size"), placed, left
+    # Not more than two rows per range.
+    taken = spark.createDataFrame(runs, "part int, first long, end long, other int, top long, each long")
+    taken = F.broadcast(taken.select("part", "first", "end", "other", "top", "each"))
+    documents = rest.where(waiting).join(taken, "part").where((c("slot") >= c("first")) & (c("slot") < c("end")))
+    documents = documents.select("id", "size", "slot", c("other").alias("part"), F.expr("top - (slot - first) div each").alias("gap"))
+    gaps = rest.where(able).select("part", c("slot").alias("gap"), c("id").alias("sequence"), c("size").alias("room"))
+    before = Window.partitionBy("part", "gap").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    used = F.coalesce(F.sum("size").over(before), F.lit(0))
+    matched = documents.join(gaps, ["part", "gap"]).select("id", "size", "sequence", (F.lit(capacity) - c("room") + used).alias("offset"))
+    matched = shared_checkpoint(matched)
+    done.append(matched.select("id", "sequence", "offset"))
+    moved = sum(end - first for _, first, end, *_ in runs)
+    highest = {part: end for part, _, end, *_ in runs}
+    until = F.broadcast(spark.createDataFrame(list(highest.items()), "part int, until long"))
+    documents = rest.where(waiting).join(until, "part", "left").where(c("until").isNull() | (c("slot") >= c("until")))
+    filled = matched.groupBy(c("sequence").alias("id")).agg(F.sum("size").alias("filled"))
+    gaps = rest.where(c("kind") == GAP).join(filled, "id", "left").withColumn("size", c("size") - F.coalesce("filled", F.lit(0))).where("size > 0")
+    return done, documents.select("kind", "id", "size").unionByName(gaps.select("kind", "id", "size")), placed + moved, left - moved
 
-    # Not more than one row per length comes to the driver.
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    runs = np.array(list(plan_rounds(counts, capacity)), np.int64).reshape(-1, 5)
-    longest_first = pieces.withColumn("_short", F.lit(capacity) - F.col("length"))
-    numbered = number_rows(longest_first, ["_short", *[c for c in pieces.columns if c != "length"]], "_number").drop("_short")
-    fields = [(c, t) for c, t in numbered.dtypes if c != "_number"]
 
-    def place(batches):
-        for batch in bounded(batches):
-            number = batch.column(batch.schema.get_field_index("_number")).to_numpy()
-            first, sequence, each, offset, length = runs[np.searchsorted(runs[:, 0], number, "right") - 1].T
-            rank = number - first
-            columns = [batch.column(batch.schema.get_field_index(c)) for c, _ in fields]
-            columns += [pa.array(sequence + rank // each), pa.array(offset + rank % each * length)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*[c for c, _ in fields], "sequence_id", "offset"])
+def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+    """``pieces`` (any columns, with ``length`` from 1 to ``capacity``, and a number ``_id`` of its own per row) with sequence_id and offset.
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in fields) + ", sequence_id long, offset long"
-    return numbered.mapInArrow(place, schema)
+    Sequences are gapless from offset 0; their ids are any numbers. ``_id`` goes.
+    """
+    spark, c = pieces.sparkSession, F.col
+    documents = pieces.select(F.lit(DOCUMENT).alias("kind"), c("_id").alias("id"), c("length").alias("size"))
+    large = documents.where(c("size") > capacity // LEVELS[0])
+    placed = [large.select("id", c("id").alias("sequence"), F.lit(0).cast("long").alias("offset"))]
+    gaps = large.select(F.lit(GAP).alias("kind"), "id", (F.lit(capacity) - c("size")).alias("size")).where("size > 0")
+    opened = 0
+    for above, upto in zip((*(capacity // level for level in LEVELS[1:]), 0), (capacity // level for level in LEVELS), strict=True):
+        new = documents.where((c("size") > above) & (c("size") <= upto))
+        rows = new.unionByName(gaps)
+        left, n_rows = new.count(), rows.count()
+        while left:
+            done, rows, moved, left = _round(rows, capacity, n_rows)
+            placed += done
+            if left and not moved:
+                # Nothing fits: as many new sequences as the documents left fill if each lies among its like.
+                need = rows.where(c("kind") == DOCUMENT).agg(F.sum(1 / F.floor(F.lit(capacity) / c("size")))).first()[0]
+                n = max(1, -int(-need // 1))
+                rows = rows.unionByName(spark.range(n).select(F.lit(GAP).alias("kind"), (-c("id") - 1 - opened).alias("id"), F.lit(capacity).cast("long").alias("size")))
+                opened += n
+                n_rows += n
+        gaps = rows.where(c("kind") == GAP)
+    found = reduce(DataFrame.unionByName, placed).select(c("id").alias("_id"), c("sequence").alias("sequence_id"), "offset")
+    return pieces.join(found, "_id").drop("_id")
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -219,6 +319,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, e
 
     Null and empty texts are packed as the end id alone; repeated rows and null ids each take their own
     place; an empty table gives an empty table; other columns are not looked at. Texts are read and
-    tokenised once; what is sorted and numbered are the narrow rows of pieces.
+    tokenised once; what is sorted are narrow rows of pieces.
     """
-    return pack(shared_checkpoint(token_pieces(docs, tokenizer_file, capacity, end_id)), capacity)
+    pieces = token_pieces(docs, tokenizer_file, capacity, end_id).withColumn("_id", F.monotonically_increasing_id())
+    return pack(shared_checkpoint(pieces), capacity)

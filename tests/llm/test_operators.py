@@ -389,32 +389,84 @@ def test_packing(spark, docs, empty, words_file):
     assert pack_documents(empty, words_file).count() == 0
 
 
-def test_rounds_are_best_fit_decreasing():
-    from gridloom.llm.packing import plan_rounds
+def best_fit(sizes, capacity, gaps=()):
+    """Sequences that best fit decreasing opens."""
+    gaps = list(gaps)
+    for s in sorted(sizes, reverse=True):
+        fit = [g for g in gaps if g >= s]
+        if fit:
+            gaps.remove(min(fit))
+            gaps.append(min(fit) - s)
+        else:
+            gaps.append(capacity - s)
+    return len(gaps)
+
+
+def test_a_sweep_is_best_fit(spark):
+    from gridloom.llm.packing import DOCUMENT, GAP, Sweep
 
     rng = random.Random(8)
-    for _ in range(200):
-        capacity = rng.choice([7, 16, 50])
-        sizes = sorted((rng.randint(1, capacity) for _ in range(rng.randint(0, 60))), reverse=True)
-        gaps = []
-        for s in sizes:
-            fit = [g for g in gaps if g >= s]
-            if fit:
-                gaps.remove(min(fit))
-                gaps.append(min(fit) - s)
+    for _ in range(300):
+        gaps, sizes = ([rng.randint(1, 30) for _ in range(rng.randint(0, 20))] for _ in range(2))
+        sweep, got = Sweep(30), []
+        for size, kind, i in sorted(((s, k, i) for k, xs in ((GAP, gaps), (DOCUMENT, sizes)) for i, s in enumerate(xs)), key=lambda x: (-x[0], x[1])):
+            if kind == GAP:
+                sweep.gap(size, i)
             else:
-                gaps.append(capacity - s)
-        runs = list(plan_rounds(Counter(sizes), capacity))
-        firsts = [r[0] for r in runs]
-        assert firsts == sorted(firsts)
-        held = {}
-        for n, size in enumerate(sizes):
-            first, sequence, each, offset, length = [r for r in runs if r[0] <= n][-1]
-            assert length == size
-            held.setdefault(sequence + (n - first) // each, []).append((offset + (n - first) % each * length, length))
-        assert len(held) == len(gaps)
-        for parts in held.values():
-            assert all(a + b == c for (a, b), (c, _) in zip(sorted(parts), sorted(parts)[1:], strict=False)) and sum(p[1] for p in parts) <= capacity
+                got.append((size, (place := sweep.document(size)) and 30 - place[1]))
+        held = list(gaps)
+        for size, room in got:
+            fit = [g for g in held if g >= size]
+            assert room == (min(fit) if fit else None)
+            if fit:
+                held.remove(room)
+                held.append(room - size)
+        whole, small = sweep.left()
+        assert sorted(s for s, _ in whole + small) == sorted(g for g in held if g)
+
+
+def test_brackets_give_no_gap_twice():
+    from gridloom.llm.packing import brackets
+
+    rng = random.Random(9)
+    for _ in range(300):
+        ranges, size = [], 100
+        for part in range(rng.randint(1, 8)):
+            ranges.append((part, rng.randint(0, 6), rng.randint(max(1, size - 9), size), rng.randint(0, 6), rng.randint(max(1, size - 9), size)))
+            size = max(1, size - 10)
+        free, want = [], {}
+        for part, documents, longest, gaps, smallest in ranges:
+            want[part] = documents
+            for part_, first, end, other, top, each in brackets(ranges):
+                if part_ == part:
+                    assert other < part and each >= 1
+                    for slot in range(first, end):
+                        free.append((other, top - (slot - first) // each))
+        counts = Counter(free)
+        limits = {p: g for p, _, _, g, _ in ranges}
+        assert all(0 <= g < limits[p] for p, g in counts)
+
+
+@pytest.mark.parametrize("range_rows", [20, 100_000])
+def test_rounds_fill_sequences(spark, monkeypatch, range_rows):
+    from gridloom.llm import packing as P
+
+    monkeypatch.setattr(P, "RANGE_ROWS", range_rows)
+    rng = random.Random(10)
+    for sizes in ([rng.randint(1, 50) for _ in range(300)], [14] * 61 + [36] * 50 + [5] * 3, [50, 50, 1], [], [20] * 7):
+        rows = [(i, s) for i, s in enumerate(sizes)]
+        got = P.pack(spark.createDataFrame(rows, "_id long, length long").repartition(3), 50).collect()
+        assert Counter(r["length"] for r in got) == Counter(sizes)
+        used = {}
+        for r in got:
+            used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        for parts in used.values():
+            end = 0
+            for offset, length in sorted(parts):
+                assert offset == end
+                end += length
+            assert end <= 50
+        assert len(used) <= best_fit(sizes, 50) * 1.03 + 1
 
 
 def test_word_ids_equal_the_tokenizer(words_file):
