@@ -6,8 +6,9 @@
    pairs. Links that the signatures put clearly below the threshold are dropped, the others are
    confirmed on the full sets, and the confirmed ones give first components.
 3. Buckets whose members are still in several components may hide links between them. Members of such a bucket are compared
-   by set size and signature, in blocks of bounded size and without texts; those that have a likely partner in another
-   component are compared on their full sets, again in blocks, and only links that join components are returned.
+   by set size and signature, in blocks of bounded size and without texts. Those that are likely partners of one
+   another make a cluster, whose members are compared on their full sets, again in blocks, and only links that join
+   components are returned.
 4. Components of all confirmed links are the result.
 
 With 40 bands of 5 minima, two sets with a similarity of 0.8 share no band once in 8 million pairs; a
@@ -37,7 +38,7 @@ HUB_LINKS = 500
 #: Members of one block of a bucket that are compared by signature, on average; a task holds two.
 SIGNED_MEMBERS = 2000
 #: Of one block that is compared on full sets, on average: shingles and members. A task holds two.
-BLOCK_SHINGLES, BLOCK_MEMBERS = 250_000, 500
+BLOCK_SHINGLES, BLOCK_MEMBERS = 250_000, 1500
 
 _rng = np.random.default_rng(20_240_101)
 FACTORS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -221,21 +222,21 @@ def _likely(pairs: DataFrame, signed: DataFrame, percent: int, margin: float | N
     return found.where(estimated("sign_a", "sign_b") >= percent / 100 - margin).select("a", "b", "links")
 
 
-def _distinct_buckets(members: DataFrame) -> DataFrame:
-    """(key, n, shingles) of the buckets of ``members`` (key, node, component, size) with several components, one of those with the same members."""
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """(key, n) of the buckets of ``members`` (key, node, component) with several components, one of those with the same members."""
     buckets = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"),
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
-    return buckets.where("low != high").groupBy("n", "shingles", "x", "y").agg(F.min("key").alias("key")).select("key", "n", "shingles")
+    return buckets.where("low != high").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
 
 
-def _dealt(members: DataFrame, buckets: DataFrame, blocks) -> DataFrame:
-    """``members`` of ``buckets`` cut into ``blocks``, one copy for each pair of blocks that holds its own: with low, high (the pair) and block.
+def _dealt(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``members`` (key, node, ...) of ``groups`` (key, n, blocks), one copy for each pair of blocks that holds its own: with low, high (the pair) and block.
 
     Which block a member is in hangs on its node alone.
     """
-    sized = spread_join(members, buckets.select("key", "n", blocks.cast("int").alias("blocks")), ["key"], "n")
+    sized = spread_join(members, groups.select("key", "n", F.col("blocks").cast("int").alias("blocks")), ["key"], "n")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = sized.select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), other)
     return dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other")
@@ -245,14 +246,16 @@ def _hidden(shared: DataFrame, components: DataFrame, signed: DataFrame, texts:
     """Links (a, b) between components whose members share a bucket; enough of them to join these."""
     placed = shared.join(components, "node", "left").join(signed.select("node", "size"), "node")
     placed = shared_checkpoint(placed.select("key", "node", "size", F.coalesce("component", "node").alias("component")))
-    members = _dealt(placed, _distinct_buckets(placed), F.ceil(F.col("n") / SIGNED_MEMBERS)).join(signed.select("node", "signature"), "node")
+    buckets = _open_buckets(placed).withColumn("blocks", F.ceil(F.col("n") / SIGNED_MEMBERS))
     columns = ("key", "low", "high", "block", "node", "component", "size", "signature")
-    n = shuffle_partitions(shared.sparkSession)
-    sorted_ = members.select(*columns).repartition(n, "key", "low", "high").sortWithinPartitions("key", "low", "high")
-    likely = sorted_.mapInArrow(_with_partner(percent, margin), "key long, node long, component long, size long").distinct()
-    likely = shared_checkpoint(likely)
-    buckets = _distinct_buckets(likely).withColumn("blocks", F.greatest(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("n") / BLOCK_MEMBERS)))
-    dealt = _dealt(likely, buckets, F.col("blocks")).join(signed.select("node", "signature"), "node").join(texts, "node")
+    members = _dealt(placed, buckets).join(signed.select("node", "signature"), "node").select(*columns)
+    members = members.repartition(shuffle_partitions(shared.sparkSession), "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    likely = shared_checkpoint(members.mapInArrow(_partners(percent, margin), "a long, b long").distinct())
+    clusters = connected_components(likely).select("node", F.col("component").alias("key"))
+    clustered = shared_checkpoint(clusters.join(placed.select("node", "component", "size").distinct(), "node"))
+    sizes = clustered.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("n") / BLOCK_MEMBERS))
+    dealt = _dealt(clustered, sizes.withColumn("blocks", blocks)).join(signed.select("node", "signature"), "node").join(texts, "node")
     found = dealt.select("key", "low", "high", "block", "node", "component", "signature", "text").groupBy("key", "low", "high")
     return found.applyInArrow(_joining_links(words, percent, margin), "a long, b long")
 
@@ -266,8 +269,8 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (1 - np.bitwise_count(x & np.uint64(int("1" * (64 // LOW_BITS), 16))).sum(axis=1) / SIGNED - chance) / (1 - chance)
 
 
-def _with_partner(percent: int, margin: float | None):
-    """A function of members sorted by (key, low, high): those that another component's member of their pair of blocks may be linked to."""
+def _partners(percent: int, margin: float | None):
+    """A function of members sorted by (key, low, high): links (a, b) between nodes that hold all likely partners within a pair of blocks together."""
 
     def partnered(batches):
         import pyarrow as pa
@@ -296,22 +299,33 @@ def _with_partner(percent: int, margin: float | None):
         key, low, high, block, node, component, size = (table.column(c).to_numpy() for c in ("key", "low", "high", "block", "node", "component", "size"))
         signature = table.column("signature").combine_chunks().flatten().to_numpy().reshape(len(key), -1).view(np.uint64)
         group = np.cumsum(np.r_[False, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-        has = np.zeros(len(key), bool)
-        i = np.arange(len(key))
+        root = i = np.arange(len(key))
         for lag in range(1, len(key)):
             i = i[i + lag < len(key)]
             i = i[group[i] == group[i + lag]]
             if not len(i):
                 break
             j = i + lag
-            fits = (component[i] != component[j]) & ((low[i] == high[i]) | (block[i] != block[j])) & ~(has[i] & has[j])
+            fits = (root[i] != root[j]) & (component[i] != component[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
             fits &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
             a, b = i[fits], j[fits]
             if margin is not None and len(a):
                 near = _alike(signature[a], signature[b]) >= percent / 100 - margin
                 a, b = a[near], b[near]
-            has[a] = has[b] = True
-        return pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (key, node, component, size)], names=["key", "node", "component", "size"])
+            if not len(a):
+                continue
+            held = root.tolist()
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                while held[x] != x:
+                    x = held[x]
+                while held[y] != y:
+                    y = held[y]
+                held[max(x, y)] = min(x, y)
+            root = np.array(held)
+            while (root[root] != root).any():
+                root = root[root]
+        moved = root != np.arange(len(key))
+        return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
 
     return partnered
 

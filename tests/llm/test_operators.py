@@ -306,8 +306,8 @@ def test_hidden_links_are_found_in_blocks(monkeypatch):
         assert N._joining_links(2, 80, margin)(key, joined).num_rows == 0
     zeros = pa.array([0, 0, 0], pa.int32())
     members = pa.table({"key": [7, 7, 7], "low": zeros, "high": zeros, "block": zeros, "node": [1, 2, 3], "component": [1, 2, 3], "size": [len(x) for x in sets], "signature": signs})
-    [found] = N._with_partner(80, 0.15)(iter(members.to_batches()))
-    assert found.to_pydict()["node"] == [1, 2]
+    [found] = N._partners(80, 0.15)(iter(members.to_batches()))
+    assert found.to_pydict() == {"a": [2], "b": [1]}
 
 
 def test_hidden_links_of_large_buckets(spark, monkeypatch):
