@@ -18,6 +18,7 @@ from gridloom.llm.common import bounded, shuffle_partitions, text_of
 from gridloom.llm.shingles import Shingler, mixed
 
 WORDS, BIN_BITS, LOW_BITS = 5, 9, 4
+#: Attempts that are tried together at first; a bin that finds no full one in them is looked up in the table of all attempts.
 ATTEMPTS = 16
 
 
@@ -26,15 +27,27 @@ class Fingerprinter:
         self.shingler, self.bin_bits, self.low_bits = Shingler(words), bin_bits, low_bits
         self.bins = 1 << bin_bits
         self.own = mixed(np.arange(1, self.bins + 1, dtype=np.uint64))
-        self.probes: list[np.ndarray] = []
+        self.first = self._tried(0)
+        self.met: np.ndarray | None = None
 
-    def _probes(self, turn: int) -> np.ndarray:
+    def _tried(self, turn: int) -> np.ndarray:
         """The bins that each bin tries in attempts ATTEMPTS * turn and on."""
-        while len(self.probes) <= turn:
-            attempt = np.arange(ATTEMPTS * len(self.probes), ATTEMPTS * (len(self.probes) + 1), dtype=np.uint64)
-            seed = np.arange(self.bins, dtype=np.uint64)[:, None] * np.uint64(1_000_003) + attempt + np.uint64(1)
-            self.probes.append((mixed(mixed(seed)) >> np.uint64(64 - self.bin_bits)).astype(np.int64))
-        return self.probes[turn]
+        attempt = np.arange(ATTEMPTS * turn, ATTEMPTS * (turn + 1), dtype=np.uint64)
+        seed = np.arange(self.bins, dtype=np.uint64)[:, None] * np.uint64(1_000_003) + attempt + np.uint64(1)
+        return (mixed(mixed(seed)) >> np.uint64(64 - self.bin_bits)).astype(np.int64)
+
+    def _met(self) -> np.ndarray:
+        """The attempt in which each bin (row) first tries each other one: attempts go on until every bin has tried all."""
+        if self.met is None:
+            never = np.iinfo(np.int32).max
+            met, turn = np.full((self.bins, self.bins), never, np.int32), 0
+            rows = np.arange(self.bins)
+            while (met == never).any():
+                for k, tried in enumerate(self._tried(turn).T):
+                    met[rows, tried] = np.minimum(met[rows, tried], ATTEMPTS * turn + k)
+                turn += 1
+            self.met = met
+        return self.met
 
     def bins_of(self, text: str) -> np.ndarray | None:
         """The low bits of every bin, or None for a text without words."""
@@ -48,18 +61,16 @@ class Fingerprinter:
         value[where[first]] = hashes[first]
         full = np.zeros(self.bins, bool)
         full[where[first]] = True
-        empty, turn = np.flatnonzero(~full), 0
-        source = value.copy()
-        while len(empty):
-            tried = self._probes(turn)[empty]
-            hit = full[tried]
-            found = hit.any(axis=1)
-            value[empty[found]] = source[tried[found, hit[found].argmax(axis=1)]]
-            empty, turn = empty[~found], turn + 1
-            if turn == 64 and len(empty):  # very few full bins: the nearest by distance of hashed places
-                order = mixed(empty.astype(np.uint64)[:, None] * np.uint64(1_000_003) ^ np.flatnonzero(full).astype(np.uint64) << np.uint64(32))
-                value[empty] = source[np.flatnonzero(full)[order.argmin(axis=1)]]
-                break
+        empty = np.flatnonzero(~full)
+        tried = self.first[empty]
+        hit = full[tried]
+        found = hit.any(axis=1)
+        source = np.empty(len(empty), np.int64)
+        source[found] = tried[found, hit[found].argmax(axis=1)]
+        if not found.all():
+            some = where[first]
+            source[~found] = some[self._met()[np.ix_(empty[~found], some)].argmin(axis=1)]
+        value[empty] = value[source]
         return (mixed(value + self.own) & np.uint64((1 << self.low_bits) - 1)).astype(np.uint8)
 
     def pack(self, low: np.ndarray | None) -> str:

@@ -1,9 +1,9 @@
 """Encoding and decoding with a SentencePiece BPE model by vectorised merge rounds.
 
-A text is normalised as the model says and cut into words where no piece of the model can cross
-(before a space mark that follows another character). The distinct words of a batch go through the
-rounds together: symbols of all words lie in one flat array; each round takes the best pair of
-every word (a segmented minimum of the pairs' ranks), merges its leftmost occurrences in all words at
+A text is normalised as the model says and cut into words where no piece of the model can cross: before a space mark
+that follows another character, and, inside the rounds, between two characters that follow one another in no piece. The
+distinct words of a batch go through the rounds together: symbols of all words lie in one flat array; each round takes
+the best pair of every word (a segmented minimum of the pairs' ranks), merges its leftmost occurrences in all words at
 once and compacts the array, until no word has a pair left. A word whose merges would open a pair
 at least as good as the one being merged takes its first merge only, so that the order is that of one
 merge at a time.
@@ -27,8 +27,8 @@ NO_RANK = np.int64(1) << 40
 #: Words whose ids a task keeps, in each of two generations: a full table becomes the old one, and what is met again moves up.
 KEPT_WORDS = 250_000
 
-#: Words that take the rounds together; after so many rounds, the few left are merged one pair at a time.
-ROUND_WORDS, ROUNDS = 10_000, 300
+#: Words that take the rounds together.
+ROUND_WORDS = 10_000
 
 
 class PieceModel:
@@ -65,6 +65,8 @@ class PieceModel:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_rank = np.array([pairs[k][0] for k in self.pair_keys.tolist()] + [NO_RANK], np.int64)
         self.pair_into = np.array([pairs[k][1] for k in self.pair_keys.tolist()] + [0], np.int64)
+        follow = sorted({(ord(a) << 32) | ord(b) for p in ids for a, b in zip(p, p[1:])})
+        self.follow = np.array(follow, np.int64)
         self.shown = [p.replace(SPACE, " ") for p in self.names]
         self.digits = [str(i) for i in range(size)]
         self.special = frozenset({*self.byte_of, *self.silent, self.unknown})
@@ -91,12 +93,19 @@ class PieceModel:
 
     def merge(self, words: list[str]) -> list[list[int]]:
         """The ids of each of ``words`` (none empty)."""
-        done: list[list[int]] = [[] for _ in words]
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        # A part is a run of characters that follow one another in some piece; no merge crosses its ends.
+        pair = (code[:-1].astype(np.int64) << 32) | code[1:]
+        at = np.minimum(np.searchsorted(self.follow, pair), max(0, len(self.follow) - 1))
+        joined = (self.follow[at] == pair) & (owner[1:] == owner[:-1]) if len(self.follow) else np.zeros(len(pair), bool)
+        begins = np.r_[True, ~joined]
+        word = np.cumsum(begins) - 1
+        done: list[list[int]] = [[] for _ in range(int(word[-1]) + 1)]
+        owners = owner[begins].tolist()
         seen, where = np.unique(code, return_inverse=True)
         first = [self._first(chr(c)) for c in seen.tolist()]
         symbol = np.array([x[0] for x in first], np.int64)[where]
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         wide = np.array([len(x) for x in first])[where]
         if (wide > 1).any():  # the bytes of characters that no piece holds
             symbol, word = np.repeat(symbol, wide), np.repeat(word, wide)
@@ -109,17 +118,11 @@ class PieceModel:
         inside = np.flatnonzero(word[:-1] == word[1:])
         rank[inside], into[inside] = self._ranks(symbol[inside], symbol[inside + 1])
 
-        for turn in range(ROUNDS + 1):
-            if not len(symbol):
-                break
+        while len(symbol):
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             lengths = np.diff(np.r_[starts, len(word)])
             least = np.minimum.reduceat(rank, starts)
             over = least == NO_RANK
-            if turn == ROUNDS:
-                for s, n in zip(starts.tolist(), lengths.tolist(), strict=True):
-                    done[word[s]] = self._ids(self._one_by_one(symbol[s : s + n].tolist()))
-                break
             if over.any():
                 gone = np.repeat(over, lengths)
                 flat = symbol[gone].tolist()
@@ -156,7 +159,10 @@ class PieceModel:
             touched = touched[touched + 1 < len(symbol)]
             touched = touched[word[touched] == word[touched + 1]]
             rank[touched], into[touched] = self._ranks(symbol[touched], symbol[touched + 1])
-        return done
+        found: list[list[int]] = [[] for _ in words]
+        for k, part in zip(owners, done, strict=True):
+            found[k] += part
+        return found
 
     def _in_order(self, at, symbol, into, segment, best) -> np.ndarray:
         """``at`` less the merges that may have to wait for a pair which an earlier one opens."""
@@ -178,40 +184,6 @@ class PieceModel:
         risky[segment[at[opened <= best[at]]]] = True
         return at[~(later & risky[segment[at]])]
 
-    def _one_by_one(self, symbols: list[int]) -> list[int]:
-        """The same merges, best pair first: for long words in which each merge opens a better pair."""
-        import heapq
-
-        n = len(symbols)
-        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        known: dict[tuple[int, int], tuple[int, int]] = {}
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = after[i] if i >= 0 else n
-            if i < 0 or j >= n:
-                return
-            pair = (symbols[i], symbols[j])
-            if pair not in known:
-                rank, into = self._ranks(np.array([pair[0]]), np.array([pair[1]]))
-                known[pair] = int(rank[0]), int(into[0])
-            if known[pair][0] < NO_RANK:
-                heapq.heappush(heap, (known[pair][0], i, *pair))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if not alive[i] or j >= n or symbols[i] != left or symbols[j] != right:
-                continue
-            symbols[i], alive[j], after[i] = known[left, right][1], False, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            offer(before[i])
-            offer(i)
-        return [s for s, here in zip(symbols, alive, strict=True) if here]
-
     def _first(self, c: str) -> list[int]:
         """The symbols that a character begins as: its own, or ids that no pair holds."""
         if c in self.symbols:

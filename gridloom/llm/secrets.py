@@ -11,6 +11,8 @@ the document, since a scope never leaves it; nothing is shuffled and no pairs ar
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +93,13 @@ def linked(strong: list[Span], weak: list[Span], scope: int) -> list[Span]:
 def find_secrets(text: str, scope: int = SCOPE) -> tuple[list[Span], list[Span]]:
     """The strong spans of a text, and the weak ones that are linked, neither inside a strong one."""
     strong = strong_spans(text)
-    weak = [w for w in weak_parts(text) if not any(s <= w[0] and w[1] <= e for s, e, _ in strong)]
+    weak = weak_parts(text)
+    if strong and weak:
+        # Of the strong spans that begin no later than a weak one, does the one that reaches furthest hold it?
+        order = sorted(strong)
+        starts, reach = [s for s, _, _ in order], list(accumulate((e for _, e, _ in order), max))
+        inside = lambda w: (k := bisect_right(starts, w[0])) and reach[k - 1] >= w[1]
+        weak = [w for w in weak if not inside(w)]
     return strong, linked(strong, weak, scope) if weak else []
 
 
@@ -129,10 +137,17 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     return rows.mapInArrow(found, schema)
 
 
+def secret_spans(text: str, scope: int = SCOPE) -> list[Span]:
+    """What must not be handed on: strong spans and linked keys, by start."""
+    strong, weak = find_secrets(text, scope)
+    return sorted([*strong, *(w for w in weak if ROLES[w[2]] == "secret")])
+
+
 def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` (the columns of documents) with every span replaced by ``mark`` and n_chars counted anew.
+    """``docs`` (the columns of documents) with every secret replaced by ``mark`` and n_chars counted anew.
 
-    Overlapping spans are replaced together. Rows without a span, null texts among them, come back as they were.
+    Secrets are the strong spans and the bare keys that are linked; the accounts and endpoints that they are linked to stay.
+    Overlapping spans are replaced together. Rows without a secret, null texts among them, come back as they were.
     """
     import pyarrow as pa
 
@@ -142,7 +157,7 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[SECRET]") -> DataF
         for batch in bounded(batches):
             texts, sizes = batch.column(1).to_pylist(), batch.column(4).to_pylist()
             for i, text in enumerate(texts):
-                if not text or not (spans := sorted(x for part in find_secrets(text, scope) for x in part)):
+                if not text or not (spans := secret_spans(text, scope)):
                     continue
                 out, at = [], 0
                 for start, end, _ in spans:
