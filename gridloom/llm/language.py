@@ -17,6 +17,8 @@ from gridloom.llm.common import bounded, text_of
 FIT_ROWS = 500
 #: N-grams in a language's profile, and in a document's.
 PROFILE_SIZE = 400
+#: A text is in a language only if its score is at least this share of the lowest of the rows that the language was learned from.
+FLOOR_SHARE = 0.8
 UNKNOWN = "und"
 PAD, BITS = 1, 21
 
@@ -66,26 +68,18 @@ def held_out_row(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
-def learn_profiles(docs: DataFrame, rows_per_language: int = FIT_ROWS, size: int = PROFILE_SIZE) -> dict[str, list[int]]:
-    """N-grams of each language, most frequent first, from rows of ``docs`` (doc_id, text, lang) with a lang.
-
-    At most ``rows_per_language`` rows of each language are used, those whose doc_id hashes lowest; so what comes to
-    the driver is bound by the parameters and the number of languages.
-    """
-    import pyarrow as pa
-
+def fit_sample(docs: DataFrame, rows_per_language: int = FIT_ROWS) -> DataFrame:
+    """(lang, text) of at most ``rows_per_language`` rows of each lang of ``docs`` (doc_id, text, lang), those whose doc_id hashes lowest."""
     labelled = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", text_of().alias("text"))
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     known = {r["lang"]: r["n"] for r in counts.collect()}
-    if not known:
-        return {}
     # Twice the share that is needed, by hash, then the lowest of those: a few rows of each language move, whatever its size.
     scale = 1 << 40
     shares = docs.sparkSession.createDataFrame(
         [(k, min(scale, 2 * (rows_per_language + 10) * scale // n)) for k, n in known.items()], "lang string, share long"
     )
     lowest = Window.partitionBy("lang").orderBy("_hash", "doc_id", "text")
-    sample = (
+    return (
         labelled.withColumn("_hash", F.pmod(F.xxhash64("doc_id"), F.lit(scale)))
         .join(F.broadcast(shares), "lang")
         .where(F.col("_hash") < F.col("share"))
@@ -94,6 +88,11 @@ def learn_profiles(docs: DataFrame, rows_per_language: int = FIT_ROWS, size: int
         .select("lang", "text")
     )
 
+
+def learn_profiles(sample: DataFrame, size: int = PROFILE_SIZE) -> dict[str, list[int]]:
+    """N-grams of each language, most frequent first, from ``sample`` (lang, text): what comes to the driver is bound by ``size`` and the number of languages."""
+    import pyarrow as pa
+
     def count(batches):
         import numpy as np
 
@@ -144,6 +143,12 @@ def predict(profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
     return predicted
 
 
+def floors(sample: DataFrame, predicted, share: float = FLOOR_SHARE) -> dict[str, float]:
+    """For each language ``share`` of the lowest score of the rows of ``sample`` that are told to be in it; one number a language."""
+    scored = sample.select("lang", predicted("text").alias("found")).where(F.col("found.lang_pred") == F.col("lang"))
+    return {r["lang"]: share * r["low"] for r in scored.groupBy("lang").agg(F.min("found.score").alias("low")).collect()}
+
+
 def identify(docs: DataFrame, rows_per_language: int = FIT_ROWS) -> DataFrame:
     """The language of every whole text: doc_id, held_out, lang_pred, score.
 
@@ -153,14 +158,22 @@ def identify(docs: DataFrame, rows_per_language: int = FIT_ROWS) -> DataFrame:
     hashes as the empty text, an empty table gives an empty table, other columns are not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    predicted = predict(learn_profiles(rows.where(~held_out_row(F.col("doc_id"))), rows_per_language))
+    predicted = predict(learn_profiles(fit_sample(rows.where(~held_out_row(F.col("doc_id"))), rows_per_language)))
     found = rows.select("doc_id", held_out_row(F.col("doc_id")).alias("held_out"), predicted(text_of()).alias("found"))
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
-def keep_known_languages(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
-    """``docs`` without the documents whose language cannot be told: ``und``, or a score not over ``least_score``."""
+def keep_known_languages(docs: DataFrame, share: float = FLOOR_SHARE) -> DataFrame:
+    """``docs`` without the documents whose language cannot be told, and with the language of those that had none.
+
+    A document goes if it is ``und``, or if its score is below the floor of its language: then it is junk, or in a language that
+    was not learned. Where no row has a lang nothing is learned, and all go. A lang that is there stays; a null one becomes
+    the predicted one.
+    """
     columns = docs.columns
-    predicted = predict(learn_profiles(docs))
+    sample = fit_sample(docs)
+    predicted = predict(learn_profiles(sample))
+    low = F.create_map(*[F.lit(x) for pair in floors(sample, predicted, share).items() for x in pair]) if sample.head(1) else F.create_map().cast("map<string,double>")
     found = docs.withColumn("_found", predicted(text_of()))
-    return found.where((F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") > least_score)).select(*columns)
+    kept = found.where((F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= F.coalesce(F.try_element_at(low, F.col("_found.lang_pred")), F.lit(0.0))))
+    return kept.withColumn("lang", F.coalesce("lang", "_found.lang_pred")).select(*columns)

@@ -577,20 +577,65 @@ def test_language(spark, docs, empty):
     assert {i for i, r in got.items() if r["lang_pred"] == "und"} == {4, 5, 6, 9}
     assert all(0 <= r["score"] <= 1 for r in got.values())
     assert got[12]["held_out"] == (zlib.crc32(b"12") % 4 == 2)
-    kept = L.keep_known_languages(docs)
+    kept = L.keep_known_languages(docs, 0.0)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, _ in TEXTS} - {4, 5, 6, 9}
     assert L.keep_known_languages(empty).count() == 0
 
 
 def test_every_labelled_language_is_learned(spark):
-    from gridloom.llm.language import learn_profiles
+    from gridloom.llm.language import fit_sample, learn_profiles
 
     rows = [(i, chr(0x4E00 + i) * 5, f"l{i:03}") for i in range(230)]
-    profiles = learn_profiles(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    profiles = learn_profiles(fit_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
     assert set(profiles) == {lang for _, _, lang in rows}
     assert all(ord(text[0]) in profiles[lang] for _, text, lang in rows)
 
 
+def brute_profile(texts, size):
+    """The ``size`` most frequent 1- to 3-grams of letters with padded words, by count and then by code."""
+    import unicodedata
+
+    counts = Counter()
+    for text in texts:
+        words = "".join(c.lower() if unicodedata.category(c)[0] == "L" else " " for c in text).split()
+        for w in words:
+            padded = f"\x01{w}\x01"
+            counts.update(w)
+            counts.update(padded[i : i + 2] for i in range(len(padded) - 1))
+            counts.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    code = lambda g: sum(ord(c) << 21 * k for k, c in enumerate(reversed(g)))
+    return sorted(counts, key=lambda g: (-counts[g], code(g)))[:size]
+
+
+def test_distance_is_out_of_place(spark):
+    from gridloom.llm import language as L
+
+    samples = {"en": ["the cat sat on the mat", "That is the thing!"], "de": ["der Hund und die Katze", "Das ist das Ding, über das er sprach"], "es": ["el niño y la casa"]}
+    texts = ["the dog and the cat", "die über das", "niño", "qqq zzz", "A1b2", "el the der", "Ünï", "the the the the"]
+    for size in (5, 40):
+        frame = spark.createDataFrame([(k, t) for k, v in samples.items() for t in v], "lang string, text string")
+        predicted = L.predict(L.learn_profiles(frame, size), size)
+        got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", predicted("text").alias("x")).collect()
+        profiles = {k: brute_profile(v, size) for k, v in samples.items()}
+        for r in got:
+            own = brute_profile([r["text"]], size)
+            away = {k: sum(abs(i - p.index(g)) if g in p else size for i, g in enumerate(own)) for k, p in profiles.items()}
+            best = min(sorted(away), key=away.get)
+            assert (r["x"]["lang_pred"], r["x"]["score"]) == (best, 1 - min(1.0, away[best] / (size * len(own))))
+
+
+def test_junk_and_unknown_languages_are_rejected(spark):
+    from gridloom.llm.language import keep_known_languages
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    planted = [(-1, "xq zvk wjqp ghtk vvxz qqpl mnbx", None), (-2, "Сегодня хорошая погода, и мы идём гулять в парк.", None), (-3, "12 34 !!", None), (-4, "Zdravstvuyte kak dela segodnya pogoda khoroshaya", "ru?")]
+    clean = [(r["doc_id"], r["text"], None) for r in docs.limit(20).collect()]
+    extra = spark.createDataFrame([(i - 100 if i >= 0 else i, t, lang, "s", 1) for i, t, lang in planted[:3] + [(-1000 - i, t, None) for i, t, _ in clean]], docs.schema)
+    kept = keep_known_languages(docs.union(extra)).collect()
+    assert {r["doc_id"] for r in kept} == {r["doc_id"] for r in docs.collect()} | {-1000 - i for i, _, _ in clean}
+    assert all(r["lang"] is not None for r in kept)
+
+
 def test_language_held_out_accuracy(spark):
     from gridloom.llm.language import identify
 
