@@ -1,27 +1,37 @@
 """WARC archives of captured pages, and their index merged into globally ordered capture histories.
 
 Writing: captures with equal payloads are grouped by digest, one of a group becomes the response and the
-others revisit it; records are sorted by (URL key, timestamp, id) inside a partition and written by
-Spark's text writer, whose line end is the end of a record, so every archive is a sorted run.
-Reading: archives are read whole (their size follows the partition size), records are found by their
-Content-Length, and each archive gives a sorted run of index lines. Runs are dealt by ranges of the key; within a
-range a loser tree merges them.
+others revisit it; records are sorted by (URL key, timestamp, id) inside a partition, and a task writes them one gzip
+member a record, so an archive is a sorted run on disk in which a record can be sought by its offset. A manifest
+lists the archives of the tasks that counted; what a lost task left behind is in none.
+Reading: a task streams an archive, record by record, and gives the run's index lines. Runs are dealt by ranges of the
+key, whose number follows that of the lines; within a range a loser tree merges the shares of the runs.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from gridloom.llm.common import bounded_batches, shared_checkpoint, shuffle_partitions
+from gridloom.llm.common import bounded, shared_checkpoint
 
-RECORD_END = "\r\n\r\n"
+RECORD_END = b"\r\n\r\n"
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+MANIFEST = "manifest.json"
 
-#: Bytes of records after which a task begins another archive, as far as its average record tells.
-ARCHIVE_BYTES = 32 << 20
+#: Bytes of compressed records after which a task begins another archive, and that it reads at a time.
+ARCHIVE_BYTES, READ_BYTES = 16 << 20, 1 << 20
+#: Index lines that a task merges, on average.
+RANGE_LINES = 200_000
+#: Index lines in one Arrow batch.
+LINES = 5000
 
 INDEX_SCHEMA = (
     "url_key string, timestamp string, page_id long, url string, payload_bytes long, payload_digest string, "
@@ -60,8 +70,114 @@ def captures(pages: DataFrame) -> DataFrame:
     )
 
 
+def file_system(path: str):
+    """(file system, path in it) of a path or URI, in whatever store it names."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+@dataclass
+class Archives(WriterCommitMessage):
+    paths: list[str]
+
+
+class ArchiveWriter(DataSourceArrowWriter):
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def write(self, iterator) -> Archives:
+        store, folder = file_system(self.folder)
+        store.create_dir(folder, recursive=True)
+        paths, out, size = [], None, 0
+        for batch in iterator:
+            for part in bounded(iter([batch])):
+                for head, block in zip(part.column("head").to_pylist(), part.column("block").to_pylist(), strict=True):
+                    if out is None:
+                        paths.append(f"{folder}/{uuid.uuid4().hex}.warc.gz")
+                        out, size = store.open_output_stream(paths[-1], compression=None), 0
+                    packer = zlib.compressobj(wbits=31)
+                    member = packer.compress(head.encode() + block.encode() + RECORD_END) + packer.flush()
+                    out.write(member)
+                    size += len(member)
+                    if size >= ARCHIVE_BYTES:
+                        out.close()
+                        out = None
+        if out is not None:
+            out.close()
+        return Archives(paths)
+
+    def commit(self, messages) -> None:
+        store, folder = file_system(self.folder)
+        store.create_dir(folder, recursive=True)
+        paths = sorted(p for m in messages if m is not None for p in m.paths)
+        with store.open_output_stream(f"{folder}/{MANIFEST}") as out:
+            out.write(json.dumps(paths).encode())
+
+    def abort(self, messages) -> None:
+        store, _ = file_system(self.folder)
+        for message in messages:
+            for path in message.paths if message is not None else ():
+                store.delete_file(path)
+
+
+@dataclass
+class Archive(InputPartition):
+    path: str
+
+
+class ArchiveReader(DataSourceReader):
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def partitions(self) -> list[Archive]:
+        store, folder = file_system(self.folder)
+        with store.open_input_stream(f"{folder}/{MANIFEST}") as listed:
+            return [Archive(path) for path in json.loads(listed.read())]
+
+    def read(self, partition: Archive | None):
+        import pyarrow as pa
+
+        if partition is None:  # there is no archive
+            return
+
+        store, _ = file_system(self.folder)
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = [x.strip().split()[0] for x in INDEX_SCHEMA.split(",")]
+
+        def table(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+        rows = []
+        with store.open_input_file(partition.path) as source:
+            for at, headers, block in records(source):
+                rows.append(index_line(partition.path, at, headers, block))
+                if len(rows) == LINES:
+                    yield table(rows)
+                    rows = []
+        if rows:
+            yield table(rows)
+
+
+class WarcSource(DataSource):
+    """Spark's reader and writer of a folder of archives: rows to write have head and block, rows read are index lines."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "gridloom_warc"
+
+    def schema(self) -> str:
+        return INDEX_SCHEMA
+
+    def writer(self, schema, overwrite: bool) -> ArchiveWriter:
+        return ArchiveWriter(self.options["path"])
+
+    def reader(self, schema) -> ArchiveReader:
+        return ArchiveReader(self.options["path"])
+
+
 def write_archives(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
-    """Write one WARC record per page into gzip archives under ``folder``.
+    """Write one WARC record per page into archives under ``folder``, which is a new one.
 
     Of captures with equal payloads of at least ``min_payload`` bytes, the one with the largest page_id
     is written as response, the others revisit it without a payload. Digests alone are grouped; a payload is
@@ -94,70 +210,68 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
-    record = joined.select("url_key", "timestamp", "page_id", F.concat(head, block).alias("value"))
-    mean = pages.select(F.avg(F.octet_length(F.coalesce("html", F.lit(""))))).first()[0] or 0
-    (
-        record.sortWithinPartitions("url_key", "timestamp", "page_id")
-        .select("value")
-        .write.option("lineSep", RECORD_END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", max(1, int(ARCHIVE_BYTES / (mean + 600))))
-        .mode("overwrite")
-        .text(folder)
-    )
-
-
-def records(archive: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, block) of each record of an unpacked archive."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        version, *lines = archive[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at {at}")
-        headers = dict(x.split(": ", 1) for x in lines)
-        block = archive[end + 4 : (stop := end + 4 + int(headers["Content-Length"]))]
-        yield at, headers, block
-        if archive[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at {at} does not end where it should")
-        at = stop + 4
+    record = joined.select("url_key", "timestamp", "page_id", head.alias("head"), block.alias("block"))
+    pages.sparkSession.dataSource.register(WarcSource)
+    sorted_ = record.sortWithinPartitions("url_key", "timestamp", "page_id").select("head", "block")
+    sorted_.write.format(WarcSource.name()).option("path", folder).mode("append").save()
+
+
+def _parsed(record: bytes, at: int) -> tuple[dict[str, str], bytes]:
+    """Headers and block of the bytes of one record."""
+    end = record.find(RECORD_END)
+    version, *lines = record[: max(end, 0)].decode().split("\r\n")
+    if not version.startswith("WARC/"):
+        raise ValueError(f"no record at {at}")
+    headers = dict(x.split(": ", 1) for x in lines)
+    stop = end + 4 + int(headers["Content-Length"])
+    if record[stop:] != RECORD_END:
+        raise ValueError(f"the record at {at} does not end where it should")
+    return headers, record[end + 4 : stop]
+
+
+def records(source, at: int = 0) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, headers, block) of the records of an archive file from the one at offset ``at`` on; one record is held at a time."""
+    source.seek(at)
+    held = b""
+    while held or (held := source.read(READ_BYTES)):
+        unpacker, parts, size = zlib.decompressobj(wbits=31), [], 0
+        while not unpacker.eof:
+            if not held and not (held := source.read(READ_BYTES)):
+                raise ValueError(f"the record at {at} breaks off")
+            parts.append(unpacker.decompress(held))
+            size += len(held) - len(unpacker.unused_data)
+            held = unpacker.unused_data
+        yield at, *_parsed(b"".join(parts), at)
+        at += size
+
+
+def read_record(path: str, offset: int) -> tuple[dict[str, str], bytes]:
+    """Headers and block of the record at ``offset`` of an archive, as the index names them."""
+    store, path = file_system(path)
+    with store.open_input_file(path) as source:
+        _, headers, block = next(records(source, offset))
+    return headers, block
+
+
+def index_line(path: str, at: int, headers: dict[str, str], block: bytes) -> tuple:
+    """The index line of a record; a payload that is there is checked against its digest and length."""
+    import base64
+    import hashlib
+
+    number = lambda s: None if s in ("", "<urn:page:null>") else int(s[len("<urn:page:") : -1])
+    digest, length = headers["WARC-Payload-Digest"].removeprefix("sha1:"), int(headers["X-Payload-Length"])
+    if headers["WARC-Type"] == "response":
+        digest, length = base64.b32encode(hashlib.sha1(block).digest()).decode(), len(block)
+        if (f"sha1:{digest}", str(length)) != (headers["WARC-Payload-Digest"], headers["X-Payload-Length"]):
+            raise ValueError(f"{path}: the payload at {at} is damaged")
+    refers = number(headers.get("WARC-Refers-To", ""))
+    return (headers["X-URL-Key"], headers["WARC-Date"], number(headers["WARC-Record-ID"]), headers["WARC-Target-URI"], length, digest, headers["WARC-Type"], refers, path, at)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
-    """Index lines of all archives; the lines of an archive are a run sorted by (url_key, timestamp, page_id).
-
-    A payload that is there is checked against its digest and length.
-    """
-    import pyarrow as pa
-
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    names = [x.strip().split()[0] for x in INDEX_SCHEMA.split(",")]
-
-    def lines(batches):
-        import base64
-        import gzip
-        import hashlib
-
-        number = lambda s: None if s in ("", "<urn:page:null>") else int(s[len("<urn:page:") : -1])
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = []
-                for at, h, block in records(gzip.decompress(content)):
-                    digest, length = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Length"])
-                    if h["WARC-Type"] == "response":
-                        digest, length = base64.b32encode(hashlib.sha1(block).digest()).decode(), len(block)
-                        if f"sha1:{digest}" != h["WARC-Payload-Digest"]:
-                            raise ValueError(f"{path}: the payload at {at} is damaged")
-                    refers = number(h.get("WARC-Refers-To", ""))
-                    rows.append((h["X-URL-Key"], h["WARC-Date"], number(h["WARC-Record-ID"]), h["WARC-Target-URI"], length, digest, h["WARC-Type"], refers, path, at))
-                columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # whole archives
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
-    index = shared_checkpoint(files.select("path", "content").mapInArrow(lines, INDEX_SCHEMA))
-    bounded_batches(spark)
-    return index
+    """Index lines of all archives; the lines of an archive are a run sorted by (url_key, timestamp, page_id)."""
+    spark.dataSource.register(WarcSource)
+    return shared_checkpoint(spark.read.format(WarcSource.name()).option("path", folder).load())
 
 
 class LoserTree:
@@ -193,51 +307,51 @@ class LoserTree:
 
 
 def merge_index(index: DataFrame) -> DataFrame:
-    """Index lines in globally ordered capture histories, with ``range`` and ``place`` in it (ranges ascend).
+    """Index lines in globally ordered capture histories, with ``range``, ``place`` in it, and ``capture_rank``, the place among all.
 
-    Lines are dealt to ranges of (url_key, timestamp, page_id), so a host with a third of the captures
-    spreads over ranges; a range's share of each run keeps its order, and a loser tree merges the
-    shares. Null ids come first in a tie.
+    Lines are dealt to ranges of (url_key, timestamp, page_id, archive, record_offset), of which no two lines share one, so
+    neither a host nor a URL with a third of the captures makes a large range, and a range has about RANGE_LINES lines
+    whatever their number. It holds them as Arrow columns; the share of each run keeps its order, and a loser tree
+    merges the shares. Null ids come first in a tie.
     """
     import pyarrow as pa
 
-    names = index.columns
-    kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "record_offset": pa.int64()}
-
     def merge(batches):
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if table is None or not table.num_rows:
             return
-        columns = {c: table.column(c).to_pylist() for c in names + ["range"]}
-        runs: dict[str, list[int]] = {}
-        for i, archive in enumerate(columns["archive"]):
-            runs.setdefault(archive, []).append(i)
-        keys = list(zip(columns["url_key"], columns["timestamp"], [-1 if p is None else p for p in columns["page_id"]], strict=True))
+        url, time, page, archive = (table.column(c).combine_chunks() for c in ("url_key", "timestamp", "page_id", "archive"))
+        names = archive.dictionary_encode().indices.to_numpy()
 
-        def run(rows: list[int]):
-            rows.sort(key=columns["record_offset"].__getitem__)  # a shuffle may hand blocks over in any order
-            return ((keys[i], i) for i in rows)
+        def run(first: int, end: int):
+            for i in range(first, end):
+                known = page[i].as_py()
+                yield (url[i].as_py(), time[i].as_py(), -1 if known is None else known), i
 
-        order = [i for _, i in LoserTree([run(runs[a]) for a in sorted(runs)])]
-        out = [pa.array([columns[c][i] for i in order], kinds.get(c, pa.string())) for c in names]
-        out += [pa.array([columns["range"][i] for i in order], pa.int32()), pa.array(range(len(order)), pa.int64())]
-        for batch in pa.Table.from_arrays(out, names=[*names, "range", "place"]).to_batches(max_chunksize=10_000):
-            yield batch
+        # Sorted by archive and offset, so a run's share lies together.
+        starts = [0, *[i + 1 for i in range(len(names) - 1) if names[i] != names[i + 1]], len(names)]
+        order = [i for _, i in LoserTree([run(a, b) for a, b in zip(starts, starts[1:], strict=False)])]
+        merged = table.take(pa.array(order)).append_column("place", pa.array(range(len(order)), pa.int64()))
+        yield from merged.combine_chunks().to_batches(max_chunksize=10_000)
 
-    n = shuffle_partitions(index.sparkSession)
-    ranged = index.repartitionByRange(n, "url_key", "timestamp", "page_id").withColumn("range", F.spark_partition_id())
-    return ranged.mapInArrow(merge, INDEX_SCHEMA + ", range int, place long")
+    n = max(1, -(-index.count() // RANGE_LINES))
+    ranged = index.repartitionByRange(n, "url_key", "timestamp", "page_id", "archive", "record_offset").sortWithinPartitions("archive", "record_offset")
+    merged = shared_checkpoint(ranged.withColumn("range", F.spark_partition_id()).mapInArrow(merge, INDEX_SCHEMA + ", range int, place long"))
+    sizes = merged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # one row a range
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = sizes.select("range", F.coalesce(before, F.lit(0)).alias("ahead"))
+    return merged.join(F.broadcast(ahead), "range").withColumn("capture_rank", F.col("ahead") + F.col("place")).drop("ahead")
 
 
 def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     """Write ``pages`` as WARC records under ``folder``, read the archives back and merge their index.
 
-    Returns page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, timestamp, range and place.
+    Returns the merged index: page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, timestamp, url,
+    capture_rank, range, place, and archive and record_offset, by which ``read_record`` finds the record.
     Null html is an empty payload, null url an empty one; a null page_id is never a response that others
     name unless the whole group has none; rows that repeat the id of a response are responses too; an
     empty table gives an empty table; other columns are not looked at.
     """
     spark = pages.sparkSession
     write_archives(pages, folder)
-    merged = merge_index(read_index(spark, folder))
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "range", "place")
+    return merge_index(read_index(spark, folder))

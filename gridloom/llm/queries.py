@@ -70,7 +70,7 @@ def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     merged = archive_pages(read_table(spark, sf_dir, "pages"), folder)
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "capture_rank")
 
 
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,13 +111,18 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 _SHA1_PARTS = ", ".join(f"to_base(('0x' || substr(sha1(payload), {1 + 5 * i}, 5))::BIGINT, 32, 4)" for i in range(8))
 
 WARC_SQL = f"""
-WITH captures AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
-grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS response_id FROM captures)
+WITH captures AS (SELECT page_id, coalesce(html, '') AS payload,
+  regexp_replace(regexp_replace(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://', ''), '#.*$', '') AS rest FROM pages),
+keyed AS (SELECT page_id, payload, strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id % 1000000000), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
+  array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(rest, '^([^/?]*)', 1), '^www\\.', ''), '.')), ',') || ')' ||
+    coalesce(nullif(regexp_extract(rest, '^[^/?]*(.*)$', 1), ''), '/') AS url_key FROM captures),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS response_id FROM keyed)
 SELECT page_id,
        strlen(payload)::BIGINT AS payload_bytes,
        translate(upper(concat({_SHA1_PARTS})), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
+       CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to,
+       url_key, timestamp, row_number() OVER (ORDER BY url_key, timestamp, page_id) - 1 AS capture_rank
 FROM grouped
 """
 
