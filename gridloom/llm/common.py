@@ -64,6 +64,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def shared_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared folder, so that a lost executor costs no more than its running tasks."""
     shared_folder(df.sparkSession)
