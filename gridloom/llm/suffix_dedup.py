@@ -475,7 +475,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     import pyarrow as pa
 
     plain = row_keys(docs)
-    ranges = repeated_ranges(plain, length).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    # By doc alone, as the search is, so that texts are shuffled once.
+    ranges = repeated_ranges(plain, length).groupBy("doc").agg(F.collect_list(F.struct("mark", "start", "end")).alias("ranges"))
 
     def removed(batches):
         import hashlib
@@ -484,7 +485,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
             rows = []
             for doc, mark, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "ranges")), strict=True):
                 data, parts, at, gone, spans = text.encode(), [], 0, 0, 0
-                for start, end in sorted((r["start"], r["end"]) for r in found or ()):
+                for start, end in sorted((r["start"], r["end"]) for r in found or () if r["mark"] == mark):
                     if start > at or not spans:
                         parts.append(data[at:start])
                         spans, at = spans + 1, start
@@ -497,4 +498,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * len(kinds), kinds, strict=True)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return plain.join(ranges, ["doc", "mark"], "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)
+    return plain.join(ranges, "doc", "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)
