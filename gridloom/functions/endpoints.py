@@ -1,13 +1,11 @@
-"""Column functions over endpoints, hosts and URLs. All stay in the JVM but for the IPv6 test."""
+"""Column functions over endpoints, hosts and URLs. All stay in the JVM."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridloom.functions import fixed as X
 
@@ -21,37 +19,50 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
 
 
+#: White space in the Unicode sense, as characters and as a part of a character class.
+WHITE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+#: Scheme, user (dropped), then host and port up to a path, query, fragment or space: one search cuts all of them out.
+CUT = rf"(?s)\A(?:([A-Za-z][A-Za-z0-9+.-]*)://)?(?:[^@{_WHITE}/]++@)?([^/#?{_WHITE}]*+).*\z"
+
+
 def trimmed(c: Column) -> Column:
     """Without white space at both ends, in the Unicode sense."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
-def parse_endpoint(value: Column, port: Column, scheme: Column) -> Column:
-    """STRUCT<domain, port, scheme, error> of an endpoint string; its own port and scheme override the fallbacks.
+def parse_endpoints(df: DataFrame, name: str, value: Column, port: Column, scheme: Column) -> DataFrame:
+    """``df`` with STRUCT<domain, port, scheme, error> of an endpoint string; its own port and scheme override the fallbacks.
 
-    ``error`` is set where the value is blank or the fallback port that is needed is not an integer.
+    ``error`` is set where the value is blank or the fallback port that is needed is not an integer. Each step is a column of
+    its own that the next one reads, so a row is searched once.
     """
-    raw = trimmed(F.coalesce(value, F.lit("")))
-    own_scheme = F.lower(F.regexp_extract(raw, r"(?i)\A([a-z][a-z0-9+.-]*)://", 1))
-    rest = F.regexp_replace(raw, r"(?i)\A[a-z][a-z0-9+.-]*://", "")
-    rest = F.regexp_replace(rest, r"(?U)\A[^@\s/]+@", "")
-    rest = F.regexp_extract(rest, r"(?U)\A([^/#?\s]*)", 1)
-    own_port = F.regexp_extract(rest, r"\A.+:([0-9]{1,5})\z", 1)
-    domain = F.when(own_port != "", F.regexp_replace(rest, r":[0-9]{1,5}\z", "")).otherwise(rest)
-    for edge in (r"\A\[", r"\]\z", r"\.\z"):
-        domain = F.regexp_replace(domain, edge, "")
-    given = trimmed(F.coalesce(port.cast("string"), F.lit("")))
-    number = F.when(own_port != "", own_port.cast("int")).when(given.rlike(r"\A[+-]?[0-9]+\z"), given.try_cast("int"))
-    error = F.when(raw == "", "endpoint/domain must be a non-empty string").when(
-        (own_port == "") & (F.coalesce(port.cast("string"), F.lit("")) != "") & number.isNull(),
-        F.concat(F.lit("invalid literal for int() with base 10: '"), port.cast("string"), F.lit("'")),
+    c, kept = F.col, df.columns
+    parts = df.select("*", trimmed(F.coalesce(value, F.lit(""))).alias("_raw"), F.coalesce(port.cast("string"), F.lit("")).alias("_given"), scheme.alias("_fallback"))
+    parts = parts.withColumn("_cut", F.split(F.regexp_replace("_raw", CUT, "$1\u0001$2"), "\u0001"))
+    parts = parts.withColumns({"_scheme": F.lower(c("_cut")[0]), "_host": c("_cut")[1]})
+    last = F.regexp_extract("_host", r"\A.+:([0-9]{1,5})\z", 1)
+    parts = parts.withColumn("_port", F.when(c("_host").contains(":"), last).otherwise(""))
+    cut_off = lambda text, n: F.left(text, F.length(text) - n)
+    parts = parts.withColumn("_host", F.when(c("_port") != "", cut_off(c("_host"), F.length("_port") + 1)).otherwise(c("_host")))
+    for edge, cut in (("[", F.substr(c("_host"), F.lit(2))), ("]", cut_off(c("_host"), 1)), (".", cut_off(c("_host"), 1))):
+        found = c("_host").startswith(edge) if edge == "[" else c("_host").endswith(edge)
+        parts = parts.withColumn("_host", F.when(found, cut).otherwise(c("_host")))
+    number = F.when(c("_port") != "", c("_port").cast("int")).otherwise(trimmed(c("_given")).try_cast("int"))
+    parts = parts.withColumn("_number", number)
+    error = F.when(c("_raw") == "", "endpoint/domain must be a non-empty string").when(
+        (c("_port") == "") & (c("_given") != "") & c("_number").isNull(),
+        F.concat(F.lit("invalid literal for int() with base 10: '"), c("_given"), F.lit("'")),
     )
-    return F.struct(
-        F.when(raw != "", F.lower(domain)).alias("domain"),
-        F.when(raw != "", number).alias("port"),
-        F.when(raw != "", F.when(own_scheme != "", own_scheme).otherwise(scheme)).alias("scheme"),
+    known = c("_raw") != ""
+    whole = F.struct(
+        F.when(known, F.lower("_host")).alias("domain"),
+        F.when(known, c("_number")).alias("port"),
+        F.when(known, F.when(c("_scheme") != "", c("_scheme")).otherwise(c("_fallback"))).alias("scheme"),
         error.alias("error"),
     )
+    return once(parts.select(*[k for k in kept if k != name], whole.alias("_whole")), name, F.col("_whole")).drop("_whole")
 
 
 def source_urls(c: Column) -> Column:
@@ -73,24 +84,27 @@ def join_source_urls(c: Column) -> Column:
     return F.array_join(c, "; ")
 
 
-@F.pandas_udf(T.BooleanType())
-def _is_ipv6(hosts: pd.Series) -> pd.Series:
-    import ipaddress
+V4 = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])){3}"
+
+
+def _v6() -> str:
+    """A pattern of IPv6 addresses: eight groups, the last two perhaps as IPv4, or fewer with one ``::``; then perhaps a zone."""
+    group = "[0-9a-fA-F]{1,4}"
+    tail = f"(?:{group}:{group}|{V4})"
+    forms = [f"(?:{group}:){{6}}{tail}"]
+    for after in range(5, -1, -1):  # groups between :: and the last two
+        before = f"(?:(?:{group}:){{0,{4 - after}}}{group})?" if after < 5 else ""
+        forms.append(f"{before}::(?:{group}:){{{after}}}{tail}")
+    forms += [f"(?:(?:{group}:){{0,5}}{group})?::{group}", f"(?:(?:{group}:){{0,6}}{group})?::"]
+    return rf"\A(?:{'|'.join(forms)})(?:%[^%/]+)?\z"
 
-    def ipv6(host: str) -> bool:
-        try:
-            return ipaddress.ip_address(host).version == 6
-        except ValueError:
-            return False
 
-    return pd.Series([h is not None and ipv6(h) for h in hosts], dtype=bool)
+V6 = _v6()
 
 
 def is_ip_literal(c: Column) -> Column:
-    """Strict IPv4 (no leading zeros) or IPv6; only rows with a colon reach Python."""
-    byte = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-    v6 = F.coalesce(_is_ipv6(F.when(c.contains(":"), c)), F.lit(False))
-    return c.rlike(rf"\A{byte}(?:\.{byte}){{3}}\z") | v6
+    """Strict IPv4 (no leading zeros) or IPv6."""
+    return c.rlike(rf"\A{V4}\z") | (c.contains(":") & c.rlike(V6))
 
 
 def is_ip_address(c: Column) -> Column:

@@ -22,7 +22,7 @@ def _decoded(bodies: pd.Series, charsets: pd.Series) -> pd.Series:
 
 
 def decode_body(body: Column, content_type: Column) -> Column:
-    """Text of a body by the charset of its content type, bad bytes replaced; UTF-8 stays in the JVM."""
+    """Text of a body by the charset of its content type, bad bytes replaced; bodies in UTF-8 are decoded in the JVM and reach Python as null."""
     charset = F.lower(F.regexp_extract(F.coalesce(content_type, F.lit("")), r"(?i)charset=([\w.-]+)", 1))
     utf8 = charset.isin("", "utf-8", "utf8")
     return F.when(utf8, F.make_valid_utf8(body.cast("string"))).otherwise(_decoded(F.when(~utf8, body), charset))
@@ -52,7 +52,7 @@ def html_to_text(markup: Column) -> Column:
 
 
 def html_to_text_unescaped(markup: Column) -> Column:
-    """As ``html_to_text``, with all entities unescaped; only rows with ``&`` reach Python."""
+    """As ``html_to_text``, with all entities unescaped; texts without ``&`` reach Python as null."""
     text = _without_tags(markup)
     text = F.when(text.contains("&"), _unescaped(F.when(text.contains("&"), text))).otherwise(text)
     return F.trim(F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), r"(?U)\s+", " "))

@@ -18,7 +18,7 @@ def normalize(records: DataFrame) -> DataFrame:
     port that is no integer is the only error of its record. Missing and null fields count as ``""``.
     """
     given = {f: F.coalesce(F.col(f).cast("string"), F.lit("")) for f in X.ENDPOINT_FIELDS}
-    parsed = E.once(records, "_parsed", E.parse_endpoint(F.col("domain"), F.col("port"), F.col("scheme")))
+    parsed = E.parse_endpoints(records, "_parsed", F.col("domain"), F.col("port"), F.col("scheme"))
     parsed = parsed.withColumn("_given_port", given["port"]).withColumn("_given_domain", given["domain"])
     low = lambda c: F.lower(F.coalesce(c, F.lit("")))
     fields: dict[str, Column] = {f: E.trimmed(given[f]) for f in X.ENDPOINT_FIELDS}

@@ -36,7 +36,8 @@ def _shown(errors: str = "errors") -> F.Column:
 @query
 def parse_endpoint(spark, sf_dir):
     rows = derive(spark, sf_dir, "raw_endpoint")
-    return rows.select("ord", E.parse_endpoint(F.col("domain"), F.col("port"), F.col("scheme")).alias("p")).select("ord", "p.domain", F.col("p.port").cast("string").alias("port"), "p.scheme", "p.error")
+    parsed = E.parse_endpoints(rows, "p", F.col("domain"), F.col("port"), F.col("scheme"))
+    return parsed.select("ord", "p.domain", F.col("p.port").cast("string").alias("port"), "p.scheme", "p.error")
 
 
 @query
@@ -80,7 +81,7 @@ def source_urls(spark, sf_dir):
 
 @query
 def ip_literals(spark, sf_dir):
-    p = derive(spark, sf_dir, "raw_endpoint").withColumn("p", E.parse_endpoint(F.col("domain"), F.col("port"), F.col("scheme")))
+    p = E.parse_endpoints(derive(spark, sf_dir, "raw_endpoint"), "p", F.col("domain"), F.col("port"), F.col("scheme"))
     rows = p.select("ord", F.coalesce("p.domain", F.lit("")).alias("host"))
     return rows.select("ord", "host", E.is_ip_literal(F.col("host")).alias("strict"), E.is_ip_address(F.col("host")).alias("loose"))
 
