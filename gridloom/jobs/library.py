@@ -6,14 +6,14 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.operators import promote, validate
+from gridloom.operators import dedupe, promote, validate
 from gridloom.sources import files
 
 
 def build(seeds: DataFrame, sources: list[tuple[str, str, DataFrame]]) -> tuple[DataFrame, DataFrame]:
-    """(promoted records with change and errors, prepared records with errors)."""
+    """(promoted records with change and errors, prepared records with errors); each source is made unique by key before."""
     good_seeds = validate.good(validate.normalize(seeds))
-    prepared = promote.prepare(promote.tagged(sources))
+    prepared = promote.prepare(promote.tagged([(label, kind, dedupe.unique_first(rows)) for label, kind, rows in sources]))
     return promote.promote(good_seeds, validate.good(prepared)), prepared
 
 
