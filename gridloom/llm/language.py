@@ -116,7 +116,11 @@ def learn_profiles(sample: DataFrame, size: int = PROFILE_SIZE) -> dict[str, lis
 
 
 def predict(profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
-    """A function of a text column: struct of lang_pred and score (1: in place throughout, 0: nothing in common)."""
+    """A function of a text column: struct of lang_pred and score (1: in place throughout, 0: nothing in common).
+
+    It is marked as not to be evaluated again: otherwise a filter on its result would copy it into the scan's stage, and each
+    text would be read twice, by two Python workers a task.
+    """
     import numpy as np
 
     languages = sorted(profiles)
@@ -140,7 +144,7 @@ def predict(profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
     def predicted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([nearest(t) for t in texts], columns=["lang_pred", "score"])
 
-    return predicted
+    return predicted.asNondeterministic()
 
 
 def floors(sample: DataFrame, predicted, share: float = FLOOR_SHARE) -> dict[str, float]:
