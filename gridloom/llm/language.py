@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded, text_of
+from gridloom.llm.common import bounded, shared_checkpoint, text_of
 
 #: Labelled rows that profiles are learned from, per language.
 FIT_ROWS = 500
@@ -175,7 +175,7 @@ def keep_known_languages(docs: DataFrame, share: float = FLOOR_SHARE) -> DataFra
     the predicted one.
     """
     columns = docs.columns
-    sample = fit_sample(docs)
+    sample = shared_checkpoint(fit_sample(docs))  # a few rows a language, read three times
     predicted = predict(learn_profiles(sample))
     low = F.create_map(*[F.lit(x) for pair in floors(sample, predicted, share).items() for x in pair]) if sample.head(1) else F.create_map().cast("map<string,double>")
     found = docs.withColumn("_found", predicted(text_of()))
