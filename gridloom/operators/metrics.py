@@ -62,11 +62,15 @@ def report_summary(*reports: DataFrame) -> DataFrame:
 
 
 def fetch_report(pages: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """One row per fetched page (``key``, url, ok, body): its hash, size and number of ``found`` records, none among them."""
+    """One row per fetched page (``key``, url, ok, body): its hash, size and number of ``found`` records, none among them.
+
+    What pages tell of status, used_cache and error is handed on.
+    """
+    told = [c for c in ("status", "used_cache", "error") if c in pages.columns]
     counts = found.groupBy(key).agg(F.count(F.lit(1)).alias("records"))
     return pages.join(counts, key, "left").select(
-        key, "url", "ok", F.sha2("body", 256).alias("sha256"), F.octet_length("body").cast("long").alias("bytes"),
-        F.coalesce("records", F.lit(0)).alias("records"),
+        key, "url", "ok", F.sha2("body", 256).alias("sha256"), F.coalesce(F.octet_length("body"), F.lit(0)).cast("long").alias("bytes"),
+        F.coalesce("records", F.lit(0)).alias("records"), *told,
     )
 
 
@@ -86,6 +90,20 @@ def cache_fallback(fetches: DataFrame, run: int) -> DataFrame:
     return rows.where(F.col("now").isNotNull()).select("source_id", F.col("now.ok").alias("ok"), count.alias("n_records"), used.alias("used_cache"))
 
 
+def last_good_records(fetches: DataFrame, records: DataFrame, run: int) -> DataFrame:
+    """``records`` (source_id, run, any others) that ``run`` goes on with, and ``used_cache``.
+
+    A source whose last fetch of the run (run, source_id, ok, ord) failed keeps the records of its last good earlier run; one without such
+    a run has none.
+    """
+    now, earlier = F.col("run") == run, (F.col("run") < run) & F.col("ok")
+    outcome = fetches.where(F.col("run") <= run).groupBy("source_id").agg(
+        F.max_by(F.when(now, F.col("ok")), F.when(now, F.col("ord"))).alias("ok"), F.max(F.when(earlier, F.col("run"))).alias("kept")
+    )
+    taken = F.when(F.col("ok"), F.lit(run).cast("long")).otherwise(F.col("kept")).alias("run")
+    return records.join(outcome.where("ok is not null").select("source_id", taken, (~F.col("ok")).alias("used_cache")), ["source_id", "run"])
+
+
 def run_time(text: Column) -> Column:
     """A time in ISO form, with ``Z``, an offset, or neither (then UTC)."""
     zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})\z"), text).otherwise(F.concat(text, F.lit("Z")))
@@ -100,3 +118,16 @@ def run_status(runs: DataFrame) -> DataFrame:
         F.format_string("%d min %02d s", F.expr("duration_seconds div 60"), F.col("duration_seconds") % 60).alias("duration"),
         F.date_format(F.from_utc_timestamp(run_time(F.col("started")), "+08:00"), "yyyy-MM-dd HH:mm:ss").alias("started_utc8"),
     )
+
+
+def run_record(run: DataFrame, parameters: dict[str, str], delta: DataFrame, summary: DataFrame) -> DataFrame:
+    """One row for a run: ``run`` (one row of ``run_status``), its parameters, the counts of ``count_delta`` and those of ``report_summary``."""
+    counts = [F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}_{c}") for m in METRICS for c in ("total", "new")]
+    parts = [
+        run.withColumns({name: F.lit(value) for name, value in parameters.items()}),
+        delta.agg(*counts),
+        summary.select(*[F.col(c).alias(f"fetches_{c}") for c in ("total", "ok", "failed", "used_cache")]),
+    ]
+    # Each part is one row.
+    rows = [part.withColumn("_row", F.lit(1)) for part in parts]
+    return reduce(lambda a, b: a.join(F.broadcast(b), "_row"), rows).drop("_row")

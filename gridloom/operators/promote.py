@@ -120,6 +120,14 @@ def promotion_report(promoted: DataFrame) -> DataFrame:
     return counts.unionByName(totals)
 
 
+def promotion_inputs(seeds: DataFrame, prepared: DataFrame) -> DataFrame:
+    """What a promotion starts from as (metric, value, n): seeds, and the records of each source (``input``) with those left out (``skipped``)."""
+    each = prepared.groupBy("src_label").agg(F.count(F.lit(1)).alias("input"), F.count_if(F.size("errors") > 0).alias("skipped"))
+    counts = each.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col("src_label").alias("value"), F.col(c).alias("n")) for c in ("input", "skipped")])))
+    total = seeds.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("metric"), F.lit("seeds").alias("value"), "n")
+    return counts.unionByName(total)
+
+
 def skip_examples(prepared: DataFrame, limit: int = EXAMPLES) -> DataFrame:
     """The first skipped records with their reasons, in source and record order."""
     reason = validate.error_message(F.lit(0), F.col("given_domain"), F.col("given_port"), F.col("errors"))

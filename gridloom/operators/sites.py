@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import endpoints as E
 from gridloom.functions import fixed as X
 from gridloom.functions.text import extract_links
+from gridloom.operators import dedupe, validate
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -113,6 +114,12 @@ def listed_endpoints(rows: DataFrame, coin_url: str, day: str, kept: tuple[str,
     return rows.where("kind = 'endpoint'").select(*kept, *[whole[f].alias(f) for f in X.ENDPOINT_FIELDS])
 
 
+def ip_list(rows: DataFrame, coin_url: str, day: str) -> DataFrame:
+    """The bare IP endpoints of ``listed`` rows (with ``ord``) that pass validation, one per key."""
+    good = validate.good(validate.normalize(listed_endpoints(rows, coin_url, day, ("ord",))))
+    return dedupe.unique_first(good)
+
+
 def listed_sites(rows: DataFrame, source: dict[str, str], coin_url: str, day: str, kept: tuple[str, ...] = ()) -> DataFrame:
     """Websites among ``listed`` rows, as directory rows."""
     scheme = F.regexp_extract("url", r"\A([^:]+)://", 1)

@@ -165,6 +165,17 @@ NODE_KEYS, NODE_FIELDS = "node_host, port, node_type", ", ".join(X.NODE_FIELDS)
 
 ORACLES |= {
     "html_to_text": f"WITH {TEXT} SELECT page_id, text FROM txt",
+    "html_to_text_unescaped": rf"""WITH {PAGE}, t AS (SELECT page_id,
+      regexp_replace(regexp_replace(html, '<script\b.*?</script>|<style\b.*?</style>', ' ', 'gis'), '<[^>]+>', ' ', 'g') AS t FROM page),
+      u AS (SELECT page_id, replace(replace(replace(replace(t, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&nbsp;', ' ') AS t FROM t)
+      SELECT page_id, trim(regexp_replace(regexp_replace(t, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM u""",
+    "decode_charsets": f"""WITH {PAGE} SELECT page_id, ['gbk', 'windows-1252', 'utf-8', 'no-such-charset', 'ISO-8859-1', 'utf-16le'][page_id % 6 + 1] AS charset,
+      sha256(CASE page_id % 6 WHEN 0 THEN '你好' || page_id WHEN 1 THEN '“€…”' || page_id WHEN 2 THEN 'a' || chr(65533) || 'b' || chr(65533) || page_id
+        WHEN 3 THEN '你' || page_id WHEN 4 THEN 'é£' || page_id ELSE html END) AS text_sha256 FROM page""",
+    "fetch_outcomes": f"""WITH {SITE}, c AS (SELECT page_id, count(*) AS n FROM found GROUP BY page_id), o AS (SELECT *, page_id % 7 <> 0 AS ok FROM page)
+      SELECT page_id, page_url AS url, ok, CASE WHEN ok THEN sha256(html) END AS sha256, CASE WHEN ok THEN strlen(html) ELSE 0 END::BIGINT AS bytes,
+        CASE WHEN ok THEN coalesce(n, 0) ELSE 0 END AS records, CASE WHEN ok THEN 200 ELSE 503 END AS status, NOT ok AS used_cache, CASE WHEN ok THEN '' ELSE 'HTTP 503' END AS error
+      FROM o LEFT JOIN c USING (page_id)""",
     "extract_priority_endpoints": f"WITH {PRIORITY} SELECT page_id, domain, port, scheme FROM found",
     "priority_records": f"""WITH {PRIORITY},
       registry(sid, name, url, source_type, confidence, pool, dcoin, dalgorithm, dregion, method, snotes) AS (VALUES
@@ -213,6 +224,11 @@ ORACLES |= {
       SELECT page_id, regexp_extract(url, '^([^:]+)://', 1) || '://' || lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]*)', 1)) || '/' AS website_url, dom AS website_domain FROM e WHERE rn = 1""",
 }
 
+_profiles = ORACLES["profiles"]
+_official = ORACLES["official_site"].replace(r", l AS (SELECT * EXCLUDE (url), regexp_replace(url, '\.example\.(com|net|org)/', '.stats.example/') AS url FROM links)", ", l AS (FROM links)")
+ORACLES["profile_sites"] = f"""SELECT page_id AS ord, pool_name, website_domain, website_url, profile_url, '{COIN_URL}' AS directory_source, 'directory' AS source_type, 'candidate' AS confidence,
+  '{DAY}' AS first_seen, '{DAY}' AS last_seen, 'Official website link extracted from Pools profile.' AS notes FROM ({_profiles}) p JOIN ({_official}) o USING (page_id)"""
+
 # Code files.
 
 WORDS = " OR ".join(f"contains(lower(line), '{w}')" for w in X.CODE_WORDS)
@@ -270,6 +286,11 @@ ORACLES |= {
     "directory_endpoints": f"""WITH {LISTED} SELECT ord, host AS domain, port, 'stratum+tcp' AS scheme, coalesce(nullif(pool_id, ''), host) AS pool_name, upper(coin_slug) AS coin, 'UNKNOWN' AS algorithm,
       'UNKNOWN' AS region, 'aggregator' AS source_type, '{COIN_URL}' || coin_slug AS source_url, 'candidate' AS confidence, 'unknown' AS status, '{DAY}' AS first_seen, '{DAY}' AS last_seen,
       'IP:port pool URL extracted from MiningPoolStats data file for ' || coin_slug || '; verify protocol before promotion.' AS notes FROM listed WHERE kind = 'endpoint'""",
+    "directory_ip_list": f"""WITH {LISTED}, ips AS (SELECT ord, host AS domain, CAST(port AS VARCHAR) AS port, 'stratum+tcp' AS scheme, coalesce(nullif(pool_id, ''), host) AS pool_name,
+      upper(coin_slug) AS coin, 'UNKNOWN' AS algorithm, 'UNKNOWN' AS region, 'aggregator' AS source_type, '{COIN_URL}' || coin_slug AS source_url, 'candidate' AS confidence,
+      'unknown' AS status, '{DAY}' AS first_seen, '{DAY}' AS last_seen,
+      'IP:port pool URL extracted from MiningPoolStats data file for ' || coin_slug || '; verify protocol before promotion.' AS notes FROM listed WHERE kind = 'endpoint'),
+      {_normalized('ips')}, good AS (SELECT *, upper(coin) AS coin_key FROM normal WHERE len(errs) = 0), {_unique('good', 'uniq')} SELECT {FIELDS} FROM uniq""",
     "directory_sites": f"WITH {SITES} SELECT ord, {SITE_FIELDS} FROM sites",
     "unique_sites": f"WITH {SITES}, {_unique('sites', 'uniq', '0', 'profile_url', 'website_domain', SITE_FIELDS)} SELECT {SITE_FIELDS} FROM uniq",
     "merge_existing": f"""WITH {SITES}, both_runs AS (SELECT * EXCLUDE (ord, first_seen), CASE WHEN ord % 3 = 0 THEN '2024-01-01' ELSE first_seen END AS first_seen,
@@ -390,3 +411,18 @@ ORACLES |= {
       SELECT CASE WHEN old IS NULL THEN 'added' WHEN new IS NULL THEN 'deleted' WHEN new > old THEN 'upgraded' WHEN new < old THEN 'downgraded' ELSE 'kept' END AS change, count(*) AS n
       FROM b FULL OUTER JOIN a USING ({KEY}) GROUP BY ALL""",
 }
+ORACLES |= {
+    "promotion_inputs": f"""{PREPARED_RAW} SELECT 'input' AS metric, src_label AS value, count(*) AS n FROM prepared GROUP BY src_label
+      UNION ALL SELECT 'skipped', src_label, count(*) FILTER (WHERE len(errs) > 0) FROM prepared GROUP BY src_label
+      UNION ALL SELECT 'total', 'seeds', n FROM ({PROMOTED} SELECT count(*) AS n FROM seed)""",
+    "last_good_records": f"""WITH {FETCH}, {RECORD}, n AS (SELECT source_id, arg_max(ok, ord) AS ok FROM fetches WHERE run = 40 GROUP BY source_id),
+      k AS (SELECT source_id, max(run) AS kept FROM fetches WHERE run < 40 AND ok GROUP BY source_id),
+      c AS (SELECT source_id, CASE WHEN ok THEN 40 ELSE kept END AS run, NOT ok AS used_cache FROM n LEFT JOIN k USING (source_id))
+      SELECT source_id, run, used_cache, r.ord, domain, port, scheme, coin FROM record r JOIN fetches f ON f.ord = r.ord AND f.ok JOIN c USING (source_id, run)""",
+    "run_record": f"""WITH t AS (SELECT max(event_id) AS run_id, date_trunc('second', min(ts)) AS s, date_trunc('second', max(ts)) AS e FROM events),
+      r AS (SELECT run_id, date_diff('second', s, e) AS duration_seconds, s FROM t),
+      d AS (SELECT {", ".join(f"max({c}) FILTER (WHERE metric = '{m}') AS {m}_{c}" for m in ("site_domains", "endpoint_domains", "endpoint_records", "ip_candidates", "blockchain_nodes", "stable_library", "watchlist") for c in ("total", "new"))} FROM ({ORACLES["snapshot_delta"]})),
+      f AS (SELECT total AS fetches_total, ok AS fetches_ok, failed AS fetches_failed, used_cache AS fetches_used_cache FROM ({ORACLES["report_summary"]}))
+      SELECT run_id, duration_seconds, printf('%d min %02d s', duration_seconds // 60, duration_seconds % 60) AS duration,
+        strftime(s + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS started_utc8, '{DAY}' AS day, '4' AS max_pages, d.*, f.* FROM r, d, f""",
+}

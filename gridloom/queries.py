@@ -121,6 +121,23 @@ def decode_body(spark, sf_dir):
     return rows.select("page_id", F.sha2(TX.decode_body(F.col("body"), kind), 256).alias("text_sha256"))
 
 
+#: Charsets of bodies, and bytes in them; the last charset takes the whole page.
+BODIES = (
+    ("gbk", "C4E3BAC3"), ("windows-1252", "93808594"), ("utf-8", "61FF62C3"), ("no-such-charset", "E4BDA0"), ("ISO-8859-1", "E9A3"), ("utf-16le", ""),
+)
+
+
+@query
+def decode_charsets(spark, sf_dir):
+    kind = (F.col("page_id") % len(BODIES)).cast("int")
+    form = F.element_at(F.array(*[F.struct(F.lit(c).alias("charset"), F.lit(b).alias("bytes")) for c, b in BODIES]), kind + 1)
+    rows = _pages(spark, sf_dir).select("page_id", "html", kind.alias("kind"), form.alias("form"))
+    short = F.concat(F.unhex("form.bytes"), F.encode(F.col("page_id").cast("string"), "UTF-8"))
+    body = F.when(F.col("kind") == len(BODIES) - 1, F.encode("html", "UTF-16LE")).otherwise(short)
+    text = TX.decode_body(body, F.concat(F.lit("text/html; Charset="), "form.charset"))
+    return rows.select("page_id", F.col("form.charset").alias("charset"), F.sha2(text, 256).alias("text_sha256"))
+
+
 @query
 def extract_priority_endpoints(spark, sf_dir):
     rows = _texts(spark, sf_dir).withColumn("allowed_domain_suffixes", F.array(*map(F.lit, SUFFIXES)))
@@ -195,6 +212,23 @@ def fetch_report(spark, sf_dir):
     return metrics.fetch_report(fetched, found, "page_id")
 
 
+@query
+def profile_sites(spark, sf_dir):
+    links = _links(spark, sf_dir)
+    named = sites.profiles(links, "https://stats.example").join(sites.official_site(links, "stats.example"), "page_id")
+    return sites.profile_site_records(named.withColumn("ord", F.col("page_id")), DIRECTORY, DAY)
+
+
+@query
+def fetch_outcomes(spark, sf_dir):
+    pages = _pages(spark, sf_dir).withColumn("ok", F.col("page_id") % 7 != 0)
+    pages = pages.withColumns({"html": F.when(F.col("ok"), F.col("html")), "status": F.when(F.col("ok"), 200).otherwise(503), "used_cache": ~F.col("ok")})
+    found = extract.site_endpoints(pages.withColumn("text", TX.html_to_text(F.coalesce("html", F.lit("")))).drop("html"))
+    error = F.when(F.col("ok"), "").otherwise(F.concat(F.lit("HTTP "), F.col("status").cast("string")))
+    fetched = pages.select("page_id", F.col("page_url").alias("url"), "ok", "status", "used_cache", error.alias("error"), F.encode("html", "UTF-8").alias("body"))
+    return metrics.fetch_report(fetched, found, "page_id")
+
+
 # Code and local files.
 
 
@@ -304,6 +338,11 @@ def directory_endpoints(spark, sf_dir):
     return sites.listed_endpoints(_listed(spark, sf_dir), COIN_URL, DAY, ("ord",))
 
 
+@query
+def directory_ip_list(spark, sf_dir):
+    return sites.ip_list(_listed(spark, sf_dir), COIN_URL, DAY).select(*X.ENDPOINT_FIELDS)
+
+
 def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.listed_sites(_listed(spark, sf_dir), DIRECTORY, COIN_URL, DAY, ("ord",))
 
@@ -356,11 +395,14 @@ def unique_first(spark, sf_dir):
 LABELS = (("priority_sources", "trusted"), ("official_site_crawl", "trusted"), ("code_search", "candidate"))
 
 
+def _prepared_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derive(spark, sf_dir, "raw_endpoint")
+    return promote.prepare(promote.tagged([(label, kind, rows.where(F.col("ord") % 3 == i)) for i, (label, kind) in enumerate(LABELS)]))
+
+
 @query
 def prepare_records(spark, sf_dir):
-    rows = derive(spark, sf_dir, "raw_endpoint")
-    tagged = promote.tagged([(label, kind, rows.where(F.col("ord") % 3 == i)) for i, (label, kind) in enumerate(LABELS)])
-    return promote.prepare(tagged).select("src_label", "ord", *X.ENDPOINT_FIELDS, _shown()).withColumn("port", F.col("port").cast("string"))
+    return _prepared_raw(spark, sf_dir).select("src_label", "ord", *X.ENDPOINT_FIELDS, _shown()).withColumn("port", F.col("port").cast("string"))
 
 
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,6 +435,11 @@ def promotion_report(spark, sf_dir):
     return promote.promotion_report(_promoted(spark, sf_dir))
 
 
+@query
+def promotion_inputs(spark, sf_dir):
+    return promote.promotion_inputs(_seeds(spark, sf_dir), _prepared_raw(spark, sf_dir))
+
+
 @query
 def skip_examples(spark, sf_dir):
     rows = derive(spark, sf_dir, "raw_endpoint")
@@ -435,6 +482,21 @@ def cache_fallback(spark, sf_dir):
     return metrics.cache_fallback(derive(spark, sf_dir, "fetch"), 40)
 
 
+@query
+def last_good_records(spark, sf_dir):
+    fetches = derive(spark, sf_dir, "fetch")
+    records = derive(spark, sf_dir, "record").join(fetches.where("ok").select("ord", "run", "source_id"), "ord")
+    return metrics.last_good_records(fetches, records, 40).select("source_id", "run", "used_cache", "ord", "domain", "port", "scheme", "coin")
+
+
+@query
+def run_record(spark, sf_dir):
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    run = metrics.run_status(events.agg(F.max("event_id").alias("run_id"), iso(F.min("ts")).alias("started"), iso(F.max("ts")).alias("ended")))
+    return metrics.run_record(run, {"day": DAY, "max_pages": "4"}, snapshot_delta(spark, sf_dir), report_summary(spark, sf_dir))
+
+
 @query
 def run_status(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
