@@ -40,10 +40,10 @@ def row_keys(docs: DataFrame) -> DataFrame:
     return docs.select(*[c.alias(name[1:]) for name, c in row_key().items()], text_of().alias("text"))
 
 
-def bounded(batches: Iterator) -> Iterator:
+def bounded(batches: Iterator, most_bytes: int | None = None) -> Iterator:
     """Arrow batches cut into parts of bounded size: memory in Python follows the part, whatever batches the session makes."""
     for batch in batches:
-        rows = max(1, min(BATCH_ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+        rows = max(1, min(BATCH_ROWS, (most_bytes or BATCH_BYTES) * batch.num_rows // max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 

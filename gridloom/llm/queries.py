@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm.common import read_table, shared_folder
 
@@ -79,6 +80,14 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.fill_middle import fill_in_middle, restored
+
+    cut = fill_in_middle(read_table(spark, sf_dir, "documents"), seed=1, percent=90, suffix_first=20)
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -93,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_piece_encoding,
             op9_warc_index,
             op10_feistel_shards,
+            op13_fill_in_middle,
         )
     }
 
@@ -127,5 +137,21 @@ FROM grouped
 """
 
 
+FILL_MIDDLE_SQL = """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+numbers AS (SELECT doc_id, text, length(text) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+  ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM hashed),
+cuts AS (SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cuts)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL}
+    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL, "op13_fill_in_middle": FILL_MIDDLE_SQL}
