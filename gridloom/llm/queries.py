@@ -80,6 +80,13 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.importance import resample
+
+    drawn = resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), longest=2, buckets=10000, least_words=20, percent=25, seed=7)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.fill_middle import fill_in_middle, restored
 
@@ -102,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_piece_encoding,
             op9_warc_index,
             op10_feistel_shards,
+            op11_importance_resampling,
             op13_fill_in_middle,
         )
     }
@@ -137,6 +145,36 @@ FROM grouped
 """
 
 
+# zlib's CRC is the exclusive or of what each byte does, which its distance from the end settles, and of what the length does.
+IMPORTANCE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT 'd' || row_number() OVER () AS place, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws, doc_id, true AS corpus FROM documents
+  UNION ALL
+  SELECT 'b' || row_number() OVER (), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), NULL, false FROM benchmark
+), one AS (SELECT place, corpus, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM texts),
+two AS (SELECT place, corpus, w, lead(w) OVER (PARTITION BY place ORDER BY i) AS v FROM one),
+features AS (SELECT place, corpus, w AS feature FROM two UNION ALL SELECT place, corpus, w || ' ' || v FROM two WHERE v IS NOT NULL),
+bits(b, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+step AS (SELECT b, c FROM bits WHERE k = 8),
+words AS (SELECT DISTINCT feature FROM features),
+longest AS (SELECT coalesce(max(strlen(feature)), 0) AS most FROM words),
+far(k, b, c) AS (SELECT 0, b, c FROM step UNION ALL SELECT k + 1, far.b, xor(far.c // 256, step.c) FROM far JOIN step ON step.b = far.c % 256 WHERE k < (SELECT most FROM longest)),
+empty(n, c) AS (SELECT 0, 4294967295 UNION ALL SELECT n + 1, xor(empty.c // 256, step.c) FROM empty JOIN step ON step.b = empty.c % 256 WHERE n < (SELECT most FROM longest)),
+bytes AS (SELECT feature, strlen(feature) - i - 1 AS k, ('0x' || substr(hex(feature), 2 * i + 1, 2))::BIGINT AS b FROM (SELECT feature, unnest(range(strlen(feature))) AS i FROM words)),
+crcs AS (SELECT feature, xor(xor(bit_xor(far.c), any_value(empty.c)), 4294967295) % 10000 AS bucket
+  FROM bytes JOIN far USING (k, b) JOIN empty ON empty.n = strlen(feature) GROUP BY feature),
+hashed AS (SELECT place, corpus, bucket FROM features JOIN crcs USING (feature)),
+held AS (SELECT bucket, count(*) FILTER (corpus) AS s, count(*) FILTER (NOT corpus) AS t FROM hashed GROUP BY bucket),
+sums AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM held),
+gain AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS g FROM held, sums),
+weights AS (SELECT place, count(*) AS n, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM hashed JOIN gain USING (bucket) WHERE corpus GROUP BY place),
+scored AS (SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (place) WHERE texts.corpus),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS r, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= 25 * n // 100 THEN r END AS rank FROM placed
+"""
+
 FILL_MIDDLE_SQL = """
 WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
 numbers AS (SELECT doc_id, text, length(text) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
@@ -154,4 +192,4 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL, "op13_fill_in_middle": FILL_MIDDLE_SQL}
+    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op13_fill_in_middle": FILL_MIDDLE_SQL}
