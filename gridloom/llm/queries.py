@@ -87,6 +87,12 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.decontaminate import overlap_report
+
+    return overlap_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), length=10)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.fill_middle import fill_in_middle, restored
 
@@ -110,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_warc_index,
             op10_feistel_shards,
             op11_importance_resampling,
+            op12_decontamination,
             op13_fill_in_middle,
         )
     }
@@ -175,6 +182,19 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY scor
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= 25 * n // 100 THEN r END AS rank FROM placed
 """
 
+DECONTAMINATION_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+sized AS (SELECT item_id, ws, least(len(ws), 10) AS size FROM items WHERE len(ws) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(ws[i + 1:i + size], ' ') AS gram FROM (SELECT *, unnest(range(len(ws) - size + 1)) AS i FROM sized)),
+starts AS (SELECT place, ws, size, unnest(range(len(ws) - size + 1)) AS i FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(ws) >= size),
+hits AS (SELECT place, i, s.size, item_id FROM (SELECT place, i, size, array_to_string(ws[i + 1:i + size], ' ') AS gram FROM starts) s JOIN windows USING (gram)),
+covered AS (SELECT place, count(DISTINCT w) AS n_hit FROM (SELECT place, unnest(range(i, i + size)) AS w FROM hits) GROUP BY place),
+owners AS (SELECT place, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT place, item_id FROM hits) GROUP BY place)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (place) LEFT JOIN owners USING (place)
+"""
+
 FILL_MIDDLE_SQL = """
 WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
 numbers AS (SELECT doc_id, text, length(text) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
@@ -192,4 +212,4 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op13_fill_in_middle": FILL_MIDDLE_SQL}
+    return {"op4_exact_dedup": EXACT_DEDUP_SQL, "op9_warc_index": WARC_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op12_decontamination": DECONTAMINATION_SQL, "op13_fill_in_middle": FILL_MIDDLE_SQL}
