@@ -69,20 +69,25 @@ def held_out_row(doc_id: Column) -> Column:
 
 
 def fit_sample(docs: DataFrame, rows_per_language: int = FIT_ROWS) -> DataFrame:
-    """(lang, text) of at most ``rows_per_language`` rows of each lang of ``docs`` (doc_id, text, lang), those whose doc_id hashes lowest."""
+    """(lang, text) of at most ``rows_per_language`` different rows of each lang of ``docs`` (doc_id, text, lang), those whose id and text hash lowest.
+
+    Ids alone would not do: rows that share one, or have none, would all be in the sample or none of them, and their language might be lost. Rows
+    that share the text too count once, and the lowest hash of a language is always in.
+    """
     labelled = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", text_of().alias("text"))
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    known = {r["lang"]: r["n"] for r in counts.collect()}
+    labelled = labelled.withColumn("_hash", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("_hash").alias("lowest"))
+    known = {r["lang"]: (r["n"], r["lowest"]) for r in counts.collect()}
     # Twice the share that is needed, by hash, then the lowest of those: a few rows of each language move, whatever its size.
     scale = 1 << 40
     shares = docs.sparkSession.createDataFrame(
-        [(k, min(scale, 2 * (rows_per_language + 10) * scale // n)) for k, n in known.items()], "lang string, share long"
+        [(k, max(lowest + 1, min(scale, 2 * (rows_per_language + 10) * scale // n))) for k, (n, lowest) in known.items()], "lang string, share long"
     )
     lowest = Window.partitionBy("lang").orderBy("_hash", "doc_id", "text")
     return (
-        labelled.withColumn("_hash", F.pmod(F.xxhash64("doc_id"), F.lit(scale)))
-        .join(F.broadcast(shares), "lang")
+        labelled.join(F.broadcast(shares), "lang")
         .where(F.col("_hash") < F.col("share"))
+        .dropDuplicates(["lang", "_hash"])
         .withColumn("_place", F.row_number().over(lowest))
         .where(F.col("_place") <= rows_per_language)
         .select("lang", "text")
