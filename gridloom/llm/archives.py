@@ -54,6 +54,17 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.when(path == "", "/").otherwise(path))
 
 
+#: Pages carry no time; captures begin here.
+FIRST_DAY = "2024-01-01"
+
+
+def utc(day: Column, seconds: Column) -> Column:
+    """The UTC time that lies ``seconds`` after the start of ``day``, as ISO text; days and seconds know no time zone, so the session's plays no part."""
+    part = lambda of, size: F.lpad((F.pmod(seconds, F.lit(of)) / size).cast("long").cast("string"), 2, "0")
+    date = F.date_add(day, F.floor(seconds / 86400).cast("int")).cast("string")
+    return F.concat(date, F.lit("T"), part(86400, 3600), F.lit(":"), part(3600, 60), F.lit(":"), part(60, 1), F.lit("Z"))
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """What a record needs of each page. Pages carry no time, so a capture's time is 2024-01-01 plus its id in seconds."""
     known = F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(1_000_000_000))
@@ -66,7 +77,7 @@ def captures(pages: DataFrame) -> DataFrame:
         payload_digest(F.col("payload")).alias("payload_digest"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         url_key(F.col("url")).alias("url_key"),
-        F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + known), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        utc(F.lit(FIRST_DAY).cast("date"), known).alias("timestamp"),
     )
 
 
@@ -176,16 +187,23 @@ class WarcSource(DataSource):
         return ArchiveReader(self.options["path"])
 
 
+def joined_with_responses(rows: DataFrame) -> DataFrame:
+    """Captures with ``response_id``, the largest id of those that share their payload.
+
+    Digests alone are grouped. The groups are dealt anew for the join (their digest is computed, so their own order does not
+    serve), as only then does Spark's skew join split the pages of a payload that a third of all pages share.
+    """
+    kept = rows.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("response_id"))
+    return rows.join(kept.withColumn("payload_digest", F.concat("payload_digest", F.lit(""))), ["payload_digest", "payload_bytes"])
+
+
 def write_archives(pages: DataFrame, folder: str, min_payload: int = 0) -> None:
     """Write one WARC record per page into archives under ``folder``, which is a new one.
 
     Of captures with equal payloads of at least ``min_payload`` bytes, the one with the largest page_id
-    is written as response, the others revisit it without a payload. Digests alone are grouped; a payload is
-    shuffled once, and a payload that a third of the pages share meets one row, which a skew join may split.
+    is written as response, the others revisit it without a payload. A payload is shuffled once.
     """
-    rows = captures(pages)
-    kept = rows.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("response_id"))
-    joined = rows.join(kept, ["payload_digest", "payload_bytes"])
+    joined = joined_with_responses(captures(pages))
     revisit = (F.col("payload_bytes") >= min_payload) & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     block = F.when(revisit, "").otherwise(F.col("payload"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
