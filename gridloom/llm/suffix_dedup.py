@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import bounded, row_keys, shared_checkpoint, shuffle_partitions
@@ -410,12 +410,18 @@ def _matched(table, length: int) -> Iterator:
     yield _ranges(doc[at[begin]], mark[at[begin]], first[at[begin]] + offset[begin], first[at[end]] + offset[end] + length)
 
 
+def row_hash() -> Column:
+    """What rows are dealt by: rows of one id but of different texts go different ways."""
+    return F.xxhash64("doc", "mark")
+
+
 def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, mark, start, end) of byte ranges covered by windows that occur earlier too; ranges may overlap. ``plain`` has doc, mark and text."""
     n = shuffle_partitions(plain.sparkSession)
-    repeated = shared_checkpoint(_repeated_anchors(plain, length))
+    plain = plain.withColumn("row", row_hash())
+    repeated = shared_checkpoint(_repeated_anchors(plain.select(F.col("row").alias("doc"), "mark", "text"), length))
     hot = _hot_bits(repeated)
-    asked = repeated.where(F.col("doc").isNotNull()).groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
+    asked = repeated.where(F.col("doc").isNotNull()).groupBy(F.col("doc").alias("row")).agg(F.collect_set("anchor").alias("anchors"))
 
     def dealt(held):
         """Rows of ``held`` (anchor, its place, text, doc, mark, first and last window): what is known to repeat, then what is to be searched."""
@@ -459,7 +465,7 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
         for table in _whole_anchors(batches):
             yield from _matched(table, length)
 
-    pieces = asked.join(plain, "doc").select("doc", "mark", "text", "anchors").mapInArrow(cut, PIECES_SCHEMA)
+    pieces = asked.join(plain, "row").select("doc", "mark", "text", "anchors").mapInArrow(cut, PIECES_SCHEMA)
     return pieces.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(matched, RANGES_SCHEMA)
 
 
@@ -475,8 +481,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     import pyarrow as pa
 
     plain = row_keys(docs)
-    # By doc alone, as the search is, so that texts are shuffled once.
-    ranges = repeated_ranges(plain, length).groupBy("doc").agg(F.collect_list(F.struct("mark", "start", "end")).alias("ranges"))
+    # By the same hash of id and text as the search, so that texts are shuffled once, and rows that share an id do not meet.
+    ranges = repeated_ranges(plain, length).groupBy(row_hash().alias("row")).agg(F.collect_set(F.struct("doc", "mark", "start", "end")).alias("ranges"))
 
     def removed(batches):
         import hashlib
@@ -485,7 +491,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
             rows = []
             for doc, mark, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "ranges")), strict=True):
                 data, parts, at, gone, spans = text.encode(), [], 0, 0, 0
-                for start, end in sorted((r["start"], r["end"]) for r in found or () if r["mark"] == mark):
+                for start, end in sorted((r["start"], r["end"]) for r in found or () if r["mark"] == mark and r["doc"] == doc):
                     if start > at or not spans:
                         parts.append(data[at:start])
                         spans, at = spans + 1, start
@@ -498,4 +504,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * len(kinds), kinds, strict=True)], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return plain.join(ranges, "doc", "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)
+    return plain.withColumn("row", row_hash()).join(ranges, "row", "left").select("doc", "mark", "text", "ranges").mapInArrow(removed, schema)
