@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from gridloom.operators import validate
 
 NOTES_LENGTH = 900
 EXAMPLES = 25
+#: Finished records that a task hands on together.
+FOLD_ROWS = 2000
 
 
 def tagged(sources: list[tuple[str, str, DataFrame]]) -> DataFrame:
@@ -58,49 +62,82 @@ def _rank(value: Column, ranks: dict[str, int]) -> Column:
     return F.coalesce(F.try_element_at(table, value), F.lit(-1))
 
 
-def _merged(a: Column, x: Column) -> Column:
-    """One step of the fold: ``a`` with the incoming record ``x``, both STRUCT<seed, the fields, urls, is_ip>."""
-    raised = _rank(x["confidence"], X.CONFIDENCE_RANK) > _rank(a["confidence"], X.CONFIDENCE_RANK)
-    confidence = F.when(raised, x["confidence"]).otherwise(a["confidence"])
-    better_type = _rank(x["source_type"], X.SOURCE_TYPE_RANK) > _rank(a["source_type"], X.SOURCE_TYPE_RANK)
-    chosen = lambda f: F.when((raised & (x[f] != "")) | (a[f] == ""), x[f]).otherwise(a[f])
-    urls = F.array_distinct(F.concat(a["urls"], x["urls"]))
-    notes = F.array_distinct(F.filter(F.array(F.trim(a["notes"]), F.trim(x["notes"])), lambda n: n != ""))
-    stays = (F.upper(a["coin"]) == "UNKNOWN") | (F.upper(chosen("algorithm")) == "UNKNOWN") | a["is_ip"]
-    grown = (confidence == "candidate") & (F.size(urls) >= 2)
-    active = grown | confidence.isin("confirmed", "probable")
-    new = {
-        "pool_name": chosen("pool_name"), "algorithm": chosen("algorithm"), "region": chosen("region"),
-        "source_type": F.when(better_type, x["source_type"]).otherwise(a["source_type"]), "source_url": E.join_source_urls(urls),
-        "confidence": F.when(stays, "candidate").when(grown, "probable").otherwise(confidence),
-        "status": F.when(stays, "unknown").when(active, "active").otherwise("unknown"),
-        "first_seen": F.least(a["first_seen"], x["first_seen"]), "last_seen": F.greatest(a["last_seen"], x["last_seen"]),
-        "notes": F.substring(F.array_join(notes, " | "), 1, NOTES_LENGTH), "urls": urls,
-    }
-    return F.struct(*[new.get(f, a[f]).alias(f) for f in (*X.ENDPOINT_FIELDS, "urls", "is_ip")])
+def _merge(a: dict, x: dict) -> None:
+    """Put the incoming record ``x`` into ``a``; ``a["urls"]`` holds the addresses in order, and stands for ``source_url`` from the first merge on."""
+    raised = X.CONFIDENCE_RANK.get(x["confidence"], -1) > X.CONFIDENCE_RANK.get(a["confidence"], -1)
+    if X.SOURCE_TYPE_RANK.get(x["source_type"], -1) > X.SOURCE_TYPE_RANK.get(a["source_type"], -1):
+        a["source_type"] = x["source_type"]
+    if raised:
+        a["confidence"] = x["confidence"]
+    for f in ("pool_name", "algorithm", "region"):
+        if a[f] == "" or (raised and x[f] != ""):
+            a[f] = x[f]
+    a["urls"].update(dict.fromkeys(x["urls"]))
+    a["first_seen"], a["last_seen"] = min(a["first_seen"], x["first_seen"]), max(a["last_seen"], x["last_seen"])
+    notes = dict.fromkeys(n for n in (a["notes"].strip(" "), x["notes"].strip(" ")) if n)
+    a["notes"], a["merged"] = " | ".join(notes)[:NOTES_LENGTH], True
+    if a["coin"].upper() == "UNKNOWN" or a["algorithm"].upper() == "UNKNOWN" or a["is_ip"]:
+        a["confidence"], a["status"] = "candidate", "unknown"
+    elif a["confidence"] == "candidate" and len(a["urls"]) >= 2:
+        a["confidence"], a["status"] = "probable", "active"
+    else:
+        a["status"] = "active" if a["confidence"] in ("confirmed", "probable") else "unknown"
+
+
+def _folded(batches: Iterator) -> Iterator:
+    """One row per key of rows that come key by key, in source and record order: the fields and ``change``. One record is held at a time."""
+    import pyarrow as pa
+
+    names = [*X.ENDPOINT_FIELDS, "change"]
+    kinds = [pa.int32() if f == "port" else pa.string() for f in names]
+    out: list[tuple] = []
+
+    def emit() -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [()] * len(names)
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    def finished(a: dict) -> tuple:
+        if a["merged"]:
+            a["source_url"] = "; ".join(a["urls"])
+        fields = tuple(a[f] for f in X.ENDPOINT_FIELDS)
+        return (*fields, "inserted" if a["seed"] is None else "unchanged" if fields == a["seed"] else "updated")
+
+    now, key = None, None
+    for batch in batches:
+        for x in batch.to_pylist():
+            own = tuple(x[k] for k in validate.KEY)
+            if own == key:
+                _merge(now, x)
+                continue
+            if now is not None:
+                out.append(finished(now))
+                if len(out) >= FOLD_ROWS:
+                    yield emit()
+            seed = tuple(x[f] for f in X.ENDPOINT_FIELDS) if x["src_ord"] == 0 else None
+            now, key = x | {"urls": dict.fromkeys(x["urls"]), "seed": seed, "merged": False}, own
+    if now is not None:
+        out.append(finished(now))
+    if out:
+        yield emit()
 
 
 def promote(seeds: DataFrame, discovered: DataFrame) -> DataFrame:
     """Good seeds (normalised, ``ord``) and good prepared records merged by key, in source and record order.
 
     Returns the fields, ``change`` (inserted, updated or unchanged) and ``errors`` of the merged record. Of seeds with one key the
-    last counts. A key has one row per seed and few per source when sources are unique, as each of them is by then;
-    a source that may not be goes through ``unique_first`` before.
+    last counts. The order of a key's records is part of the result, so they are folded one after another; they are not
+    gathered: rows are dealt by key, sorted by key and order, and streamed past one record, whatever a key's share of the rows.
     """
-    row = F.struct(*X.ENDPOINT_FIELDS, E.split_source_urls(F.col("source_url")).alias("urls"), E.is_ip_literal(F.col("domain")).alias("is_ip"))
-    last = seeds.select(*E.record_key(), "ord", row.alias("row")).groupBy(*validate.KEY).agg(F.max_by("row", "ord").alias("row"))
-    first = last.select(*validate.KEY, F.lit(0).alias("src_ord"), F.lit(None).cast(discovered.schema["ord"].dataType).alias("ord"), "row")
-    rest = discovered.select(*E.record_key(), "src_ord", "ord", row.alias("row"))
-    groups = first.unionByName(rest).groupBy(*validate.KEY).agg(F.sort_array(F.collect_list(F.struct("src_ord", "ord", "row"))).alias("steps"))
-    folded = F.aggregate(F.slice("steps", 2, F.greatest(F.size("steps"), F.lit(1))), F.col("steps")[0]["row"], lambda a, s: _merged(a, s["row"]))
-    seed = F.when(F.col("steps")[0]["src_ord"] == 0, F.col("steps")[0]["row"])
-    done = E.once(groups.withColumn("seed", seed), "row", folded)
-    same = F.lit(True)
-    for f in X.ENDPOINT_FIELDS:
-        same = same & F.col(f"row.{f}").eqNullSafe(F.col(f"seed.{f}"))
-    change = F.when(F.col("seed").isNull(), "inserted").when(same, "unchanged").otherwise("updated")
+    fields = (*E.record_key(), *[F.col(f) for f in X.ENDPOINT_FIELDS if f not in validate.KEY])
+    last = seeds.groupBy(*E.record_key()).agg(F.max_by(F.struct(*X.ENDPOINT_FIELDS), "ord").alias("row")).select("row.*")
+    first = last.select(*fields, F.lit(0).alias("src_ord"), F.lit(None).cast(discovered.schema["ord"].dataType).alias("ord"))
+    rows = first.unionByName(discovered.select(*fields, "src_ord", "ord"))
+    rows = rows.withColumns({"urls": E.split_source_urls(F.col("source_url")), "is_ip": E.is_ip_literal(F.col("domain"))})
+    ordered = rows.repartition(*validate.KEY).sortWithinPartitions(*validate.KEY, "src_ord", "ord").drop("ord")
+    schema = ", ".join(f"{f} {'int' if f == 'port' else 'string'}" for f in (*X.ENDPOINT_FIELDS, "change"))
     # A merge may break a rule that its parts kept (two retired records, a confirmed one without a web address).
-    return validate.normalize(done.select("row.*", change.alias("change")).drop("urls", "is_ip"))
+    return validate.normalize(ordered.mapInArrow(_folded, schema))
 
 
 def promotion_report(promoted: DataFrame) -> DataFrame:
