@@ -36,11 +36,16 @@ def crawl(pages: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
 
 def main(spark: SparkSession, pages_path: str, out: str, day: str) -> None:
     endpoints, nodes = crawl(spark.read.parquet(pages_path), day)
-    endpoints.write.mode("overwrite").parquet(f"{out}/checked.parquet")
-    checked = spark.read.parquet(f"{out}/checked.parquet")
-    files.write_published(validate.good(checked), out, "endpoints")
-    validate.quarantine(checked).write.mode("overwrite").parquet(f"{out}/quarantine.parquet")
-    files.write_published(nodes, out, "nodes", X.NODE_FIELDS)
+    # Not a part of what is published: good records and bad ones are both read from it.
+    endpoints.write.mode("overwrite").parquet(f"{out}/work/checked.parquet")
+    checked = spark.read.parquet(f"{out}/work/checked.parquet")
+    bad = validate.quarantine(checked).withColumn("errors", F.array_join("errors", "\n"))
+    tables = {
+        "endpoints": (validate.library(validate.good(checked)), X.ENDPOINT_FIELDS),
+        "quarantine": (bad, (*X.ENDPOINT_FIELDS, "errors")),
+        "nodes": (nodes.orderBy("node_host", "port", "node_type"), X.NODE_FIELDS),
+    }
+    files.publish(spark, out, tables)
 
 
 if __name__ == "__main__":

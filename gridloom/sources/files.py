@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions import fixed as X
+from gridloom.sources.json_arrays import read_json_array, write_csv_document, write_json_array
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -38,9 +43,14 @@ def read_registry(spark: SparkSession, path: str, include_optional: bool = False
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType = X.ENDPOINT_SCHEMA) -> DataFrame:
-    """Records of a JSON file that is a list or holds one under ``records``; a missing file has none."""
+    """Records of a JSON file that is a list or holds one under ``records``; a missing file has none.
+
+    A list is read by as many tasks as it has splits; a file that wraps one by a single task.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    if _first_character(spark, path) == "[":
+        return read_json_array(spark, path, schema)
     wrapped = T.StructType([*schema.fields, T.StructField("records", T.ArrayType(schema))])
     rows = spark.read.schema(wrapped).json(path, multiLine=True)
     plain = rows.where(F.col("records").isNull() & F.coalesce(*[F.col(f).cast("string") for f in schema.names]).isNotNull()).select(*schema.names)
@@ -61,10 +71,90 @@ def read_local_texts(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("path", F.regexp_replace("path", r"\Afile:/+", "/"))
 
 
-def write_published(records: DataFrame, folder: str, name: str, fields: tuple[str, ...] = X.ENDPOINT_FIELDS) -> None:
-    """The published forms of a table, its fields in order: Parquet for jobs, JSON lines and CSV with a header for readers."""
-    whole = records.select(*fields)
-    whole.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-    stored = records.sparkSession.read.parquet(f"{folder}/{name}.parquet")
-    stored.write.mode("overwrite").json(f"{folder}/{name}.json")
-    stored.write.mode("overwrite").csv(f"{folder}/{name}.csv", header=True)
+def _hadoop(spark: SparkSession, path: str):
+    """(path object, its file system)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without hidden ones; none where there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    hadoop, system = _hadoop(spark, path)
+    names = [status.getPath().getName() for status in system.listStatus(hadoop)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def _first_character(spark: SparkSession, path: str) -> str:
+    """The first character that is not white space of a file, or of the first file of a folder that has one; empty without any."""
+    hadoop, system = _hadoop(spark, path)
+    if system.getFileStatus(hadoop).isDirectory():
+        return next((c for name in _children(spark, path) if (c := _first_character(spark, f"{path}/{name}"))), "")
+    stream = system.open(hadoop)
+    try:
+        while (byte := stream.read()) >= 0:
+            if not chr(byte).isspace():
+                return chr(byte)
+    finally:
+        stream.close()
+    return ""
+
+
+MANIFEST = "current.json"
+
+
+def manifest(spark: SparkSession, folder: str) -> dict:
+    """What the current version of a published folder is: ``version`` and ``tables``; both empty before the first."""
+    if not path_exists(spark, f"{folder}/{MANIFEST}"):
+        return {"version": "", "tables": []}
+    return json.loads(spark.read.text(f"{folder}/{MANIFEST}", wholetext=True).first()[0])
+
+
+def _swap_manifest(spark: SparkSession, folder: str, content: dict) -> None:
+    """Put a manifest in the place of the one before in one step: readers see either, and never a part."""
+    jvm, made = spark.sparkContext._jvm, f"{folder}/.{MANIFEST}-{uuid.uuid4().hex}"
+    new, system = _hadoop(spark, made)
+    out = system.create(new, True)
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(new.makeQualified(system.getUri(), system.getWorkingDirectory()), _hadoop(spark, f"{folder}/{MANIFEST}")[0].makeQualified(system.getUri(), system.getWorkingDirectory()), overwrite)
+
+
+def publish(spark: SparkSession, folder: str, tables: dict[str, tuple[DataFrame, tuple[str, ...]]], keep: int = 2) -> str:
+    """Publish ``tables`` (name: rows and fields) as one version of ``folder`` and return its name.
+
+    Every table is written as Parquet for jobs, and in the same order as one JSON array and one CSV document, each in parts that are put
+    together by name. Nothing of the current version is touched: all tables of the new one are there before the manifest names it,
+    and a job that is killed before leaves the old version whole. Of the versions before, the last ``keep`` - 1 that are complete stay for readers.
+    """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    base = f"{folder}/versions/{version}"
+    before = manifest(spark, folder)
+    for name, (rows, fields) in tables.items():
+        rows.select(*fields).write.parquet(f"{base}/{name}.parquet")
+        stored = spark.read.parquet(f"{base}/{name}.parquet")
+        write_json_array(stored, f"{base}/{name}.json", fields)
+        write_csv_document(stored, f"{base}/{name}.csv", fields)
+    kept = [*before.get("kept", []), *filter(None, [before["version"]])][-(keep - 1) :] if keep > 1 else []
+    _swap_manifest(spark, folder, {"version": version, "tables": sorted(tables), "kept": kept})
+    for name in _children(spark, f"{folder}/versions"):
+        if name < version and name not in kept:
+            path, system = _hadoop(spark, f"{folder}/versions/{name}")
+            system.delete(path, True)
+    return version
+
+
+def published_path(spark: SparkSession, folder: str, name: str, form: str = "parquet") -> str:
+    """Where a table of the current version lies, as ``parquet``, ``json`` or ``csv``."""
+    if not (version := manifest(spark, folder)["version"]):
+        raise FileNotFoundError(f"nothing is published in {folder}")
+    return f"{folder}/versions/{version}/{name}.{form}"
+
+
+def read_published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the current version."""
+    return spark.read.parquet(published_path(spark, folder, name))

@@ -1,7 +1,9 @@
 """Jobs, files and streams end to end, and the driver contract."""
 
 import json
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import fixed as X
@@ -12,6 +14,11 @@ from gridloom.streaming import crawl_stream
 PAGES = "site string, pool_name string, page_ord int, url string, content_type string, body binary"
 
 
+def whole(folder):
+    """The parts of a published document, put together by name."""
+    return "".join(p.read_text() for p in sorted(Path(folder).glob("part-*")))
+
+
 def pages(spark):
     text = "<p>stratum+tcp://btc.pool.example:3333 and 192.0.2.9:4444 addnode=192.0.2.10:8333</p>"
     rows = [("pool.example", "P", i, f"https://pool.example/{i}", "text/html", bytearray(text.encode())) for i in range(3)]
@@ -21,12 +28,15 @@ def pages(spark):
 def test_crawl_job(spark, tmp_path):
     pages(spark).write.parquet(str(tmp_path / "pages"))
     crawl.main(spark, str(tmp_path / "pages"), str(tmp_path / "out"), "2026-04-17")
-    got = spark.read.parquet(str(tmp_path / "out/endpoints.parquet"))
+    out = str(tmp_path / "out")
+    got = files.read_published(spark, out, "endpoints")
     assert tuple(got.columns) == X.ENDPOINT_FIELDS
     assert {(r["domain"], r["port"]) for r in got.collect()} == {("btc.pool.example", 3333), ("192.0.2.9", 4444)}
     assert got.where("port = 3333").first()["source_url"] == "; ".join(f"https://pool.example/{i}" for i in range(3))
-    assert spark.read.csv(str(tmp_path / "out/endpoints.csv"), header=True).columns == list(X.ENDPOINT_FIELDS)
-    assert spark.read.parquet(str(tmp_path / "out/nodes.parquet")).count() == 1
+    assert whole(files.published_path(spark, out, "endpoints", "csv")).splitlines()[0] == ",".join(X.ENDPOINT_FIELDS)
+    assert [list(r) for r in json.loads(whole(files.published_path(spark, out, "endpoints", "json")))] == [list(X.ENDPOINT_FIELDS)] * 2
+    assert files.read_records(spark, files.published_path(spark, out, "endpoints", "json")).count() == 2
+    assert files.read_published(spark, out, "nodes").count() == 1 and files.read_published(spark, out, "quarantine").count() == 0
 
 
 def test_prefilter_keeps_every_page_with_a_hit(spark):
@@ -41,11 +51,37 @@ def test_prefilter_keeps_every_page_with_a_hit(spark):
 def test_library_and_directory_jobs(spark, tmp_path):
     crawl.crawl(pages(spark), "2026-04-17")[0].drop("errors").write.parquet(str(tmp_path / "seeds"))
     library.main(spark, str(tmp_path / "seeds"), str(tmp_path / "lib"), f"crawl:trusted:{tmp_path}/seeds")
-    assert spark.read.parquet(str(tmp_path / "lib/library.parquet")).count() == 2
+    lib = str(tmp_path / "lib")
+    assert files.read_published(spark, lib, "library").count() == 2
+    first = files.read_published(spark, lib, "run").first()
+    assert (first["endpoint_records_total"], first["endpoint_records_new"], first["sources"]) == (2, 0, "crawl")
+    inputs = {(r["metric"], r["value"]): r["n"] for r in files.read_published(spark, lib, "inputs").collect()}
+    assert inputs == {("input", "crawl"): 2, ("skipped", "crawl"): 0, ("total", "seeds"): 2}
+    library.main(spark, str(tmp_path / "seeds"), lib, f"crawl:trusted:{tmp_path}/seeds", "--without=crawl")
+    assert files.read_published(spark, lib, "library").count() == 2 and files.read_published(spark, lib, "run").first()["without"] == "crawl"
     listing = spark.createDataFrame([("btc", 1, "https://a.example/x", None), ("btc", 2, "http://192.0.2.5:3333", "p")], "coin_slug string, item int, url string, pool_id string")
     existing = spark.createDataFrame([], "ord int, " + ", ".join(f"{f} string" for f in X.SITE_FIELDS))
     merged, found = directory.build(listing, existing, {"url": "u", "source_type": "directory", "confidence": "candidate"}, "https://d.example/", "2026-04-17")
-    assert merged.count() == 1 and found.first()["errors"] == []
+    assert merged.count() == 1 and [r["domain"] for r in found.collect()] == ["192.0.2.5"]
+
+
+def test_a_killed_job_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    folder, table = str(tmp_path / "out"), lambda n: spark.range(n).toDF("k")
+    assert files.manifest(spark, folder)["version"] == ""
+    for n in (1, 2, 3):
+        files.publish(spark, folder, {"a": (table(n), ("k",)), "b": (table(n), ("k",))})
+    counts = lambda: [files.read_published(spark, folder, name).count() for name in ("a", "b")]
+    assert counts() == [3, 3] and len(list((tmp_path / "out/versions").iterdir())) == 2
+    with pytest.raises(Exception):  # noqa: B017
+        files.publish(spark, folder, {"a": (table(9), ("k",)), "b": (table(9).select(F.raise_error(F.lit("killed")).alias("k")), ("k",))})
+    assert counts() == [3, 3]
+    monkeypatch.setattr(files, "_swap_manifest", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        files.publish(spark, folder, {"a": (table(9), ("k",)), "b": (table(9), ("k",))})
+    monkeypatch.undo()
+    assert counts() == [3, 3]
+    files.publish(spark, folder, {"a": (table(4), ("k",)), "b": (table(4), ("k",))})
+    assert counts() == [4, 4] and len(list((tmp_path / "out/versions").iterdir())) == 2
 
 
 def test_files(spark, tmp_path):
