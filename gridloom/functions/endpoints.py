@@ -155,6 +155,21 @@ def suffix_allowed(domain: Column, suffixes: Column) -> Column:
     return F.coalesce(F.size(suffixes), F.lit(0)).isin(0, -1) | F.coalesce(held, F.lit(False))
 
 
+def suffixes_of(domain: Column) -> Column:
+    """A domain and all that is left of it when labels are taken off its front; as many as it has labels."""
+    labels = F.split(F.regexp_replace(F.lower(domain), r"\A\.+|\.+\z", ""), r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def matching_suffixes(rows: DataFrame, domain: Column, suffixes: DataFrame) -> DataFrame:
+    """``rows`` with the ``suffix`` of the table ``suffixes`` (one column of that name, any number of rows) that their domain equals or ends in, at a label.
+
+    A row per match: a domain looks up its own few suffixes, so the list may be as long as it likes, and no row meets all of it.
+    """
+    table = suffixes.select(F.regexp_replace(F.lower("suffix"), r"\A\.+|\.+\z", "").alias("suffix")).where("suffix <> ''").distinct()
+    return rows.select("*", F.explode(suffixes_of(domain)).alias("suffix")).join(table, "suffix").select(*rows.columns, "suffix")
+
+
 def is_non_site_domain(domain: Column) -> Column:
     listed = F.array(*map(F.lit, X.NON_SITE_DOMAINS))
     return is_ip_address(domain) | F.exists(listed, lambda b: (domain == b) | F.endswith(domain, F.concat(F.lit("."), b)))

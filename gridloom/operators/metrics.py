@@ -15,24 +15,51 @@ METRICS = (
 )
 
 
+def _keys(
+    sites: DataFrame, endpoints: list[DataFrame], ip_candidates: DataFrame, nodes: DataFrame, library: DataFrame, watchlist: DataFrame, *more: str
+) -> DataFrame:
+    """(metric, key) of every row of the tables, and their columns ``more``. A row gives the keys of all metrics that it counts in at once."""
+    key, named = E.endpoint_snapshot_key(), lambda metric, c: F.struct(F.lit(metric).alias("metric"), c.alias("key"))
+    fields = [F.col("domain"), F.col("port").cast("string").alias("port"), F.col("scheme"), F.col("coin"), *[F.col(c) for c in more]]
+
+    def rows(df: DataFrame, *entries: Column) -> DataFrame:
+        return df.select(F.inline(F.array(*entries)), *more)
+
+    every = reduce(DataFrame.unionByName, [df.select(*fields) for df in endpoints])
+    parts = [
+        rows(sites, named("site_domains", E.domain_snapshot_key("website_domain"))),
+        rows(every, named("endpoint_domains", E.domain_snapshot_key("domain")), named("endpoint_records", key)),
+        rows(ip_candidates.select(*fields), named("ip_candidates", key)),
+        rows(nodes, named("blockchain_nodes", E.node_snapshot_key())),
+        rows(library.select(*fields), named("stable_library", key)),
+        rows(watchlist.select(*fields), named("watchlist", key)),
+    ]
+    return reduce(DataFrame.unionByName, parts).where(F.col("key").isNotNull())
+
+
 def snapshot(
     sites: DataFrame, endpoints: list[DataFrame], ip_candidates: DataFrame, nodes: DataFrame, library: DataFrame, watchlist: DataFrame
 ) -> DataFrame:
     """Distinct keys of each metric as (metric, key). ``endpoints`` are all the tables that endpoint metrics span."""
-    fields = ("domain", "port", "scheme", "coin")
-    key = E.endpoint_snapshot_key()
-    every = reduce(DataFrame.unionByName, [df.select("domain", F.col("port").cast("string").alias("port"), "scheme", "coin") for df in endpoints])
-    parts = {
-        "site_domains": sites.select(E.domain_snapshot_key("website_domain").alias("key")),
-        "endpoint_domains": every.select(E.domain_snapshot_key("domain").alias("key")),
-        "endpoint_records": every.select(key.alias("key")),
-        "ip_candidates": ip_candidates.select(*fields).select(key.alias("key")),
-        "blockchain_nodes": nodes.select(E.node_snapshot_key().alias("key")),
-        "stable_library": library.select(*fields).select(key.alias("key")),
-        "watchlist": watchlist.select(*fields).select(key.alias("key")),
-    }
-    tables = [df.select(F.lit(metric).alias("metric"), "key") for metric, df in parts.items()]
-    return reduce(DataFrame.union, tables).where(F.col("key").isNotNull()).distinct()
+    return _keys(sites, endpoints, ip_candidates, nodes, library, watchlist).distinct()
+
+
+def snapshot_change(
+    sites: DataFrame, endpoints: list[DataFrame], ip_candidates: DataFrame, nodes: DataFrame, library: DataFrame, watchlist: DataFrame, before: str
+) -> DataFrame:
+    """(metric, total, new) of tables whose boolean column ``before`` says of each row whether the baseline had it too.
+
+    The same as ``count_delta`` of two snapshots, where both are cut from the same tables: they are read once, and keys are aggregated
+    once, with whether any of their rows is an old one.
+    """
+    met = _keys(sites, endpoints, ip_candidates, nodes, library, watchlist, before).groupBy("metric", "key").agg(F.max(before).alias("_old"))
+    return _all_metrics(met.groupBy("metric").agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.coalesce("_old", F.lit(False))).alias("new")))
+
+
+def _all_metrics(counted: DataFrame) -> DataFrame:
+    names = counted.sparkSession.createDataFrame([(m,) for m in METRICS], "metric string")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return names.join(F.broadcast(counted), "metric", "left").select("metric", zero("total"), zero("new"))
 
 
 def choose_baseline(previous: DataFrame, current: DataFrame) -> DataFrame:
@@ -47,9 +74,7 @@ def count_delta(current: DataFrame, baseline: DataFrame) -> DataFrame:
         current.select("metric", "key").distinct().join(old, ["metric", "key"], "left")
         .groupBy("metric").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("_old").isNull()).alias("new"))
     )
-    names = current.sparkSession.createDataFrame([(m,) for m in METRICS], "metric string")
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return names.join(F.broadcast(counted), "metric", "left").select("metric", zero("total"), zero("new"))
+    return _all_metrics(counted)
 
 
 def report_summary(*reports: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import endpoints as E
@@ -178,6 +178,32 @@ def retire_stale(library: DataFrame, as_of: str, cycle_days: int = 7, cycles: in
     return library.withColumns({f: F.when(stale, "retired").otherwise(F.col(f)) for f in ("confidence", "status")})
 
 
+def confirmation_runs(sightings: DataFrame) -> DataFrame:
+    """Runs of consecutive maintenance cycles in which an endpoint was confirmed: the key, first_cycle, last_cycle, cycles; one row per run.
+
+    ``sightings`` have domain, port, scheme, coin and ``cycle``, a number that grows by one a cycle. Sightings of a cycle count once, so what
+    meets in a key is bounded by the number of cycles, not by the number of rows.
+    """
+    seen = sightings.where("cycle IS NOT NULL").select(*E.record_key(), F.col("cycle").cast("long").alias("cycle")).distinct()
+    # Cycles of one run differ from their own place in the key by the same number.
+    place = F.row_number().over(Window.partitionBy(*validate.KEY).orderBy("cycle"))
+    runs = seen.withColumn("_island", F.col("cycle") - place).groupBy(*validate.KEY, "_island")
+    return runs.agg(F.min("cycle").alias("first_cycle"), F.max("cycle").alias("last_cycle"), F.count(F.lit(1)).alias("cycles")).drop("_island")
+
+
+def retire_unconfirmed(library: DataFrame, sightings: DataFrame, latest: int, cycles: int = 2) -> DataFrame:
+    """``library`` with ``missed``, the cycles up to ``latest`` since a record was last confirmed (null: never), and with those retired that missed ``cycles`` of them.
+
+    A record that was confirmed in between stays, however long it was missing before. One that was never confirmed has missed all cycles.
+    """
+    last = confirmation_runs(sightings.where(F.col("cycle") <= latest)).groupBy(*validate.KEY).agg(F.max("last_cycle").alias("_last"))
+    keyed = library.withColumn("coin_key", F.upper("coin"))
+    missed = (F.lit(latest) - F.col("_last")).alias("missed")
+    joined = keyed.join(last, list(validate.KEY), "left").select(*[F.col(c) for c in library.columns], missed)
+    stale = F.col("missed").isNull() | (F.col("missed") >= cycles)
+    return joined.withColumns({f: F.when(stale, "retired").otherwise(F.col(f)) for f in ("confidence", "status")})
+
+
 def change_audit(before: DataFrame, after: DataFrame) -> DataFrame:
     """How many endpoints were added, deleted, upgraded or downgraded between two libraries: (change, n)."""
     side = lambda df, name: df.select(*E.record_key(), _rank(F.col("confidence"), X.CONFIDENCE_RANK).alias(name))

@@ -196,7 +196,7 @@ ORACLES |= {
       f AS (SELECT {NODE_KEYS}, string_agg(source_url, '; ' ORDER BY o) AS urls, max(seen) AS seen FROM firsts GROUP BY {NODE_KEYS}),
       b AS (SELECT {NODE_KEYS}, arg_min(pool_name, page_id) AS pool_name, arg_min(coin, page_id) AS coin, arg_min(notes, page_id) AS notes FROM nodes GROUP BY {NODE_KEYS})
       SELECT {NODE_KEYS}, pool_name, coin, urls AS source_url, '{DAY}' AS first_seen, seen AS last_seen, notes FROM b JOIN f USING ({NODE_KEYS})""",
-    "fetch_report": f"""WITH {SITE}, c AS (SELECT page_id, count(*) AS n FROM found WHERE page_id % 3 <> 0 GROUP BY page_id)
+    "fetch_report": f"""WITH {SITE}, c AS (SELECT page_id, count(*) AS n FROM found GROUP BY page_id)
       SELECT page_id, page_url AS url, page_id % 7 <> 0 AS ok, sha256(html) AS sha256, strlen(html)::BIGINT AS bytes, coalesce(n, 0) AS records FROM page LEFT JOIN c USING (page_id)""",
 }
 
@@ -258,10 +258,17 @@ ORACLES |= {
     "infer_region": f"WITH {RECORD} SELECT ord, {REGION} AS region FROM record",
     "infer_scheme": f"""WITH {RECORD}, r AS (SELECT ord, domain, CASE WHEN ord % 2 = 0 THEN '2Miners' ELSE pool_name END AS pool_name,
       (port + CASE WHEN ord % 3 = 0 THEN 9000 ELSE 0 END)::INT AS port FROM record) SELECT ord, port, {INFERRED} AS scheme FROM r""",
-    "pool_names": """SELECT s_suppkey, slug, CASE slug WHEN 'f2pool' THEN 'F2Pool' WHEN 'k1pool' THEN 'K1 Pool' WHEN 'my-new-pool' THEN 'My New Pool' ELSE 'A1B2C X' END AS pool_name
-      FROM (SELECT s_suppkey, ['f2pool', 'k1pool', 'my-new-pool', 'a1b2c-x'][s_suppkey % 4 + 1] AS slug FROM supplier)""",
-    "blocked_hosts": f"""SELECT event_id, host, {BLOCKED.replace('domain', 'lower(host)')} AS blocked
-      FROM (SELECT event_id, ['127.0.0.1', '192.168.1.10', 'Example.com', 'pool.realpool.net', '101.2.3.4'][event_id % 5 + 1] AS host FROM events)""",
+    "pool_names": """WITH s AS (SELECT s_suppkey, s_suppkey::VARCHAR AS n, lower(replace(s_name, '#', '-')) AS low FROM supplier),
+      k AS (SELECT s_suppkey, ['f2pool', 'K1Pool', 'my-new-pool' || n, low, 'a' || n || 'b' || n || 'c-x', '--POOL.of-' || n || 'th_miners', '', '2miners'][s_suppkey % 8 + 1] AS slug FROM s),
+      r AS (SELECT *, regexp_extract_all(lower(replace(slug, '-', ' ')), '[a-z]+|[^a-z]+') AS runs FROM k)
+      SELECT s_suppkey, slug, CASE slug WHEN 'f2pool' THEN 'F2Pool' WHEN '2miners' THEN '2Miners' WHEN 'k1pool' THEN 'K1 Pool'
+        ELSE array_to_string(list_transform(runs, lambda x: upper(substr(x, 1, 1)) || substr(x, 2)), '') END AS pool_name FROM r""",
+    "blocked_hosts": f"""WITH {RECORD}, r AS (SELECT ord, domain, (ord % 250) || '.' || (ord % 7) AS tail FROM record)
+      SELECT event_id, host, {BLOCKED.replace('domain', 'lower(host)')} AS blocked FROM (SELECT ord AS event_id,
+        ['127.0.' || tail, '10.1.' || tail, '192.168.' || tail, '192.169.' || tail, '101.2.' || tail, '11.0.' || tail, 'Example.com', 'example.NET', 'example.org', 'localhost',
+         domain, upper(domain), 'a.example.com', 'localhost' || ord][ord % 14 + 1] AS host FROM r)""",
+    "suffix_matches": f"""WITH {RECORD}, s AS (SELECT domain AS suffix FROM record WHERE port = 2111 UNION SELECT 'pool' || (ord % 40) || '.example.com' FROM record)
+      SELECT r.ord, r.domain, s.suffix FROM record r JOIN s ON r.domain = s.suffix OR suffix(r.domain, '.' || s.suffix)""",
 }
 
 # Directories.
@@ -307,6 +314,11 @@ RANKED = f"WITH {RECORD}, {_unique('record', 'uniq', RANK)}"
 ORACLES |= {
     "unique_ranked": f"{RANKED} SELECT {FIELDS} FROM uniq",
     "unique_ranked_exact": f"{RANKED} SELECT {FIELDS} FROM uniq",
+    "unique_wide": f"""WITH {RECORD}, r AS (SELECT * REPLACE ('https://src' || (ord % 5) || '.example/p' || (ord * 7919 % 99991) || CASE WHEN ord % 2 = 0 THEN '/more' ELSE '' END AS source_url) FROM record),
+      urls AS (SELECT {KEY}, source_url AS u, min(ord) AS o FROM r GROUP BY ALL), best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY ord) = 1),
+      held AS (SELECT DISTINCT {KEY}, a.u FROM urls a JOIN urls b USING ({KEY}) WHERE b.o < a.o AND contains(b.u, a.u)),
+      joined AS (SELECT {KEY}, string_agg(u, '; ' ORDER BY o) AS whole FROM urls ANTI JOIN held USING ({KEY}, u) GROUP BY ALL)
+      SELECT {FIELDS.replace('source_url', 'whole AS source_url')} FROM best JOIN joined USING ({KEY})""",
     "unique_first": f"WITH {RECORD}, {_unique('record', 'uniq')} SELECT {FIELDS} FROM uniq",
 }
 
@@ -338,10 +350,10 @@ CONF_RANK = lambda c: _case_rank(c, X.CONFIDENCE_RANK)
 _chosen = lambda f: f"CASE WHEN (raised AND x_{f} <> '') OR {f} = '' THEN x_{f} ELSE {f} END"
 _others = ", ".join(f"s.{f} AS x_{f}" for f in X.ENDPOINT_FIELDS)
 _mine = ", ".join(f"f.{f}" for f in X.ENDPOINT_FIELDS)
-_parts = []
+_parts, _source = [], "CASE WHEN port = 3222 THEN 0 WHEN port = 2111 THEN 1 + ord % 3 ELSE ord % 4 END"
 for _i in range(1, 4):
-    _parts.append(_unique(f"(SELECT * FROM record WHERE ord % 4 = {_i})", f"src{_i}"))
-PROMOTED = f"""WITH RECURSIVE {RECORD}, {_unique('(SELECT * FROM record WHERE ord % 4 = 0)', 'seed0', RANK)},
+    _parts.append(_unique(f"(SELECT * FROM record WHERE {_source} = {_i})", f"src{_i}"))
+PROMOTED = f"""WITH RECURSIVE {RECORD}, {_unique(f'(SELECT * FROM record WHERE {_source} = 0)', 'seed0', RANK)},
 seed AS (SELECT *, upper(coin) AS coin_key FROM (SELECT * REPLACE (trim(lower(status)) AS status) FROM seed0)
   WHERE NOT (confidence = 'confirmed' AND source_type <> 'official') AND NOT (confidence = 'retired' AND status <> 'retired')), {', '.join(_parts)},
 tagged AS (SELECT * EXCLUDE (k), k AS src_ord, {_label('k', 1)} AS src_label, {_kind('k', 1)} AS src_kind FROM (SELECT *, 1 AS k FROM src1 UNION ALL SELECT *, 2 FROM src2 UNION ALL SELECT *, 3 FROM src3)),
@@ -406,7 +418,7 @@ ORACLES |= {
       SELECT run_id, duration_seconds, printf('%d min %02d s', duration_seconds // 60, duration_seconds % 60) AS duration, strftime(s + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS started_utc8 FROM d""",
     "retire_stale": f"""WITH {RECORD}, r AS (SELECT *, CAST(last_seen AS DATE) < DATE '{AS_OF}' - 14 AS stale FROM record)
       SELECT ord, last_seen, CASE WHEN stale THEN 'retired' ELSE confidence END AS confidence, CASE WHEN stale THEN 'retired' ELSE status END AS status FROM r""",
-    "change_audit": f"""WITH {RECORD}, {_unique('(SELECT * FROM record WHERE ord % 3 <> 0)', 'before')}, {_unique('(SELECT * FROM record WHERE ord % 5 <> 1)', 'after', RANK)},
+    "change_audit": f"""WITH {RECORD}, {_unique('(SELECT * FROM record WHERE port <> 2111)', 'before')}, {_unique('(SELECT * FROM record WHERE port <> 3222)', 'after', RANK)},
       b AS (SELECT domain, port, scheme, upper(coin) AS coin_key, {RANK} AS old FROM before), a AS (SELECT domain, port, scheme, upper(coin) AS coin_key, {RANK} AS new FROM after)
       SELECT CASE WHEN old IS NULL THEN 'added' WHEN new IS NULL THEN 'deleted' WHEN new > old THEN 'upgraded' WHEN new < old THEN 'downgraded' ELSE 'kept' END AS change, count(*) AS n
       FROM b FULL OUTER JOIN a USING ({KEY}) GROUP BY ALL""",
@@ -426,3 +438,26 @@ ORACLES |= {
       SELECT run_id, duration_seconds, printf('%d min %02d s', duration_seconds // 60, duration_seconds % 60) AS duration,
         strftime(s + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS started_utc8, '{DAY}' AS day, '4' AS max_pages, d.*, f.* FROM r, d, f""",
 }
+
+_CYCLES = f"WITH {RECORD}, seen AS (SELECT DISTINCT {KEY}, date_diff('day', DATE '2024-01-01', last_seen::DATE) AS cycle FROM record)"
+ORACLES |= {
+    "baseline_delta": f"""WITH {RECORD}, {SITES}, {NODE_RECORDS}, k AS (
+        SELECT 'site_domains' AS metric, website_domain AS key FROM sites UNION SELECT 'endpoint_domains', lower(domain) FROM record UNION SELECT 'endpoint_records', {_key} FROM record
+        UNION SELECT 'ip_candidates', {_key} FROM record WHERE port = 2111 UNION SELECT 'blockchain_nodes', node_host || '|' || port || '|' || node_type FROM nodes
+        UNION SELECT 'stable_library', {_key} FROM record WHERE confidence = 'confirmed' UNION SELECT 'watchlist', {_key} FROM record WHERE status = 'active' AND confidence IN ('confirmed', 'probable'))
+      SELECT m.metric, count(k.key) AS total, 0::BIGINT AS new FROM {METRICS} LEFT JOIN k ON k.metric = m.metric GROUP BY m.metric""",
+    "confirmation_runs": f"""{_CYCLES}, i AS (SELECT *, cycle - row_number() OVER (PARTITION BY {KEY} ORDER BY cycle) AS island FROM seen)
+      SELECT {KEY}, min(cycle) AS first_cycle, max(cycle) AS last_cycle, count(*) AS cycles FROM i GROUP BY {KEY}, island""",
+    "retire_unconfirmed": f"""{_CYCLES}, {_unique('record', 'uniq', RANK)}, l AS (SELECT {KEY}, 29 - max(cycle) AS missed FROM seen WHERE cycle <= 29 GROUP BY {KEY}),
+      u AS (SELECT *, upper(coin) AS coin_key FROM uniq)
+      SELECT {KEY}, missed, CASE WHEN coalesce(missed, 2) >= 2 THEN 'retired' ELSE confidence END AS confidence, CASE WHEN coalesce(missed, 2) >= 2 THEN 'retired' ELSE status END AS status
+      FROM u LEFT JOIN l USING ({KEY})""",
+    "published_records": ORACLES["unique_first"],
+    "published_tables": f"""SELECT 'sites' AS name, website_domain AS key, profile_url AS url FROM ({ORACLES["unique_sites"]})
+      UNION ALL SELECT 'nodes', node_host || '|' || port || '|' || node_type, source_url FROM ({ORACLES["unique_nodes"]})""",
+    "registry_sources": """SELECT 'source-' || s_suppkey AS id, s_name AS name, 'https://s' || s_suppkey || '.example/' AS url, CASE WHEN s_suppkey % 4 > 0 THEN 's' || s_suppkey || '.example' END AS suffixes
+      FROM supplier WHERE s_suppkey % 3 <> 0 AND (s_suppkey % 5 <> 0 OR s_suppkey % 3 = 1)""",
+    "cached_pages": "SELECT page_id, 200 AS status, sha256(coalesce(html, '')) AS sha256 FROM pages",
+    "local_texts": """SELECT s_nationkey, sha256(string_agg('stratum+tcp://s' || s_suppkey || '.example:3333', chr(10) ORDER BY s_suppkey) || chr(10)) AS sha256
+      FROM supplier GROUP BY s_nationkey""",
+}

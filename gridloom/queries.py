@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions import endpoints as E
 from gridloom.functions import fixed as X
 from gridloom.functions import text as TX
 from gridloom.operators import dedupe, extract, metrics, promote, records, sites, validate
+from gridloom.sources import files
 from gridloom.sources.derived import derive
 
 DAY, AS_OF = "2024-03-01", "2024-02-10"
@@ -207,7 +209,7 @@ def official_site(spark, sf_dir):
 @query
 def fetch_report(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    found = extract.site_endpoints(_texts(spark, sf_dir)).where(F.col("page_id") % 3 != 0)
+    found = extract.site_endpoints(_texts(spark, sf_dir))
     fetched = pages.select("page_id", F.col("page_url").alias("url"), (F.col("page_id") % 7 != 0).alias("ok"), F.encode("html", "UTF-8").alias("body"))
     return metrics.fetch_report(fetched, found, "page_id")
 
@@ -289,17 +291,35 @@ def canonical_domain(spark, sf_dir):
 
 @query
 def pool_names(spark, sf_dir):
-    slug = F.element_at(F.array(*map(F.lit, ("f2pool", "k1pool", "my-new-pool", "a1b2c-x"))), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    n = F.col("s_suppkey").cast("string")
+    kinds = (
+        F.lit("f2pool"), F.lit("K1Pool"), F.concat(F.lit("my-new-pool"), n), F.lower(F.regexp_replace("s_name", "#", "-")), F.concat(F.lit("a"), n, F.lit("b"), n, F.lit("c-x")),
+        F.concat(F.lit("--POOL.of-"), n, F.lit("th_miners")), F.lit(""), F.lit("2miners"),
+    )
+    slug = F.element_at(F.array(*kinds), (F.col("s_suppkey") % len(kinds) + 1).cast("int"))
     return spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", slug.alias("slug"), E.pool_name_from_slug(slug).alias("pool_name"))
 
 
 @query
 def blocked_hosts(spark, sf_dir):
-    host = F.element_at(F.array(*map(F.lit, ("127.0.0.1", "192.168.1.10", "Example.com", "pool.realpool.net", "101.2.3.4"))), (F.col("event_id") % 5 + 1).cast("int"))
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", host.alias("host"), E.blocked_host(host).alias("blocked"))
+    """Hosts of records, and addresses and reserved names made of their ids."""
+    n = F.col("ord").cast("string")
+    tail = F.concat((F.col("ord") % 250).cast("string"), F.lit("."), (F.col("ord") % 7).cast("string"))
+    heads = ("127.0.", "10.1.", "192.168.", "192.169.", "101.2.", "11.0.")
+    kinds = [F.concat(F.lit(h), tail) for h in heads] + [F.lit(h) for h in ("Example.com", "example.NET", "example.org", "localhost")]
+    kinds += [F.col("domain"), F.upper("domain"), F.concat(F.lit("a."), F.lit("example.com")), F.concat(F.lit("localhost"), n)]
+    host = F.element_at(F.array(*kinds), (F.col("ord") % len(kinds) + 1).cast("int"))
+    return derive(spark, sf_dir, "record").select(F.col("ord").alias("event_id"), host.alias("host"), E.blocked_host(host).alias("blocked"))
 
 
-# Directories.
+@query
+def suffix_matches(spark, sf_dir):
+    """Hosts of records against a table of suffixes, some of which are whole hosts."""
+    rows = derive(spark, sf_dir, "record")
+    suffixes = rows.where(F.col("port") == 2111).select(F.col("domain").alias("suffix")).union(
+        rows.select(F.concat(F.lit(".Pool"), (F.col("ord") % 40).cast("string"), F.lit(".example.com.")))
+    )
+    return E.matching_suffixes(rows.select("ord", "domain"), F.col("domain"), suffixes)
 
 
 @query
@@ -392,6 +412,15 @@ def unique_first(spark, sf_dir):
     return dedupe.unique_first(derive(spark, sf_dir, "record")).select(*X.ENDPOINT_FIELDS)
 
 
+@query
+def unique_wide(spark, sf_dir):
+    """As unique_first, with an address of its own for every record, of which some hold others."""
+    rows = derive(spark, sf_dir, "record")
+    number = (F.col("ord") * 7919) % 99991
+    url = F.concat(F.lit("https://src"), (F.col("ord") % 5).cast("string"), F.lit(".example/p"), number.cast("string"), F.when(F.col("ord") % 2 == 0, "/more").otherwise(""))
+    return dedupe.unique_first(rows.withColumn("source_url", url)).select(*X.ENDPOINT_FIELDS)
+
+
 LABELS = (("priority_sources", "trusted"), ("official_site_crawl", "trusted"), ("code_search", "candidate"))
 
 
@@ -405,14 +434,19 @@ def prepare_records(spark, sf_dir):
     return _prepared_raw(spark, sf_dir).select("src_label", "ord", *X.ENDPOINT_FIELDS, _shown()).withColumn("port", F.col("port").cast("string"))
 
 
+def _source() -> F.Column:
+    """Which input of a promotion has a record: 0 the seeds, else a source. Endpoints of one port are known to the seeds alone, those of another to sources alone."""
+    return F.when(F.col("port") == 3222, 0).when(F.col("port") == 2111, 1 + F.col("ord") % 3).otherwise(F.col("ord") % 4)
+
+
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seeds = derive(spark, sf_dir, "record").where(F.col("ord") % 4 == 0)
+    seeds = derive(spark, sf_dir, "record").where(_source() == 0)
     return validate.good(validate.normalize(dedupe.unique_ranked(seeds)))
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derive(spark, sf_dir, "record")
-    parts = [(label, kind, dedupe.unique_first(rows.where(F.col("ord") % 4 == i + 1))) for i, (label, kind) in enumerate(LABELS)]
+    parts = [(label, kind, dedupe.unique_first(rows.where(_source() == i + 1))) for i, (label, kind) in enumerate(LABELS)]
     return promote.prepare(promote.tagged(parts))
 
 
@@ -449,6 +483,11 @@ def skip_examples(spark, sf_dir):
 # Snapshots, reports, upkeep.
 
 
+def _current(spark: SparkSession, sf_dir: str) -> tuple:
+    rows = derive(spark, sf_dir, "record")
+    return _sites(spark, sf_dir), [rows], rows.where("port = 2111"), _nodes(spark, sf_dir), rows.where("confidence = 'confirmed'"), validate.watchlist(rows)
+
+
 def _snapshot(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
     rows = derive(spark, sf_dir, "record").where(F.col("last_seen") <= until)
     ips = validate.good(_normalized(spark, sf_dir)).where((F.col("last_seen") <= until) & F.col("domain").rlike(r"^[0-9.]+$"))
@@ -466,7 +505,24 @@ def snapshot_keys(spark, sf_dir):
 
 @query
 def snapshot_delta(spark, sf_dir):
-    return metrics.count_delta(_snapshot(spark, sf_dir, "2024-12-31"), _snapshot(spark, sf_dir, "2024-01-15"))
+    """The tables as they are at the end of the year, against what of them was there on a day of January."""
+    early, until = "2024-01-15", "2024-12-31"
+    old = (F.col("last_seen") <= early).alias("before")
+    rows = derive(spark, sf_dir, "record").where(F.col("last_seen") <= until).select("*", old)
+    ips = validate.good(_normalized(spark, sf_dir)).where((F.col("last_seen") <= until) & F.col("domain").rlike(r"^[0-9.]+$")).select("*", old)
+    places = _sites(spark, sf_dir).select("*", (F.col("ord") % 2 == 0).alias("before"))
+    nodes = _nodes(spark, sf_dir).where(F.col("last_seen") <= until).select("*", old)
+    return metrics.snapshot_change(places, [rows, ips], ips, nodes, rows.where("confidence = 'confirmed'"), validate.watchlist(rows), "before")
+
+
+@query
+def baseline_delta(spark, sf_dir):
+    """A first run: nothing is stored, so the current snapshot is its own baseline."""
+    now = metrics.snapshot(*_current(spark, sf_dir))
+    folder = files.shared_folder(spark)
+    now.write.parquet(f"{folder}/snapshot")
+    stored = spark.read.parquet(f"{folder}/snapshot")
+    return metrics.count_delta(stored, metrics.choose_baseline(stored.where(F.col("key") == ""), stored))
 
 
 @query
@@ -491,7 +547,7 @@ def last_good_records(spark, sf_dir):
 
 @query
 def run_record(spark, sf_dir):
-    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")  # noqa: E731  the events' times have no zone
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     run = metrics.run_status(events.agg(F.max("event_id").alias("run_id"), iso(F.min("ts")).alias("started"), iso(F.max("ts")).alias("ended")))
     return metrics.run_record(run, {"day": DAY, "max_pages": "4"}, snapshot_delta(spark, sf_dir), report_summary(spark, sf_dir))
@@ -512,9 +568,89 @@ def retire_stale(spark, sf_dir):
 
 @query
 def change_audit(spark, sf_dir):
+    """Endpoints of one port are known to the earlier library alone, those of another to the later one alone."""
     rows = derive(spark, sf_dir, "record")
-    before = dedupe.unique_first(rows.where(F.col("ord") % 3 != 0))
-    return promote.change_audit(before, dedupe.unique_ranked(rows.where(F.col("ord") % 5 != 1)))
+    before = dedupe.unique_first(rows.where("port <> 2111"))
+    return promote.change_audit(before, dedupe.unique_ranked(rows.where("port <> 3222")))
+
+
+def _sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark, sf_dir, "record").withColumn("cycle", F.datediff(F.to_date("last_seen"), F.lit("2024-01-01").cast("date")))
+
+
+@query
+def confirmation_runs(spark, sf_dir):
+    return promote.confirmation_runs(_sightings(spark, sf_dir))
+
+
+@query
+def retire_unconfirmed(spark, sf_dir):
+    library = dedupe.unique_ranked(derive(spark, sf_dir, "record"))
+    kept = promote.retire_unconfirmed(library, _sightings(spark, sf_dir), 29)
+    return kept.select("domain", "port", "scheme", F.upper("coin").alias("coin_key"), "missed", "confidence", "status")
+
+
+# Files.
+
+
+@query
+def published_records(spark, sf_dir):
+    """A library published as a version, and its JSON array read back."""
+    folder = files.shared_folder(spark)
+    files.publish(spark, folder, {"library": (validate.library(dedupe.unique_first(derive(spark, sf_dir, "record"))), X.ENDPOINT_FIELDS)})
+    return files.read_records(spark, files.published_path(spark, folder, "library", "json"))
+
+
+@query
+def published_tables(spark, sf_dir):
+    """Sites and nodes published in one version; their JSON arrays read back, as (table, key, url)."""
+    folder = files.shared_folder(spark)
+    tables = {"sites": (unique_sites(spark, sf_dir), X.SITE_FIELDS), "nodes": (dedupe.unique_nodes(_nodes(spark, sf_dir).withColumn("ord", F.col("page_id"))), X.NODE_FIELDS)}
+    files.publish(spark, folder, tables)
+    text = lambda fields: T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    read = lambda name, fields: files.read_records(spark, files.published_path(spark, folder, name, "json"), text(fields))
+    node = F.concat_ws("|", "node_host", "port", "node_type")
+    return read("sites", X.SITE_FIELDS).select(F.lit("sites").alias("name"), F.col("website_domain").alias("key"), F.col("profile_url").alias("url")).union(
+        read("nodes", X.NODE_FIELDS).select(F.lit("nodes"), node, "source_url")
+    )
+
+
+@query
+def registry_sources(spark, sf_dir):
+    """Suppliers as a registry file of sources, required and optional, with and without a word on being enabled."""
+    n = F.col("s_suppkey")
+    source = F.struct(
+        F.concat(F.lit("source-"), n.cast("string")).alias("id"), F.when(n % 3 == 0, F.lit(False)).when(n % 3 == 1, F.lit(True)).alias("enabled"),
+        F.col("s_name").alias("name"), F.concat(F.lit("https://s"), n.cast("string"), F.lit(".example/")).alias("url"),
+        F.when(n % 4 > 0, F.array(F.concat(F.lit("s"), n.cast("string"), F.lit(".example")))).alias("allowed_domain_suffixes"),
+    )
+    folder = files.shared_folder(spark)
+    listed = lambda optional: F.collect_list(F.when((n % 5 == 0) == F.lit(optional), source))
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    rows.agg(listed(False).alias("sources"), listed(True).alias("optional_sources")).write.json(f"{folder}/registry.json")
+    found = files.read_registry(spark, f"{folder}/registry.json", include_optional=True)
+    return found.select("id", "name", "url", F.array_join("allowed_domain_suffixes", ",").alias("suffixes"))
+
+
+@query
+def cached_pages(spark, sf_dir):
+    """Pages in the cache's JSON form, whose bodies are Latin-1 text, read back as bytes."""
+    folder = files.shared_folder(spark)
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    body = F.decode(F.encode(F.coalesce("html", F.lit("")), "UTF-8"), "ISO-8859-1").alias("body")
+    rows.select(F.col("page_id").cast("string").alias("url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), body).write.json(f"{folder}/cache.json")
+    return files.read_pages(spark, f"{folder}/cache.json").select(F.col("url").cast("long").alias("page_id"), "status", F.sha2("body", 256).alias("sha256"))
+
+
+@query
+def local_texts(spark, sf_dir):
+    """One text file per nation, in the nested layout, read whole."""
+    folder = files.shared_folder(spark)
+    lines = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_nationkey", "s_suppkey", F.concat(F.lit("stratum+tcp://s"), F.col("s_suppkey").cast("string"), F.lit(".example:3333")).alias("value"))
+    whole = lines.groupBy("s_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "value"))), lambda x: x["value"]), "\n").alias("value"))
+    whole.repartition("s_nationkey").write.partitionBy("s_nationkey").text(f"{folder}/data/texts")
+    found = files.read_local_texts(spark, files.artifact_path(spark, folder, "texts") + "/*")
+    return found.select(F.regexp_extract("path", "s_nationkey=([0-9]+)/", 1).cast("int").alias("s_nationkey"), F.sha2("text", 256).alias("sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

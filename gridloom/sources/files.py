@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import time
 import uuid
 
@@ -14,6 +15,17 @@ from gridloom.functions import fixed as X
 from gridloom.sources.json_arrays import read_json_array, write_csv_document, write_json_array
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's name in the store that the driver and all executors share, ``spark.checkpoint.dir``; only on one machine is one made where it is unset."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    return f"{folder}/files-{uuid.uuid4().hex}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in whatever store it names."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
