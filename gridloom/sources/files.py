@@ -113,6 +113,12 @@ def _first_character(spark: SparkSession, path: str) -> str:
     return ""
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, in whatever store it lies."""
+    hadoop, system = _hadoop(spark, path)
+    system.delete(hadoop, True)
+
+
 MANIFEST = "current.json"
 
 
@@ -123,7 +129,7 @@ def manifest(spark: SparkSession, folder: str) -> dict:
     return json.loads(spark.read.text(f"{folder}/{MANIFEST}", wholetext=True).first()[0])
 
 
-def _swap_manifest(spark: SparkSession, folder: str, content: dict) -> None:
+def swap_manifest(spark: SparkSession, folder: str, content: dict) -> None:
     """Put a manifest in the place of the one before in one step: readers see either, and never a part."""
     jvm, made = spark.sparkContext._jvm, f"{folder}/.{MANIFEST}-{uuid.uuid4().hex}"
     new, system = _hadoop(spark, made)
@@ -152,11 +158,10 @@ def publish(spark: SparkSession, folder: str, tables: dict[str, tuple[DataFrame,
         write_json_array(stored, f"{base}/{name}.json", fields)
         write_csv_document(stored, f"{base}/{name}.csv", fields)
     kept = [*before.get("kept", []), *filter(None, [before["version"]])][-(keep - 1) :] if keep > 1 else []
-    _swap_manifest(spark, folder, {"version": version, "tables": sorted(tables), "kept": kept})
+    swap_manifest(spark, folder, {"version": version, "tables": sorted(tables), "kept": kept})
     for name in _children(spark, f"{folder}/versions"):
         if name < version and name not in kept:
-            path, system = _hadoop(spark, f"{folder}/versions/{name}")
-            system.delete(path, True)
+            delete(spark, f"{folder}/versions/{name}")
     return version
 
 

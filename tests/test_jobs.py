@@ -1,6 +1,8 @@
 """Jobs, files and streams end to end, and the driver contract."""
 
 import json
+import random
+import time
 from pathlib import Path
 
 import pytest
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import fixed as X
 from gridloom.jobs import crawl, directory, library
+from gridloom.operators import metrics
 from gridloom.sources import files
-from gridloom.streaming import crawl_stream
+from gridloom.streaming import crawl_stream, fetch_stream
 
 PAGES = "site string, pool_name string, page_ord int, url string, content_type string, body binary"
 
@@ -75,7 +78,7 @@ def test_a_killed_job_leaves_the_old_version(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception):  # noqa: B017
         files.publish(spark, folder, {"a": (table(9), ("k",)), "b": (table(9).select(F.raise_error(F.lit("killed")).alias("k")), ("k",))})
     assert counts() == [3, 3]
-    monkeypatch.setattr(files, "_swap_manifest", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+    monkeypatch.setattr(files, "swap_manifest", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
     with pytest.raises(RuntimeError):
         files.publish(spark, folder, {"a": (table(9), ("k",)), "b": (table(9), ("k",))})
     monkeypatch.undo()
@@ -104,16 +107,64 @@ def test_files(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    source = tmp_path / "in"
+    source, table = tmp_path / "in", str(tmp_path / "table")
     pages(spark).where("page_ord < 2").coalesce(1).write.parquet(str(source))
     stream = lambda: spark.readStream.schema(PAGES).parquet(str(source))
+    assert crawl_stream.read_table(spark, table).count() == 0
     for _ in range(2):
-        crawl_stream.start(stream(), str(tmp_path / "table"), str(tmp_path / "state"), "2026-04-17").awaitTermination()
+        crawl_stream.start(stream(), table, str(tmp_path / "state"), "2026-04-17").awaitTermination()
         pages(spark).where("page_ord = 2").coalesce(1).write.mode("append").parquet(str(source))
-    got = spark.read.parquet(str(tmp_path / "table/version=1"))
+    got = crawl_stream.read_table(spark, table)
     assert got.where("port = 3333").select("source_url").first()[0] == "; ".join(f"https://pool.example/{i}" for i in range(3))
 
 
+def test_a_batch_rewrites_its_own_buckets_alone(spark, tmp_path):
+    folder = tmp_path / "table"
+    files_of = lambda: {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("part-*.parquet")}
+
+    def batch(*hosts):
+        rows = [(h, 1, *["x"] * (len(X.ENDPOINT_FIELDS) - 2), "site", 1) for h in hosts]
+        names = [f"{f} {'int' if f == 'port' else 'string'}" for f in X.ENDPOINT_FIELDS]
+        return spark.createDataFrame(rows, ", ".join([*names, "site string", "page_ord int"]))
+
+    crawl_stream.merge_batch(spark, str(folder), batch(*[f"h{i}.example" for i in range(40)]), 0, buckets=8)
+    first = files_of()
+    crawl_stream.merge_batch(spark, str(folder), batch("h0.example", "new.example"), 1)
+    second = files_of()
+    assert first.items() <= second.items() and 1 <= len(second) - len(first) <= 2
+    crawl_stream.merge_batch(spark, str(folder), batch("h0.example"), 1)  # run again after a restart
+    assert files_of() == second and crawl_stream.read_table(spark, str(folder)).count() == 41
+    crawl_stream.merge_batch(spark, str(folder), batch("h0.example"), 2)
+    third = files_of()
+    assert 1 <= len(first.keys() - third.keys()) <= 2 and crawl_stream.read_table(spark, str(folder)).count() == 41
+    crawl_stream.merge_batch(spark, str(folder), batch(), 3)
+    assert crawl_stream.read_table(spark, str(folder)).count() == 41
+
+
+def test_fetch_stream_equals_the_batch(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(run, f"s{rng.randint(0, 6)}", rng.random() < 0.5, run * 100 + i) for run in range(9) for i in range(12)]
+    schema = "run int, source_id string, ok boolean, ord int"
+    for runs in ((0, 1, 2), (3,), (4, 5), (6, 7, 8)):
+        # The runs of a batch come in any order.
+        some = [r for r in rows if r[0] in runs]
+        rng.shuffle(some)
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    told = {}
+    keep = lambda frame, _: told.update({(r["source_id"], r["run"]): (r["taken"], r["used_cache"]) for r in frame.collect()})
+    fetch_stream.last_good_runs(stream).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    fetches = spark.createDataFrame(rows, schema)
+    records = fetches.where("ok").select("source_id", "run").distinct()
+    want = {}
+    for run in range(9):
+        for r in metrics.last_good_records(fetches, records, run).collect():
+            want[r["source_id"], run] = (r["run"], r["used_cache"])
+    assert {k: v for k, v in told.items() if v[0] is not None} == want
+    assert all(not used for taken, used in told.values() if taken is None)
+
+
 def test_contract(spark, sf_dir):
     import __spark_entry__ as entry
 
