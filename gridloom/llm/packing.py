@@ -161,13 +161,29 @@ class WordIds:
         return self._part(low, self._letters) + (self._part(ending, self._through) if ending else b"")
 
 
+#: Texts that show whether a tokenizer sees spaces and line ends as borders.
+PROBES = ("a b", "word another", " lead", "trail ", "two  spaces", "line\nend", "1 2", "a, b! c", "ünï cödé", "don't stop 'tis")
+
+
+def require_borders(tokenizer_file: str) -> None:
+    """Raise unless the ids of a text are those of its words between spaces and line ends, as they are not where tokens hold the space."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    for probe in PROBES:
+        if ids(probe) != [i for word in probe.replace("\n", " ").split(" ") for i in ids(word)]:
+            raise ValueError(f"{tokenizer_file} does not split texts at white space: {probe!r} has other ids than its words")
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Pieces of at most ``capacity`` ids: doc_id, piece, start, length, ids_crc32.
 
     A document is its ids and ``end_id``; only longer ones are cut. Null text counts as empty (one piece
-    that holds ``end_id``). Words between spaces and line ends go through the tokenizer once a task;
-    its normaliser and word splitter see white space as a border anyhow.
+    that holds ``end_id``). Words between spaces and line ends go through the tokenizer once a task; a tokenizer that does
+    not see white space as a border is refused.
     """
+    require_borders(tokenizer_file)
     import pyarrow as pa
 
     def cut(batches):
