@@ -15,7 +15,7 @@ SITE_FIELDS = (
 )
 NODE_FIELDS = ("node_host", "port", "node_type", "pool_name", "coin", "source_url", "first_seen", "last_seen", "notes")
 
-# Enumerations and ranks.
+# Enumerations and ranks. The four enumerations are sets; they stand in the order in which messages print them, sorted.
 SCHEMES = ("stratum+ssl", "stratum+tcp")
 SOURCE_TYPES = ("aggregator", "ct_log", "dns", "manual_review", "official", "open_source")
 CONFIDENCE = ("candidate", "confirmed", "probable", "retired")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import endpoints as E
@@ -77,6 +77,19 @@ def count_delta(current: DataFrame, baseline: DataFrame) -> DataFrame:
     return _all_metrics(counted)
 
 
+def store_snapshot(snapshot: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """Keep a snapshot as the table ``table`` under ``path``, in buckets of (metric, key), so that its change to another needs no shuffle of either."""
+    dealt = snapshot.select("metric", "key").repartition(buckets, "metric", "key")
+    dealt.write.mode("overwrite").bucketBy(buckets, "metric", "key").sortBy("metric", "key").option("path", path).saveAsTable(table)
+
+
+def stored_delta(spark: SparkSession, current: str, baseline: str) -> DataFrame:
+    """``count_delta`` of two stored snapshots with the same number of buckets: a merge join of buckets; only a count per task and metric is shuffled."""
+    old = spark.table(baseline).withColumn("_old", F.lit(True))
+    met = spark.table(current).join(old.hint("merge"), ["metric", "key"], "left")
+    return _all_metrics(met.groupBy("metric").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("_old").isNull()).alias("new")))
+
+
 def report_summary(*reports: DataFrame) -> DataFrame:
     """(total, ok, failed, used_cache) over fetch reports of any shape; a missing ``ok`` counts in the total alone."""
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)

@@ -453,6 +453,7 @@ ORACLES |= {
       SELECT {KEY}, missed, CASE WHEN coalesce(missed, 2) >= 2 THEN 'retired' ELSE confidence END AS confidence, CASE WHEN coalesce(missed, 2) >= 2 THEN 'retired' ELSE status END AS status
       FROM u LEFT JOIN l USING ({KEY})""",
     "published_records": ORACLES["unique_first"],
+    "stored_snapshot_delta": ORACLES["snapshot_delta"],
     "published_tables": f"""SELECT 'sites' AS name, website_domain AS key, profile_url AS url FROM ({ORACLES["unique_sites"]})
       UNION ALL SELECT 'nodes', node_host || '|' || port || '|' || node_type, source_url FROM ({ORACLES["unique_nodes"]})""",
     "registry_sources": """SELECT 'source-' || s_suppkey AS id, s_name AS name, 'https://s' || s_suppkey || '.example/' AS url, CASE WHEN s_suppkey % 4 > 0 THEN 's' || s_suppkey || '.example' END AS suffixes

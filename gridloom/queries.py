@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -515,6 +516,19 @@ def snapshot_delta(spark, sf_dir):
     return metrics.snapshot_change(places, [rows, ips], ips, nodes, rows.where("confidence = 'confirmed'"), validate.watchlist(rows), "before")
 
 
+@query
+def stored_snapshot_delta(spark, sf_dir):
+    """As snapshot_delta, of two snapshots that are stored in buckets; the catalog keeps no trace of them."""
+    folder, names = files.shared_folder(spark), []
+    for until in ("2024-12-31", "2024-01-15"):
+        names.append(f"snapshot_{until.replace('-', '_')}_{uuid.uuid4().hex}")
+        metrics.store_snapshot(_snapshot(spark, sf_dir, until), names[-1], f"{folder}/{names[-1]}", 16)
+    delta = metrics.stored_delta(spark, *names)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return delta
+
+
 @query
 def baseline_delta(spark, sf_dir):
     """A first run: nothing is stored, so the current snapshot is its own baseline."""

@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.local.dir", str(tmp_path_factory.mktemp("local")))
         .getOrCreate()
     )

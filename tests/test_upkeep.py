@@ -37,6 +37,20 @@ def test_change_in_one_pass_equals_two_snapshots(spark):
     assert metrics.snapshot_change(*tables(lambda d: d.where("false")), "before").agg(F.sum("total")).first()[0] == 0
 
 
+def test_stored_snapshots_are_joined_without_a_shuffle(spark, tmp_path):
+    rows = lambda n, step: spark.createDataFrame([(metrics.METRICS[i % 5], f"k{i}") for i in range(0, n, step)], "metric string, key string")
+    try:
+        metrics.store_snapshot(rows(400, 1), "stored_now", str(tmp_path / "now"), 4)
+        metrics.store_snapshot(rows(900, 3), "stored_old", str(tmp_path / "old"), 4)
+        got = metrics.stored_delta(spark, "stored_now", "stored_old")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, metrics.count_delta(rows(400, 1), rows(900, 3)).collect()))
+        plan = got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning(metric#" in plan and ", key#" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    finally:
+        for name in ("stored_now", "stored_old"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_suffix_table_equals_the_list(spark):
     rng = random.Random(3)
     label = lambda: rng.choice(["a", "b", "ab", "pool", "x-1"])
