@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of texts that a Python worker turns into Python values at once (more only where one text has more).
+PART_BYTES = 1 << 20
 LINK = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
 
@@ -33,6 +38,20 @@ def decode_code_file(content: Column, encoding: Column) -> Column:
     return F.when(encoding == "base64", F.make_valid_utf8(F.unbase64(content).cast("string"))).otherwise(content)
 
 
+def in_parts(f: Callable[..., list], kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """``f`` of lists of values over a whole Arrow batch, in parts of bounded size: only the batch and the result are held whole, both as Arrow buffers."""
+    n, done = len(columns[0]), []
+    rows = max(1, PART_BYTES * n // max(1, sum(c.nbytes for c in columns)))
+    at = 0
+    while at < n:
+        part = [c.slice(at, rows) for c in columns]
+        while len(part[0]) > 1 and sum(c.nbytes for c in part) > 2 * PART_BYTES:  # here texts are longer than elsewhere
+            part = [c.slice(0, len(c) // 2) for c in part]
+        done.append(pa.array(f(*(c.to_pylist() for c in part)), kind))
+        at += len(part[0])
+    return pa.concat_arrays(done) if done else pa.array([], kind)
+
+
 @F.pandas_udf(T.StringType())
 def _unescaped(texts: pd.Series) -> pd.Series:
     import html
@@ -58,8 +77,8 @@ def html_to_text_unescaped(markup: Column) -> Column:
     return F.trim(F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), r"(?U)\s+", " "))
 
 
-@F.pandas_udf(T.ArrayType(LINK))
-def extract_links(markup: pd.Series, base: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(LINK))
+def extract_links(markup: pa.Array, base: pa.Array) -> pa.Array:
     """Anchors with an href, in order: joined URL and text with collapsed space. An anchor never closed is dropped."""
     from html.parser import HTMLParser
     from urllib.parse import urljoin
@@ -89,4 +108,5 @@ def extract_links(markup: pd.Series, base: pd.Series) -> pd.Series:
         parser.feed(html or "")
         return parser.found
 
-    return pd.Series([links(h, b) for h, b in zip(markup, base, strict=True)])
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("url", pa.string()), ("text", pa.string())]))
+    return in_parts(lambda pages, bases: [links(h, b) for h, b in zip(pages, bases, strict=True)], kind, markup, base)
