@@ -52,11 +52,11 @@ def in_parts(f: Callable[..., list], kind: pa.DataType, *columns: pa.Array) -> p
     return pa.concat_arrays(done) if done else pa.array([], kind)
 
 
-@F.pandas_udf(T.StringType())
-def _unescaped(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def _unescaped(texts: pa.Array) -> pa.Array:
     import html
 
-    return texts.map(html.unescape, na_action="ignore")
+    return in_parts(lambda part: [None if t is None else html.unescape(t) for t in part], pa.string(), texts)
 
 
 def _without_tags(markup: Column) -> Column:

@@ -1,5 +1,6 @@
 """What a Python worker holds of a batch of pages is bounded by a part of it, not by the batch."""
 
+import html
 import tracemalloc
 
 import pyarrow as pa
@@ -27,6 +28,13 @@ def test_links_of_a_large_batch_are_made_in_parts():
     assert most < 20e6  # 150,000 links as Python values take over 60 MB
 
 
+def test_texts_of_a_large_batch_are_unescaped_in_parts():
+    texts = [LINKS * 3 if i % 5 else None for i in range(1500)] + ["&lt;" * 10**6, "a", ""]
+    found, most = peak(TX._unescaped.func, pa.array(texts))
+    assert found.to_pylist() == [None if t is None else html.unescape(t) for t in texts]
+    assert most < 30e6  # one text of 4 MB stands alone
+
+
 def test_parts_keep_order_and_empty_batches():
     sizes = []
 
