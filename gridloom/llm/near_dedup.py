@@ -186,26 +186,22 @@ def _marked(docs: DataFrame, words: int, percent: int, margin: float | None) ->
     classes = shared_checkpoint(classes.withColumn("node", F.monotonically_increasing_id()))
     signed = classes.select("node", "size", "signature")
     banded = classes.select("node", F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    hubs = shared_checkpoint(banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     # Buckets of more than one class, kept for step 3: far fewer rows than there are bands.
-    shared = shared_checkpoint(spread_join(banded, hubs, ["key"], "n"))
+    shared = shared_checkpoint(banded.join(hubs, "key").select("key", "node", "hub"))
     touched = shared.select("node").distinct().join(classes.select("node", "rep.*"), "node")
     texts = shared_checkpoint(plain.join(touched, ["doc", "mark"]).groupBy("node").agg(F.first("text").alias("text")))
     stars = shared.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     first = shared_checkpoint(confirmed(shared_checkpoint(_likely(stars, signed, percent, margin)), texts, words, percent))
     components = shared_checkpoint(connected_components(first))
     joining = shared_checkpoint(_hidden(shared, components, signed, texts, words, percent, margin))
-    wider = connected_components(joining).select(F.col("node").alias("component"), F.col("component").alias("wider"))
-    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n")).join(wider, "component", "left")
-    whole = spread_join(components, sizes, ["component"], "n").select("node", F.coalesce("wider", "component").alias("component"))
-    whole = shared_checkpoint(whole.unionByName(wider.select(F.col("component").alias("node"), F.col("wider").alias("component")).join(components, "node", "left_anti")))
-
-    named = whole.join(classes.select("node", "least_id"), "node")
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    named = spread_join(whole, least, ["component"], "n")
-    names = classes.select("node", "set_a", "set_b", "rows", "least_id").join(named, "node", "left").select(
-        "set_a", "set_b", "rows", F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "least_id").alias("component_id")
-    )
+    # Stars of components and the links between them: one or two rounds more.
+    whole = shared_checkpoint(connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(joining)))
+
+    placed = classes.select("node", "set_a", "set_b", "rows", "least_id").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = shared_checkpoint(placed)
+    least = shared_checkpoint(placed.groupBy("component").agg(F.min("least_id").alias("component_id")))
+    names = placed.join(least, "component").select("set_a", "set_b", "rows", "component", "component_id")
     wordless = sets.where("n_shingles = 0").select("doc", "mark", "n_shingles", F.lit(None).cast("long").alias("component"), actual.alias("component_id"))
     linked = spread_join(filled.select("doc", "mark", "n_shingles", "set_a", "set_b"), names, ["set_a", "set_b"], "rows").drop("set_a", "set_b")
     return linked.unionByName(wordless).withColumn("doc_id", actual)
