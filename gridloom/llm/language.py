@@ -1,6 +1,6 @@
 """Language ID by rank-order n-gram profiles.
 
-A profile ranks the most frequent letter n-grams (1 to 3 letters, words padded) of the labelled texts of a language.
+A profile ranks the most frequent letter n-grams (1 to 3 letters, words padded) of all labelled texts of a language.
 A document ranks its own most frequent n-grams; its distance to a language sums how far each is out of place,
 with the profile's length for one that the profile lacks, and the nearest language is the answer.
 """
@@ -11,10 +11,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import bounded, shared_checkpoint, text_of
+from gridloom.llm.common import bounded, text_of
 
-#: Labelled rows that profiles are learned from, per language.
+#: Labelled rows of each language in a ``fit_sample``; the queries and the pipeline learn from all rows.
 FIT_ROWS = 500
+#: Bytes of texts whose n-grams a task counts together.
+COUNTED_BYTES = 4 << 20
 #: N-grams in a language's profile, and in a document's.
 PROFILE_SIZE = 400
 #: A text is in a language only if its score is at least this share of the lowest of the rows that the language was learned from.
@@ -94,21 +96,33 @@ def fit_sample(docs: DataFrame, rows_per_language: int = FIT_ROWS) -> DataFrame:
     )
 
 
-def learn_profiles(sample: DataFrame, size: int = PROFILE_SIZE) -> dict[str, list[int]]:
-    """N-grams of each language, most frequent first, from ``sample`` (lang, text): what comes to the driver is bound by ``size`` and the number of languages."""
+def labelled_rows(docs: DataFrame) -> DataFrame:
+    """(lang, text) of every row of ``docs`` that has a lang."""
+    return docs.where(F.col("lang").isNotNull()).select("lang", text_of().alias("text"))
+
+
+def learn_profiles(labelled: DataFrame, size: int = PROFILE_SIZE) -> dict[str, list[int]]:
+    """N-grams of each language, most frequent first, counted over all rows of ``labelled`` (lang, text).
+
+    Tasks sum the counts of a part of a batch before they are shuffled; what comes to the driver is bound by ``size`` and the number of languages.
+    """
     import pyarrow as pa
 
     def count(batches):
         import numpy as np
 
-        for batch in bounded(batches):
+        for batch in bounded(batches, COUNTED_BYTES):
+            found: dict[str, list] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams, n = ngrams(text)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+                found.setdefault(lang, []).append(ngrams(text))
+            for lang, each in found.items():
+                grams, at = np.unique(np.concatenate([g for g, _ in each]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([c for _, c in each]), len(grams)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
 
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = (
-        sample.mapInArrow(count, "lang string, gram long, n long")
+        labelled.mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .withColumn("rank", F.row_number().over(best))
@@ -152,22 +166,22 @@ def predict(profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
     return predicted.asNondeterministic()
 
 
-def floors(sample: DataFrame, predicted, share: float = FLOOR_SHARE) -> dict[str, float]:
-    """For each language ``share`` of the lowest score of the rows of ``sample`` that are told to be in it; one number a language."""
-    scored = sample.select("lang", predicted("text").alias("found")).where(F.col("found.lang_pred") == F.col("lang"))
+def floors(labelled: DataFrame, predicted, share: float = FLOOR_SHARE) -> dict[str, float]:
+    """For each language ``share`` of the lowest score of the rows of ``labelled`` (lang, text) that are told to be in it; one number a language."""
+    scored = labelled.select("lang", predicted("text").alias("found")).where(F.col("found.lang_pred") == F.col("lang"))
     return {r["lang"]: share * r["low"] for r in scored.groupBy("lang").agg(F.min("found.score").alias("low")).collect()}
 
 
-def identify(docs: DataFrame, rows_per_language: int = FIT_ROWS) -> DataFrame:
+def identify(docs: DataFrame) -> DataFrame:
     """The language of every whole text: doc_id, held_out, lang_pred, score.
 
-    Profiles are learned from labelled rows whose crc32(doc_id) mod 4 is not 2; the others are held out. A text that
+    Profiles are learned from all labelled rows whose crc32(doc_id) mod 4 is not 2; the others are held out. A text that
     is null or has no letter is ``und`` with score 0, and so is every text where there is nothing to learn
     from; ties go to the language that sorts first. Repeated rows are treated alike, a null doc_id
     hashes as the empty text, an empty table gives an empty table, other columns are not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    predicted = predict(learn_profiles(fit_sample(rows.where(~held_out_row(F.col("doc_id"))), rows_per_language)))
+    predicted = predict(learn_profiles(labelled_rows(rows.where(~held_out_row(F.col("doc_id"))))))
     found = rows.select("doc_id", held_out_row(F.col("doc_id")).alias("held_out"), predicted(text_of()).alias("found"))
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
@@ -176,13 +190,13 @@ def keep_known_languages(docs: DataFrame, share: float = FLOOR_SHARE) -> DataFra
     """``docs`` without the documents whose language cannot be told, and with the language of those that had none.
 
     A document goes if it is ``und``, or if its score is below the floor of its language: then it is junk, or in a language that
-    was not learned. Where no row has a lang nothing is learned, and all go. A lang that is there stays; a null one becomes
+    was not learned. Profiles and floors come from all labelled rows. Where no row has a lang nothing is learned, and all go. A lang that is there stays; a null one becomes
     the predicted one.
     """
     columns = docs.columns
-    sample = shared_checkpoint(fit_sample(docs))  # a few rows a language, read three times
-    predicted = predict(learn_profiles(sample))
-    low = F.create_map(*[F.lit(x) for pair in floors(sample, predicted, share).items() for x in pair]) if sample.head(1) else F.create_map().cast("map<string,double>")
+    labelled = labelled_rows(docs)
+    predicted = predict(learn_profiles(labelled))
+    low = F.create_map(*[F.lit(x) for pair in floors(labelled, predicted, share).items() for x in pair]).cast("map<string,double>")
     found = docs.withColumn("_found", predicted(text_of()))
     kept = found.where((F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= F.coalesce(F.try_element_at(low, F.col("_found.lang_pred")), F.lit(0.0))))
     return kept.withColumn("lang", F.coalesce("lang", "_found.lang_pred")).select(*columns)
