@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import bounded, shared_checkpoint, text_of
 
-#: Words whose ids a task keeps.
-KEPT_WORDS = 500_000
+#: Words whose ids a Python worker keeps, in each of two generations, and parts of words.
+KEPT_WORDS = 200_000
 #: Documents and gaps that a task sweeps, on average.
 RANGE_ROWS = 100_000
 #: Documents longer than capacity / level are placed before shorter ones.
@@ -161,6 +161,45 @@ class WordIds:
         return self._part(low, self._letters) + (self._part(ending, self._through) if ending else b"")
 
 
+class KnownWords:
+    """Ids of words, with those of the words seen last kept: two generations, so that what is still used outlives a full one."""
+
+    def __init__(self, tokenizer_file: str):
+        self.ids = WordIds(tokenizer_file)
+        self.kept: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def joined(self, text: str) -> bytes:
+        """Ids of the words of a text between spaces and line ends."""
+        words = text.replace("\n", " ").split(" ")
+        found = list(map(self.kept.get, words))
+        if None in found:
+            if len(self.kept) > KEPT_WORDS:
+                self.kept, self.old = {"": b""}, self.kept
+            for i, x in enumerate(found):
+                if x is None:
+                    w = words[i]
+                    if (x := self.kept.get(w)) is None:
+                        x = self.kept[w] = self.old[w] if w in self.old else self.ids.of(w)
+                    found[i] = x
+        return b"".join(found)
+
+
+_known: dict[str, tuple[tuple[int, int], KnownWords]] = {}
+
+
+def known_words(tokenizer_file: str) -> KnownWords:
+    """The words of a tokenizer that this Python worker keeps from task to task; a file that has changed begins anew."""
+    import os
+
+    at = os.stat(tokenizer_file)
+    version = (at.st_size, at.st_mtime_ns)
+    if tokenizer_file not in _known or _known[tokenizer_file][0] != version:
+        _known.clear()  # one tokenizer's words at a time
+        _known[tokenizer_file] = version, KnownWords(tokenizer_file)
+    return _known[tokenizer_file][1]
+
+
 #: Texts that show whether a tokenizer sees spaces and line ends as borders.
 PROBES = ("a b", "word another", " lead", "trail ", "two  spaces", "line\nend", "1 2", "a, b! c", "ünï cödé", "don't stop 'tis")
 
@@ -180,7 +219,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
     """Pieces of at most ``capacity`` ids: doc_id, piece, start, length, ids_crc32.
 
     A document is its ids and ``end_id``; only longer ones are cut. Null text counts as empty (one piece
-    that holds ``end_id``). Words between spaces and line ends go through the tokenizer once a task; a tokenizer that does
+    that holds ``end_id``). Words between spaces and line ends go through the tokenizer once a Python worker, while they are kept; a tokenizer that does
     not see white space as a border is refused.
     """
     require_borders(tokenizer_file)
@@ -191,28 +230,13 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         import zlib
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        ids_of = WordIds(tokenizer_file)
+        known = known_words(tokenizer_file)
         end = end_id.to_bytes(4, "little")
-        kept: dict[str, bytes] = {"": b""}
-        old: dict[str, bytes] = {}
-
-        def learn(words: set[str]) -> None:
-            nonlocal kept, old
-            if len(kept) > KEPT_WORDS:
-                kept, old = {"": b""}, kept
-            for w in words:
-                kept[w] = old[w] if w in old else ids_of.of(w)
-
         for batch in bounded(batches):
             out: list[list] = [[], [], [], [], []]
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, text in zip(ids, texts, strict=True):
-                words = text.replace("\n", " ").split(" ")
-                found = list(map(kept.get, words))
-                if None in found:
-                    learn({w for w, x in zip(words, found, strict=True) if x is None})
-                    found = [kept[w] if x is None else x for w, x in zip(words, found, strict=True)]
-                whole = b"".join([*found, end])
+                whole = known.joined(text) + end
                 for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     for column, value in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
